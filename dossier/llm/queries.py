@@ -6,8 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dossier.llm import canonical, topn
-from dossier.session import prepare, table
+from dossier.llm import canonical, people, topn
+from dossier.session import cut_lineage, prepare, table
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    rows = cut_lineage(people.persons(table(spark, sf_dir, "lawyer_enrichment"), table(spark, sf_dir, "parsed_name")))
+    return people.linked_pairs(rows, people.resolve(rows))
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +27,7 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "p2_found": p2_found,
         "p6_found": p6_found,
         "p7_found": p7_found,
     }
