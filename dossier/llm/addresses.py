@@ -24,6 +24,7 @@ _COUNTRY = re.compile(r"[,\s]*\b(?:usa|u\.s\.a\.?|u\.s\.|united states(?: of ame
 _ZIP = re.compile(r"(?:^|[,\s])\s*(\d{5})(?:-?\d{4})?\s*$")
 _BOX = re.compile(r"\b(?:p\.?\s*o\.?\s*|post\s+office\s+|postal\s+)?(?:box|b0x)\s*(?:no\.?\s*|#\s*)?(\d+)\b|\bp\.?\s*o\.?\s*b\.?\s+(\d+)\b")
 _UNIT = re.compile(r"(?:\b(?:suite|ste|unit|room|rm|apt|apartment|floor|bldg|building|office|ofc)\b\.?\s*(?:#\s*|no\.?\s*)?(?:\d+[a-z]?|[a-z]\d*)\b|#\s*[a-z0-9-]+)")
+_AREA = re.compile(r"^greater\s+(.+?)(?:,\s*[a-z]{2})?\s+area\b")
 _NUMBER = re.compile(r"^(\d+[a-z]?)\s+(.+)$")
 
 
@@ -78,6 +79,7 @@ def parse_place(text: str | None) -> Place:
     if not text or not text.strip():
         return NOWHERE
     s = _COUNTRY.sub("", plain(text)).strip(" ,")
+    s = _AREA.sub(r"\1", s)
     zip_, state = "", ""
     if m := _ZIP.search(s):
         zip_, s = m.group(1), s[: m.start()].strip(" ,")

@@ -8,20 +8,20 @@ from functools import lru_cache
 
 #: Formal given name -> short forms and nicknames. Fixed values.
 NICKNAMES = {
-    "abigail": "abby abbie gail", "albert": "al bert bertie", "alexander": "alex alec sandy xander", "alfred": "al fred alfie", "alice": "ali", "amanda": "mandy", "andrew": "andy drew", "angela": "angie",
+    "abigail": "abby abbie gail", "albert": "al bert bertie", "alexander": "alex alec sandy xander alexr", "alfred": "al fred alfie", "alice": "ali", "amanda": "mandy", "andrew": "andy drew", "angela": "angie",
     "ann": "annie nan", "anthony": "tony ant", "arthur": "art artie", "barbara": "barb barbie babs", "benjamin": "ben benny benj", "bernard": "bernie barney", "beverly": "bev", "bradley": "brad",
-    "caroline": "carrie caro", "catherine": "cathy kate katie cat", "cecilia": "cece celia cissy", "charles": "charlie chuck chas chaz", "christina": "chris tina chrissy", "christine": "chris chrissy tina",
-    "christopher": "chris kit topher", "clifford": "cliff", "cynthia": "cindy cyndi", "daniel": "dan danny", "david": "dave davey", "deborah": "deb debbie debby", "dennis": "denny den", "dolores": "lola",
+    "caroline": "carrie caro", "catherine": "cathy kate katie cat kitty", "cecilia": "cece celia cissy", "charles": "charlie chuck chas chaz", "christina": "chris tina chrissy", "christine": "chris chrissy tina",
+    "christopher": "chris kit topher", "clifford": "cliff", "cynthia": "cindy cyndi", "daniel": "dan danny danl", "david": "dave davey", "deborah": "deb debbie debby", "dennis": "denny den", "dolores": "lola",
     "donald": "don donny", "dorothy": "dot dottie dolly", "douglas": "doug", "edward": "ed eddie ted ned edw", "eleanor": "ellie nell nora ella", "elizabeth": "liz beth betsy betty eliza lizzie lisa", "emily": "em emmy", "estelle": "essie stella",
-    "eugene": "gene", "florence": "flo florrie", "frances": "fran frannie", "francis": "frank fran", "franklin": "frank", "frederick": "fred freddie freddy", "gabrielle": "gabby gabi", "geoffrey": "jeff geoff", "george": "georgie geo", "gerald": "gerry jerry",
+    "eugene": "gene", "florence": "flo florrie", "frances": "fran frannie", "francis": "frank fran", "franklin": "frank", "frederick": "fred freddie freddy fritz fredk rick", "gabrielle": "gabby gabi", "geoffrey": "jeff geoff", "george": "georgie geo", "gerald": "gerry jerry",
     "gilbert": "gil bert", "gregory": "greg", "gloria": "glo", "harold": "hal harry", "harriet": "hattie", "helen": "nell nellie", "henry": "hank harry hal", "herbert": "herb bert", "howard": "howie", "hugo": "hugh",
     "irene": "rene", "isabella": "izzy bella isa", "jacob": "jake", "jacqueline": "jackie jacqui", "james": "jim jimmy jamie jas", "janet": "jan", "jeffrey": "jeff", "jennifer": "jen jenny jenn", "jeremy": "jerry", "jessica": "jess jessie",
-    "john": "jack johnny jon", "jonathan": "jon jonny", "joseph": "joe joey jos", "josephine": "jo josie", "joshua": "josh", "judith": "judy jude", "katherine": "kate kathy katie kat kay", "kathleen": "kathy kath", "kenneth": "ken kenny", "kimberly": "kim kimmy",
-    "lawrence": "larry lawrie", "leonard": "len lenny leo", "leroy": "roy", "lillian": "lil lily", "louis": "lou louie", "louise": "lou lulu", "lucille": "lucy lou", "luis": "lou", "margaret": "maggie meg peggy marge margie greta", "maria": "mary mia",
+    "john": "jack johnny jon jno", "jonathan": "jon jonny", "joseph": "joe joey jos", "josephine": "jo josie", "joshua": "josh", "judith": "judy jude", "katherine": "kate kathy katie kat kay kath kitty", "kathleen": "kathy kath", "kenneth": "ken kenny", "kimberly": "kim kimmy",
+    "lawrence": "larry lawrie", "leonard": "len lenny leo", "leroy": "roy", "lillian": "lil lily", "louis": "lou louie", "louise": "lou lulu", "lucille": "lucy lou", "luis": "lou", "margaret": "maggie meg peggy marge margie greta rita daisy margt", "maria": "mary mia",
     "martha": "marty patty", "martin": "marty", "matthew": "matt matty", "maximilian": "max", "megan": "meg", "melissa": "mel missy", "michael": "mike mick mickey mikey", "mildred": "millie", "mitchell": "mitch", "nancy": "nan",
     "naomi": "nomi", "natalie": "nat", "nathan": "nate nat", "nathaniel": "nate nat nathan", "nicholas": "nick nicky", "nicole": "nicky nikki", "oliver": "ollie", "olivia": "liv livvy", "oscar": "ozzie", "pamela": "pam pammy",
-    "patricia": "pat patty trish tricia", "patrick": "pat paddy", "penelope": "penny pen", "peter": "pete", "philip": "phil pip", "phillip": "phil", "priscilla": "cilla", "quentin": "quent", "raymond": "ray", "rebecca": "becky becca", "reginald": "reg reggie",
-    "richard": "rick dick rich richie ricky", "robert": "bob bobby rob robbie bert", "rodney": "rod", "roger": "rodge", "ronald": "ron ronny ronnie", "rosemary": "rose rosie", "russell": "russ", "samantha": "sam sammy", "samuel": "sam sammy",
+    "patricia": "pat patty trish tricia", "patrick": "pat paddy patk", "penelope": "penny pen", "peter": "pete", "philip": "phil pip", "phillip": "phil", "priscilla": "cilla", "quentin": "quent", "raymond": "ray", "rebecca": "becky becca", "reginald": "reg reggie",
+    "richard": "rick dick rich richie ricky richd", "robert": "bob bobby rob robbie bert robt", "rodney": "rod", "roger": "rodge", "ronald": "ron ronny ronnie", "rosemary": "rose rosie", "russell": "russ", "samantha": "sam sammy", "samuel": "sam sammy saml",
     "sandra": "sandy", "sarah": "sally sadie", "sharon": "shari", "sofia": "sophie sofie", "stanley": "stan", "stephanie": "steph stevie", "stephen": "steve stevie", "steven": "steve stevie", "stuart": "stu", "susan": "sue susie suzy", "sylvia": "syl",
     "tamara": "tammy tam", "terence": "terry", "teresa": "terry tess tessa", "theodore": "ted teddy theo", "theresa": "terry tess", "thomas": "tom tommy thos", "timothy": "tim timmy", "ursula": "ursie", "valerie": "val", "vanessa": "nessa",
     "veronica": "ronnie vera roni", "victor": "vic", "victoria": "vicky vicki tori", "vincent": "vince vinny vin", "virginia": "ginny ginger", "vivian": "viv", "walter": "walt wally", "wanda": "wendy", "wilfred": "wilf will", "william": "bill billy will willy wm liam",
@@ -50,8 +50,8 @@ def plain(text: str) -> str:
 
 def _words(text: str) -> list[str]:
     out = []
-    for word in re.split(r"[\s.]+", re.sub(r"['’`-]", "", text)):
-        word = re.sub(r"[^a-z0-9]", "", word)
+    for word in re.split(r"[\s.]+", re.sub(r"['’`]", "", text)):
+        word = re.sub(r"[^a-z0-9-]", "", word).strip("-")
         if word:
             out.append(word)
     return out
@@ -103,7 +103,10 @@ def readings(name: str | None) -> tuple[str, tuple[tuple[str, str, str], ...]]:
             found += [turned] if len(words[-1]) == 1 else [straight, turned]
             if len(words) > 2 and len(words[-2]) > 3 and len(words[-1]) > 3:
                 found.append((words[0], " ".join(words[1:-2]), words[-2] + words[-1]))
-    return generation, tuple(dict.fromkeys(found))
+    # A double name may be typed in full, as one word, or with one half only.
+    found = [(first.replace("-", ""), middle.replace("-", ""), last) for first, middle, last in found]
+    halves = [(first, middle, half) for first, middle, last in found if "-" in last for half in last.split("-") if len(half) > 2]
+    return generation, tuple(dict.fromkeys([(first, middle, last.replace("-", "")) for first, middle, last in found] + halves))
 
 
 def within(a: str, b: str, k: int) -> bool:
@@ -160,7 +163,7 @@ def first_match(a: str, b: str) -> int:
     # Two well-formed names that are both in the table are two names, however near.
     if a in NICKNAMES and b in NICKNAMES:
         return 0
-    if within(a, b, edits_for(min(len(a), len(b)))):
+    if within(a, b, edits_for(min(len(a), len(b)))) or a.replace("rn", "m") == b.replace("rn", "m"):
         return 2
     for x in fa or (a,):
         for y in fb or (b,):
@@ -169,12 +172,17 @@ def first_match(a: str, b: str) -> int:
     return 0
 
 
+def _bare(last: str) -> str:
+    """A last name without its particle, and with "rn" for what may be an "m"."""
+    return re.sub("^(delos|dela|della|del|vander|vanden|van|von|mc|mac|de|di|da|st|la|le|o)(?=.{4})", "", last).replace("rn", "m")
+
+
 @lru_cache(maxsize=200_000)
 def last_match(a: str, b: str) -> int:
     """2 equal, 1 typo, 0 other name."""
     if a == b:
         return 2
-    for x, y in ((a, b), (re.sub("^(mc|mac|o|di|de|st)(?=.{4})", "", a), re.sub("^(mc|mac|o|di|de|st)(?=.{4})", "", b))):
+    for x, y in ((a, b), (_bare(a), _bare(b))):
         if within(x, y, edits_for(min(len(x), len(y)))):
             return 1
     return 0

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from dossier.llm.addresses import join_parts, parse_place, same_town
 from dossier.llm.canonical import allowed_edits, probes, segments
 from dossier.llm.graph import connected_components
-from dossier.llm.names import middle_conflict, name_match, plain, readings, within
+from dossier.llm.names import FORMAL, middle_conflict, name_match, plain, readings, within
 from dossier.session import cut_lineage
 
 DOCUMENT = (
@@ -42,12 +42,22 @@ def licence_number(bar: Column) -> Column:
     return F.nullif(F.upper(F.regexp_replace(bar, "[^A-Za-z0-9]", "")), F.lit(""))
 
 
+#: adm, email, phone, school and firm are 32-bit hashes: they only confirm pairs that met by name.
 PERSON = (
-    "id long, full_name string, lic string, bar string, adm string, email string, phone string, school string, firm string, middle string,"
-    " number string, street string, kind string, side string, town string, state string, zip string, lasts array<string>"
+    "id long, full_name string, lic string, bar string, adm int, email int, phone int, school int, firm int, middle string,"
+    " number string, street string, kind string, side string, town string, state string, zip string, lasts array<string>, initials string"
 )
 
 
+HASHED = ["adm", "email", "phone", "school", "firm"]
+
+
+def initials(read: tuple[tuple[str, str, str], ...]) -> str:
+    """The letters that may stand for the given name in any reading: of each word and of its formal names."""
+    words = {w for first, middle, last in read for w in (first, *middle.split(), last)[: 3 if len(read) > 1 else 2] if w}
+    return "".join(sorted({w[0] for w in words} | {f[0] for w in words for f in FORMAL.get(w, ())}))
+
+
 def _persons(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
@@ -55,9 +65,11 @@ def _persons(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             place = parse_place(join_parts(r.line1, r.line2, r.a_city, r.a_state, r.a_zip))
             state = place.state or (r.license_state or r.state or "").strip().upper()
             town = place.town or (parse_place(r.city).town if r.city else "")
-            lasts = sorted({last for _, _, last in readings(r.full_name)[1] if len(last) > 2})
-            rows.append((r.id, r.full_name, r.lic, r.bar, r.adm, r.email, r.phone, r.school, r.firm, plain(r.middle) if r.middle else None, place.number, place.street, place.kind, place.side, town, state, place.zip, lasts))
-        yield pd.DataFrame(rows, columns=[c.split()[0] for c in PERSON.split(", ")])
+            read = readings(r.full_name)[1]
+            lasts = sorted({last for _, _, last in read if len(last) > 2})
+            rows.append((r.id, r.full_name, r.lic, r.bar, r.adm, r.email, r.phone, r.school, r.firm, plain(r.middle) if r.middle else None, place.number, place.street, place.kind, place.side, town, state, place.zip, lasts, initials(read)))
+        frame = pd.DataFrame(rows, columns=[c.split()[0] for c in PERSON.split(", ")])
+        yield frame.astype({c: "Int32" for c in HASHED})
 
 
 def latest_middle_names(parsed: DataFrame) -> DataFrame:
@@ -70,7 +82,7 @@ def persons(profiles: DataFrame, parsed: DataFrame) -> DataFrame:
     """One row per profile, its name, licence and contacts in comparable form. Rows without an id are left out; broken JSON
     counts as no document."""
     m = F.from_json("merged_data", DOCUMENT)
-    flat = profiles.where("id is not null").select("id", "full_name", "bar_number", "license_state", "state", "city", F.col("admission_date").cast("string").alias("adm"), m.alias("m"))
+    flat = profiles.where("id is not null").select("id", "full_name", "bar_number", "license_state", "state", "city", F.col("admission_date").alias("adm"), m.alias("m"))
     bar = licence_number(F.col("bar_number"))
     digits = F.regexp_replace(real(F.col("m.phone")), "[^0-9]", "")
     flat = flat.join(latest_middle_names(parsed), "id", "left").select(
@@ -82,6 +94,7 @@ def persons(profiles: DataFrame, parsed: DataFrame) -> DataFrame:
         F.col("m.address.line1").alias("line1"), F.col("m.address.line2").alias("line2"), F.col("m.address.city").alias("a_city"), F.col("m.address.state").alias("a_state"), F.col("m.address.zip").alias("a_zip"),
     )
     flat = flat.withColumn("lic", F.when(F.col("lic_text").contains("|"), F.col("lic_text"))).drop("lic_text")
+    flat = flat.withColumns({c: F.when(F.col(c).isNotNull(), F.hash(c)) for c in HASHED})
     return flat.mapInPandas(_persons, PERSON)
 
 
@@ -160,16 +173,20 @@ def resolve(people: DataFrame, licences: bool = True) -> DataFrame:
     """
     if not licences:
         people = people.withColumn("lic", F.lit(None).cast("string"))
-    same = F.md5(F.concat_ws("\x1f", *[F.coalesce(F.col(c), F.lit("\x1e")) for c in COMPARED]))
-    people = cut_lineage(people.withColumn("copy", same))
-    one = people.groupBy("copy").agg(F.min("id").alias("rep"), F.first("lasts").alias("lasts"), *[F.first(c).alias(c) for c in COMPARED])
+    people = people.withColumn("copy", F.md5(F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x1e")) for c in COMPARED])))
+    one = people.groupBy("copy").agg(F.min("id").alias("rep"), *[F.first(c).alias(c) for c in [*COMPARED, "lasts", "initials"]])
     one = cut_lineage(one)
-    text = lambda kind, *cols: F.when(F.forall(F.array(*[F.coalesce(F.col(c), F.lit("")) != "" for c in cols]), lambda x: x), F.concat_ws("|", F.lit(kind), *cols))
-    evidence = F.array_compact(F.array(text("a", "adm"), text("e", "email"), text("p", "phone"), text("z", "number", "zip"), text("t", "town", "state"), text("r", "zip3", "state")))
-    near = one.withColumn("zip3", F.left("zip", F.lit(3)))
-    met = near.select("rep", F.explode("lasts").alias("name"), evidence.alias("evidence")).where(F.size("evidence") > 0).join(_token_keys(one), "name")
-    keyed = met.select("rep", F.explode("evidence").alias("e"), "key").select("rep", F.xxhash64("e", "key").alias("k")).distinct()
-    pairs = keyed.alias("x").join(keyed.alias("y"), F.expr("x.k = y.k and x.rep < y.rep")).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+    text = lambda kind, *cols: F.when(F.forall(F.array(*[F.coalesce(F.col(c).cast("string"), F.lit("")) != "" for c in cols]), lambda x: x), F.concat_ws("|", F.lit(kind), *cols))
+    exact = F.array_compact(F.array(text("a", "adm"), text("e", "email"), text("p", "phone"), text("z", "number", "zip")))
+    # Many people of a town share a last name, so there the initials of the given name are part of the key.
+    local = F.array_compact(F.array(text("t", "town", "state"), text("r", "zip3", "state")))
+    local = F.flatten(F.transform(local, lambda e: F.transform(F.split("initials", ""), lambda i: F.concat(e, i))))
+    near = one.withColumn("zip3", F.left("zip", F.lit(3))).withColumn("evidence", F.concat(exact, local))
+    met = near.select("rep", "adm", "lic", F.explode("lasts").alias("name"), "evidence").where(F.size("evidence") > 0).join(_token_keys(one), "name")
+    keyed = met.select("rep", "adm", F.when(F.col("lic").isNotNull(), F.hash("lic")).alias("licence"), F.explode("evidence").alias("e"), "key").select("rep", "adm", "licence", F.xxhash64("e", "key").alias("k"))
+    # Rows with two licences or two admission dates are two lawyers, whatever else they share.
+    agree = "(x.adm is null or y.adm is null or x.adm = y.adm) and (x.licence is null or y.licence is null)"
+    pairs = keyed.alias("x").join(keyed.alias("y"), F.expr(f"x.k = y.k and x.rep < y.rep and {agree}")).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
     side = lambda s: one.select(F.col("rep").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in COMPARED])
     pairs = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", *[f"a_{c}" for c in COMPARED], *[f"b_{c}" for c in COMPARED])
     linked = pairs.mapInPandas(_verify, "a long, b long")

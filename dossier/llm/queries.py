@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dossier.llm import canonical, people, topn
+from dossier.llm import canonical, linkage, people, places, topn
 from dossier.session import cut_lineage, prepare, table
 
 
@@ -16,6 +16,22 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return people.linked_pairs(rows, people.resolve(rows))
 
 
+def p4_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every accepted link with its confidence."""
+    prepare(spark)
+    rows = cut_lineage(people.persons(table(spark, sf_dir, "lawyer_enrichment"), table(spark, sf_dir, "parsed_name")))
+    return linkage.link_rows(rows, cut_lineage(people.resolve(rows)), table(spark, sf_dir, "discovery_candidate"))
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p4_links(spark, sf_dir).select("id", "candidate_id")
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return places.address_pairs(*[table(spark, sf_dir, name) for name in ("google_places", "lawyer_enrichment", "discovery_candidate")])
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topn.best_places(table(prepare(spark), sf_dir, "google_discovery")).select("state", "city", "google_place_id")
 
@@ -28,6 +44,9 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p2_found": p2_found,
+        "p4_found": p4_found,
+        "p4_links": p4_links,
+        "p5_found": p5_found,
         "p6_found": p6_found,
         "p7_found": p7_found,
     }
