@@ -7,7 +7,7 @@ from functools import lru_cache
 from typing import NamedTuple
 
 from dossier.llm.aliases import STATES, TOWN_WORDS
-from dossier.llm.names import plain, within
+from dossier.llm.names import LOOKALIKE, plain, within
 
 #: Street type -> other spellings. Fixed values.
 STREET_TYPES = {
@@ -52,6 +52,17 @@ def town_key(text: str) -> str:
     return "".join(TOWN_WORDS.get(w, w) for w in words)
 
 
+@lru_cache(maxsize=50_000)
+def _word(word: str) -> str:
+    """A word of a street without look-alike digits, numbers written in figures."""
+    if re.fullmatch(r"\d+(st|nd|rd|th)?", word):
+        return word
+    word = word.translate(LOOKALIKE)
+    if word in ORDINALS or len(word) < 5 or word in _TYPE:
+        return ORDINALS.get(word, word)
+    return next((figure for name, figure in ORDINALS.items() if within(word, name, 1)), word)
+
+
 def _street(words: list[str], whole: bool) -> tuple[str, str, str, list[str]]:
     """(street, kind, side, words behind it). ``whole``: the words are all of a part between commas."""
     side = ""
@@ -61,16 +72,18 @@ def _street(words: list[str], whole: bool) -> tuple[str, str, str, list[str]]:
     if at is None and whole and len(words) > 1 and len(words[-1]) > 3:
         near = next((t for t in STREET_TYPES if within(words[-1], t, 1 if len(t) < 6 else 2)), None)
         if near:
-            return "".join(ORDINALS.get(w, w) for w in words[:-1]), near, side, []
+            return "".join(words[:-1]), near, side, []
     if at is None:
         kind, core, rest = "", words, []
         if whole and len(core) > 1 and core[-1] in DIRECTIONS:
             side, core = side or DIRECTIONS[core[-1]], core[:-1]
+        if not whole:  # nothing parts street and town here; most streets are one word
+            core, rest = core[:1], core[1:]
     else:
         kind, core, rest = _TYPE[words[at]], words[:at], words[at + 1 :]
-        if rest and rest[0] in DIRECTIONS and len(rest) == 1:
-            side, rest = side or DIRECTIONS[rest[0]], []
-    return "".join(ORDINALS.get(w, w) for w in core), kind, side, rest
+        if rest and rest[0] in DIRECTIONS and (len(rest) == 1 or len(rest[0]) < 3 and rest[1] in DIRECTIONS):
+            side, rest = side or DIRECTIONS[rest[0]], rest[1:]
+    return "".join(core), kind, side, rest
 
 
 @lru_cache(maxsize=50_000)
@@ -98,7 +111,7 @@ def parse_place(text: str | None) -> Place:
     parts = [p for p in (re.sub(r"\s+", " ", p).strip(" .-") for p in s.split(",")) if p]
     for i, part in enumerate(parts):
         if m := _NUMBER.match(part):
-            words = [w for w in (re.sub(r"[^a-z0-9]", "", w) for w in re.split(r"[\s.]+", m.group(2))) if w]
+            words = [_word(w) for w in (re.sub(r"[^a-z0-9]", "", w) for w in re.split(r"[\s.]+", m.group(2))) if w]
             if not words:
                 continue
             street, kind, side, rest = _street(words, i + 1 < len(parts) or not state)
@@ -121,8 +134,10 @@ def same_town(a: Place, b: Place) -> bool:
     """Whether state, town and zip of two places can be one: nothing contradicts and something agrees."""
     if a.state and b.state and a.state != b.state:
         return False
+    if a.zip and a.zip == b.zip:
+        return True
     if a.town and b.town:
-        return a.town == b.town or within(a.town, b.town, 1 if min(len(a.town), len(b.town)) < 6 else 2)
+        return a.town == b.town or a.town + "city" == b.town or b.town + "city" == a.town or within(a.town, b.town, 1 if min(len(a.town), len(b.town)) < 6 else 2)
     if a.zip and b.zip:
-        return a.zip == b.zip
+        return False
     return bool(a.state and a.state == b.state)

@@ -39,7 +39,7 @@ for _formal, _short in NICKNAMES.items():
 _TITLE = re.compile(r"^(?:(?:mr|mrs|ms|miss|mx|dr|hon|honorable|atty|attorney|judge|prof|professor)\b\.?\s+)+")
 _CREDENTIAL = re.compile(r"(?:\b(?:attorney|atty|lawyer|counsel(?:l?or)?)s? at law\b|[,\s]\s*(?:esq(?:uire)?|j\.?d|ll\.?m|ph\.?d|cpa|m\.?b\.?a)\b\.?)")
 _PARTICLE = re.compile(r"\b(de la|de los|del|della|de|da|di|van der|van den|van|von|st|saint|mc|mac|le|la)[.\s]+(?=[a-z]{3})")
-_LOOKALIKE = str.maketrans("0135", "oles")
+LOOKALIKE = str.maketrans("0135", "oles")
 
 
 def plain(text: str) -> str:
@@ -80,7 +80,7 @@ def readings(name: str | None) -> tuple[str, tuple[tuple[str, str, str], ...]]:
             if word in GENERATIONS and (i or len(words) == 1):
                 generation = generation or GENERATIONS[word]
             else:
-                kept.append(word.translate(_LOOKALIKE) if re.search("[a-z]", word) else word)
+                kept.append(word.translate(LOOKALIKE) if re.search("[a-z]", word) else word)
         return kept
 
     text = _PARTICLE.sub(lambda m: m.group(1).replace(" ", ""), text)

@@ -14,10 +14,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dossier.llm.addresses import Place, join_parts, parse_place, same_town
+from dossier.llm.names import within
 from dossier.session import cut_lineage
 
-#: Least cosine of two street names.
-COSINE = 0.45
+#: Least cosine of two street names, and that from which no edit distance is asked for.
+COSINE, SURE = 0.25, 0.7
 
 PARSED = "rec string, number string, street string, kind string, side string, town string, state string, zip string"
 
@@ -53,7 +54,7 @@ SIDE = ["number", "street", "kind", "side", "town", "state", "zip"]
 
 
 def compatible(a: Place, b: Place) -> bool:
-    """House number, street type, side and town of two records can be one place (street names are compared before)."""
+    """House number, street type, side and town of two records can be one place (cosines are compared before)."""
     if a.number != b.number or (a.kind and b.kind and a.kind != b.kind) or (a.side and b.side and a.side != b.side):
         return False
     return same_town(a, b)
@@ -62,7 +63,11 @@ def compatible(a: Place, b: Place) -> bool:
 def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     n = len(SIDE)
     for batch in batches:
-        keep = [compatible(Place(*row[2 : 2 + n]), Place(*row[2 + n :])) for row in batch.itertuples(index=False, name=None)]
+        keep = []
+        for row in batch.itertuples(index=False, name=None):
+            a, b = Place(*row[3 : 3 + n]), Place(*row[3 + n :])
+            near = row[2] or within(a.street, b.street, 1 if min(len(a.street), len(b.street)) < 6 else 2)
+            keep.append(near and compatible(a, b))
         yield batch.loc[keep, ["a", "b"]]
 
 
@@ -90,11 +95,11 @@ def same_places(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     side = lambda s: one.select(F.col("place").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in SIDE]).join(bags.select(F.col("place").alias(s), F.col("bag").alias(f"{s}_bag"), F.col("norm2").alias(f"{s}_norm2")), s)
     both = met.select("a", "b").join(side("a"), "a").join(side("b"), "b")
     dot = F.aggregate(F.array_intersect("a_bag", "b_bag"), F.lit(0.0), lambda s, g: s + g["w2"])
-    near = both.where(dot >= COSINE * F.sqrt(F.col("a_norm2") * F.col("b_norm2")))
-    wide = lambda df: df.select("a", "b", *[f"a_{c}" for c in SIDE], *[f"b_{c}" for c in SIDE])
+    near = both.withColumn("cosine", dot / F.sqrt(F.col("a_norm2") * F.col("b_norm2"))).where(F.col("cosine") >= COSINE)
+    wide = lambda df, sure: df.select("a", "b", sure.alias("sure"), *[f"a_{c}" for c in SIDE], *[f"b_{c}" for c in SIDE])
     plain = lambda s: one.where("street = ''").select(F.col("place").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in SIDE])
     boxes = plain("a").join(plain("b"), F.expr("a_number = b_number and a < b"))
-    return wide(near).unionByName(wide(boxes)).mapInPandas(_verify, "a long, b long"), records.select("rec", "place")
+    return wide(near, F.col("cosine") >= SURE).unionByName(wide(boxes, F.lit(True))).mapInPandas(_verify, "a long, b long"), records.select("rec", "place")
 
 
 def address_pairs(places: DataFrame, profiles: DataFrame, candidates: DataFrame) -> DataFrame:

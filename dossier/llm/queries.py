@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dossier.llm import canonical, linkage, people, places, topn
+from dossier.llm import canonical, linkage, people, places, templates, topn
 from dossier.session import cut_lineage, prepare, table
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.residue_values(table(prepare(spark), sf_dir, "lawyer_enrichment")).select("id", "column_name")
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     rows = cut_lineage(people.persons(table(spark, sf_dir, "lawyer_enrichment"), table(spark, sf_dir, "parsed_name")))
@@ -43,6 +47,7 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "p1_found": p1_found,
         "p2_found": p2_found,
         "p4_found": p4_found,
         "p4_links": p4_links,
