@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dossier.llm.addresses import Place, parse_place, same_town
-from dossier.llm.names import middle_conflict, name_match, readings
+from dossier.llm.names import last_names, middle_conflict, name_match, readings
 from dossier.llm.people import licence_number, spelling_keys, street_close
 from dossier.session import cut_lineage
 
@@ -37,8 +37,7 @@ def _candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
         for r in batch.itertuples(index=False):
-            lasts = sorted({last for _, _, last in readings(r.name)[1] if len(last) > 2})
-            rows.append((r.cand, r.copy, r.name, r.bar, *parse_place(r.location), lasts))
+            rows.append((r.cand, r.copy, r.name, r.bar, *parse_place(r.location), last_names(r.name)))
         yield pd.DataFrame(rows, columns=[c.split()[0] for c in CANDIDATE.split(", ")])
 
 

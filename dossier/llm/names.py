@@ -217,3 +217,13 @@ def name_match(a: str | None, b: str | None) -> int:
                 if best == 3:
                     return best
     return best
+
+
+def likely(name: str | None) -> tuple[tuple[str, str, str], ...]:
+    """The readings whose last name is no given name of the table, or all of them if none is left; used to look names up."""
+    read = readings(name)[1]
+    return tuple(r for r in read if r[2] not in FORMAL) or read
+
+
+def last_names(name: str | None) -> list[str]:
+    return sorted({last for _, _, last in likely(name) if len(last) > 2})

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from dossier.llm.addresses import join_parts, parse_place, same_town
 from dossier.llm.canonical import allowed_edits, probes, segments
 from dossier.llm.graph import connected_components
-from dossier.llm.names import FORMAL, middle_conflict, name_match, plain, readings, within
+from dossier.llm.names import FORMAL, last_names, likely, middle_conflict, name_match, plain, within
 from dossier.session import cut_lineage
 
 DOCUMENT = (
@@ -52,9 +52,9 @@ PERSON = (
 HASHED = ["adm", "email", "phone", "school", "firm"]
 
 
-def initials(read: tuple[tuple[str, str, str], ...]) -> str:
-    """The letters that may stand for the given name in any reading: of each word and of its formal names."""
-    words = {w for first, middle, last in read for w in (first, *middle.split(), last)[: 3 if len(read) > 1 else 2] if w}
+def initials(name: str | None) -> str:
+    """The letters that may stand for the given name: of each given word and of its formal names."""
+    words = {w for first, middle, _ in likely(name) for w in (first, *middle.split()[:1]) if w}
     return "".join(sorted({w[0] for w in words} | {f[0] for w in words for f in FORMAL.get(w, ())}))
 
 
@@ -65,9 +65,7 @@ def _persons(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             place = parse_place(join_parts(r.line1, r.line2, r.a_city, r.a_state, r.a_zip))
             state = place.state or (r.license_state or r.state or "").strip().upper()
             town = place.town or (parse_place(r.city).town if r.city else "")
-            read = readings(r.full_name)[1]
-            lasts = sorted({last for _, _, last in read if len(last) > 2})
-            rows.append((r.id, r.full_name, r.lic, r.bar, r.adm, r.email, r.phone, r.school, r.firm, plain(r.middle) if r.middle else None, place.number, place.street, place.kind, place.side, town, state, place.zip, lasts, initials(read)))
+            rows.append((r.id, r.full_name, r.lic, r.bar, r.adm, r.email, r.phone, r.school, r.firm, plain(r.middle) if r.middle else None, place.number, place.street, place.kind, place.side, town, state, place.zip, last_names(r.full_name), initials(r.full_name)))
         frame = pd.DataFrame(rows, columns=[c.split()[0] for c in PERSON.split(", ")])
         yield frame.astype({c: "Int32" for c in HASHED})
 

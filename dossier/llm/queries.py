@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dossier.llm import canonical, linkage, people, places, templates, topn
+from dossier.llm import canonical, golden, linkage, people, places, templates, topn
 from dossier.session import cut_lineage, prepare, table
 
 
@@ -20,6 +20,15 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return people.linked_pairs(rows, people.resolve(rows))
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return golden.best_rows(table(prepare(spark), sf_dir, "lawyer_enrichment")).select("group_id", "column_name", "from_id")
+
+
+def p3_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best-supported value of each field, by truth discovery alone."""
+    return golden.most_supported(table(prepare(spark), sf_dir, "lawyer_enrichment"))
+
+
 def p4_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every accepted link with its confidence."""
     prepare(spark)
@@ -49,6 +58,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_found": p1_found,
         "p2_found": p2_found,
+        "p3_found": p3_found,
+        "p3_truth": p3_truth,
         "p4_found": p4_found,
         "p4_links": p4_links,
         "p5_found": p5_found,

@@ -80,7 +80,7 @@ def _parts_of_name(name: str) -> frozenset[str] | None:
     """The words that a file name consists of, all of them about portraits or their absence; else null."""
     words: set[str] = set()
     for run in re.findall(r"[a-z]+", name):
-        if re.fullmatch("x|v|w|h|px|sm|md|lg|xl", run):
+        if re.fullmatch("[a-z]|px|sm|md|lg|xl|large|small|medium|big|tiny|retina|square|round", run) and len(name) > len(run):
             continue
         best: list[frozenset[str] | None] = [frozenset()] + [None] * len(run)
         for end in range(1, len(run) + 1):
