@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from dossier.llm import canonical, golden, linkage, people, places, templates, topn
+from dossier.llm import canonical, golden, linkage, mixing, packing, people, places, subjects, templates, tokens, topn
 from dossier.session import cut_lineage, prepare, table
 
 
@@ -54,6 +55,40 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canonical.map_typed_values(*[table(spark, sf_dir, name) for name in ("google_discovery", "lawyer_enrichment", "practice_area_ref", "city_ref")])
 
 
+def _sized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, source, n_tokens) of all documents, counted once."""
+    return cut_lineage(tokens.count_tokens(table(prepare(spark), sf_dir, "documents").select("doc_id", "source", "text")))
+
+
+def p8_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_sized(spark, sf_dir), table(spark, sf_dir, "container_spec"))
+
+
+def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.fill_report(p8_packed(spark, sf_dir))
+
+
+def p9_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_sized(spark, sf_dir), table(spark, sf_dir, "mix_target"))
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items, targets = _sized(spark, sf_dir), table(spark, sf_dir, "mix_target")
+    return mixing.shares(items, targets, mixing.mix(items, targets))
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return subjects.document_subjects(*[table(spark, sf_dir, name) for name in ("documents", "doc_subject_label", "subject_ref")])
+
+
+def p10_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(subject, documents, share of all documents) of the corpus."""
+    total = table(prepare(spark), sf_dir, "documents").count()
+    found = p10_found(spark, sf_dir).groupBy("subject").agg(F.count("*").alias("documents"))
+    return found.withColumn("share", F.col("documents") / F.lit(total))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_found": p1_found,
@@ -65,4 +100,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p5_found": p5_found,
         "p6_found": p6_found,
         "p7_found": p7_found,
+        "p8_packed": p8_packed,
+        "p8_fill": p8_fill,
+        "p9_mixed": p9_mixed,
+        "p9_shares": p9_shares,
+        "p10_found": p10_found,
+        "p10_composition": p10_composition,
     }
