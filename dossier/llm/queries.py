@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dossier.llm import canonical, golden, linkage, mixing, packing, people, places, subjects, templates, tokens, topn
+from dossier.llm.sql import ORACLES
 from dossier.session import cut_lineage, prepare, table
 
 
@@ -107,3 +108,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p10_found": p10_found,
         "p10_composition": p10_composition,
     }
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(ORACLES)
