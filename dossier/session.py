@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,14 +48,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_FOLDERS: dict[str, str] = {}
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A folder of this application in the one that the session names in ``spark.checkpoint.dir``, which all executors share.
+
+    Only where nobody named one (tests on one machine) a temporary folder is used. The folder goes when Python ends.
+    """
+    context = spark.sparkContext
+    app = context.applicationId
+    if app not in _FOLDERS:
+        base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir() or tempfile.mkdtemp(prefix="dossier-")
+        _FOLDERS[app] = f"{base.rstrip('/')}/dossier-{app}"
+        atexit.register(_remove, spark, _FOLDERS[app])
+    return _FOLDERS[app]
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    try:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    except Exception:  # the session may be gone already
+        pass
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and continue from there.
+    """Write ``df`` as a table in the shared folder and read it from there.
 
-    The folder is the one the session names in ``spark.checkpoint.dir``; only where nobody named one (tests) a temporary
-    folder is used. Checkpoint files outlive executors, so what follows survives their loss.
+    The files outlive executors, so what follows survives their loss; being columnar and compressed they take a fraction of
+    the room of checkpointed rows, later steps read only the columns that they need, and their size is known to the planner.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="dossier-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dossier.session import prepare
+from dossier.session import prepare, shared_folder
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,14 +18,10 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def _folder(spark: SparkSession) -> str:
-    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="dossier-stream-")
-    return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
-
-
 def run_to_end(df: DataFrame, mode: str) -> DataFrame:
     """Write the stream's batches to a folder of their own and read them back: ``append`` the rows, ``update`` with their batch number."""
-    spark, folder = df.sparkSession, _folder(df.sparkSession)
+    spark = df.sparkSession
+    folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
 
     def write(batch: DataFrame, number: int) -> None:
         # Written by batch number: a batch that is run again replaces itself.
