@@ -119,7 +119,7 @@ def possible_links(people: DataFrame, lawyers: DataFrame, cands: DataFrame) -> D
     # A lawyer whose licence is known from any row is not a candidate with another one.
     own = rows.where("bar is not null").groupBy("lawyer").agg(F.collect_set("bar").alias("bars"))
     links = links.join(own, "lawyer", "left").join(cands.select("cand", "bar"), "cand")
-    return links.where(F.col("bar").isNull() | F.col("bars").isNull() | F.array_contains("bars", F.col("bar"))).select("lawyer", "cand", "s", "w", "bar")
+    return cut_lineage(links.where(F.col("bar").isNull() | F.col("bars").isNull() | F.array_contains("bars", F.col("bar"))).select("lawyer", "cand", "s", "w", "bar"))
 
 
 def solve(links: DataFrame) -> DataFrame:

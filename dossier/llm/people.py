@@ -175,7 +175,7 @@ def resolve(people: DataFrame, licences: bool = True) -> DataFrame:
     one = people.groupBy("copy").agg(F.min("id").alias("rep"), *[F.first(c).alias(c) for c in [*COMPARED, "lasts", "initials"]])
     one = cut_lineage(one)
     text = lambda kind, *cols: F.when(F.forall(F.array(*[F.coalesce(F.col(c).cast("string"), F.lit("")) != "" for c in cols]), lambda x: x), F.concat_ws("|", F.lit(kind), *cols))
-    exact = F.array_compact(F.array(text("a", "adm"), text("e", "email"), text("p", "phone"), text("z", "number", "zip")))
+    exact = F.array_compact(F.array(text("a", "adm", "state"), text("p", "phone"), text("z", "number", "zip")))
     # Many people of a town share a last name, so there the initials of the given name are part of the key.
     local = F.array_compact(F.array(text("t", "town", "state"), text("r", "zip3", "state")))
     local = F.flatten(F.transform(local, lambda e: F.transform(F.split("initials", ""), lambda i: F.concat(e, i))))
