@@ -5,6 +5,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,16 +35,33 @@ def local_session(name: str = "dossier", cores: str = "*", shuffle_partitions: i
         builder = builder.config(key, value)
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
-    return session
+    return prepare(session)
 
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the run-time settings to a session that somebody else made."""
     for key in ("spark.sql.session.timeZone", "spark.sql.mapKeyDedupPolicy"):
         spark.conf.set(key, SETTINGS[key])
+    _ship(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def _ship(spark: SparkSession) -> None:
+    """Give the executors this package, once an application, so that their Python workers can import it."""
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        _SHIPPED.add(app)
+        package = Path(__file__).resolve().parent
+        target = Path(tempfile.mkdtemp(prefix="dossier-code-")) / "dossier_code.zip"
+        with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as archive:
+            for source in sorted(package.rglob("*.py")):
+                archive.write(source, f"dossier/{source.relative_to(package)}")
+        spark.sparkContext.addPyFile(str(target))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the Parquet tables under ``sf_dir``."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
