@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +27,7 @@ BY_STREET = {3: (0.97, 6.0), 2: (0.95, 5.0), 1: (0.8, 3.0)}
 BY_TOWN = {3: (0.9, 4.0), 2: (0.85, 3.0), 1: (0.6, 1.0)}
 BY_STATE = {3: (0.6, 1.0), 2: (0.55, 0.8), 1: (0.2, 0.3)}
 BY_LICENCE = (1.0, 20.0)
-EXCLUSIVE, TRANSITIVE, RHO = 8.0, 1.0, 2.0
+EXCLUSIVE, TRANSITIVE, RHO = 8.0, 1.0, 5.0
 MOST_ROUNDS, SETTLED = 30, 0.004
 ACCEPT = 0.5
 
@@ -51,43 +52,40 @@ def candidate_entities(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     return one.mapInPandas(_candidates, CANDIDATE), rows.select("candidate_id", "copy", "bar")
 
 
-class _Side:
-    __slots__ = ("number", "street", "kind", "side", "town", "state", "zip")
-
-
 PLACE = ["number", "street", "town", "state", "zip"]
 PROFILE_SIDE = ["lawyer", "full_name", "middle", "bar", *PLACE]
 CANDIDATE_SIDE = ["cand", "name", "bar", *PLACE]
 
 
-def similarity(profile: dict, cand: dict) -> tuple[float, float]:
-    """(similarity, weight) of one profile row and one candidate; (0, 0) for none."""
-    if profile["bar"] and cand["bar"]:
-        return BY_LICENCE if profile["bar"] == cand["bar"] else (0.0, 0.0)
-    level = name_match(profile["full_name"], cand["name"])
-    if not level:
-        return 0.0, 0.0
-    middle = profile["middle"] or ""
-    if middle and any(middle_conflict(middle, m) for _, m, last in readings(cand["name"])[1][:1]):
+def similarity(profile: tuple, cand: tuple) -> tuple[float, float]:
+    """(similarity, weight) of one profile row and one candidate (values of the two sides); (0, 0) for none.
+
+    Licences and places, which are cheap, are looked at before the names.
+    """
+    _, name_a, middle, bar_a, number_a, street_a, town_a, state_a, zip_a = profile
+    _, name_b, bar_b, number_b, street_b, town_b, state_b, zip_b = cand
+    if bar_a and bar_b:
+        return BY_LICENCE if bar_a == bar_b else (0.0, 0.0)
+    near = same_town(Place("", "", "", "", town_a or "", state_a or "", zip_a or ""), Place("", "", "", "", town_b or "", state_b or "", zip_b or ""))
+    if near and street_close(number_a, street_a, number_b, street_b):
+        table = BY_STREET
+    elif town_a and town_b:
+        table = BY_TOWN if near else None
+    else:
+        table = BY_STATE if state_a and state_a == state_b else None
+    level = name_match(name_a, name_b) if table else 0
+    if not level or middle and any(middle_conflict(middle, m) for _, m, _ in readings(name_b)[1][:1]):
         return 0.0, 0.0
-    a, b = (Place(x["number"] or "", x["street"] or "", "", "", x["town"] or "", x["state"] or "", x["zip"] or "") for x in (profile, cand))
-    if street_close(a, b):
-        return BY_STREET[level]
-    if a.town and b.town:
-        return BY_TOWN[level] if same_town(a, b) else (0.0, 0.0)
-    return BY_STATE[level] if a.state and a.state == b.state else (0.0, 0.0)
+    return table[level]
 
 
-def _similar(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     n = len(PROFILE_SIDE)
     for batch in batches:
-        batch = batch.astype(object).where(batch.notna(), None)
-        rows = []
-        for row in batch.itertuples(index=False, name=None):
-            s, w = similarity(dict(zip(PROFILE_SIDE, row[:n])), dict(zip(CANDIDATE_SIDE, row[n:])))
-            if s:
-                rows.append((row[0], row[n], s, w))
-        yield pd.DataFrame(rows, columns=["lawyer", "cand", "s", "w"])
+        columns = [c.to_pylist() for c in batch.columns]
+        rows = [(a[0], b[0], *similarity(a, b)) for a, b in zip(zip(*columns[:n]), zip(*columns[n:]))]
+        lawyer, cand, s, w = zip(*[r for r in rows if r[2]]) if any(r[2] for r in rows) else ((), (), (), ())
+        yield pa.record_batch([pa.array(lawyer, pa.int64()), pa.array(cand, pa.int64()), pa.array(s, pa.float64()), pa.array(w, pa.float64())], names=["lawyer", "cand", "s", "w"])
 
 
 def possible_links(people: DataFrame, lawyers: DataFrame, cands: DataFrame) -> DataFrame:
@@ -115,7 +113,7 @@ def possible_links(people: DataFrame, lawyers: DataFrame, cands: DataFrame) -> D
     b = cands.select("cand", *[F.col(c).alias(f"b_{c}") for c in CANDIDATE_SIDE if c != "cand"], F.col("cand").alias("b_cand"))
     pairs = pairs.join(a, "row").join(b, "cand").select(*[f"a_{c}" for c in PROFILE_SIDE], *[f"b_{c}" for c in CANDIDATE_SIDE])
     best = F.max_by("w", "s")
-    links = pairs.mapInPandas(_similar, "lawyer long, cand long, s double, w double").groupBy("lawyer", "cand").agg(F.max("s").alias("s"), best.alias("w"))
+    links = pairs.mapInArrow(_similar, "lawyer long, cand long, s double, w double").groupBy("lawyer", "cand").agg(F.max("s").alias("s"), best.alias("w"))
     # A lawyer whose licence is known from any row is not a candidate with another one.
     own = rows.where("bar is not null").groupBy("lawyer").agg(F.collect_set("bar").alias("bars"))
     links = links.join(own, "lawyer", "left").join(cands.select("cand", "bar"), "cand")
@@ -125,14 +123,15 @@ def possible_links(people: DataFrame, lawyers: DataFrame, cands: DataFrame) -> D
 def solve(links: DataFrame) -> DataFrame:
     """(lawyer, cand, confidence) of ``links(lawyer, cand, s, w, bar)`` by alternating directions.
 
-    A link whose candidate has no rival and no licence group is settled by its own rule (confidence = s). The others are
-    iterated: one row a link, with its consensus value z, a dual for each of its three rules, and the group value of its
+    A link whose candidate has no rival, and whose licence group neither pulls nor has a rival, is settled by its own rule
+    (confidence = s). The others are iterated: one row a link, with its consensus value z, a dual for each of its three rules, and the group value of its
     licence; each round two aggregates (by candidate, by lawyer and licence) and one checkpoint.
     """
     by_cand = links.groupBy("cand").agg(F.sum("s").alias("total"))
-    by_bar = links.where("bar is not null").groupBy("lawyer", "bar").agg(F.count("*").alias("others"))
-    links = cut_lineage(links.join(by_cand, "cand").join(by_bar, ["lawyer", "bar"], "left"))
-    open_ = "total > 1 or coalesce(others, 0) > 1"
+    links = links.join(by_cand, "cand")
+    by_bar = links.where("bar is not null").groupBy("lawyer", "bar").agg(((F.count("*") > 1) & ((F.max("s") > F.min("s")) | (F.max("total") > 1))).alias("pulled"))
+    links = cut_lineage(links.join(by_bar, ["lawyer", "bar"], "left"))
+    open_ = "total > 1 or coalesce(pulled, false)"
     settled = links.where(f"not ({open_})").select("lawyer", "cand", F.col("s").alias("confidence"))
     zero = F.lit(0.0)
     state = cut_lineage(links.where(open_).select("lawyer", "cand", "s", "w", "bar", F.col("s").alias("z"), F.col("s").alias("m"), zero.alias("u1"), zero.alias("u2"), zero.alias("u3"), zero.alias("um")))

@@ -11,10 +11,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dossier.llm.addresses import join_parts, parse_place, same_town
+from dossier.llm.addresses import Place, join_parts, parse_place, same_town
 from dossier.llm.canonical import allowed_edits, probes, segments
 from dossier.llm.graph import connected_components
 from dossier.llm.names import FORMAL, last_names, likely, middle_conflict, name_match, plain, within
@@ -116,51 +117,47 @@ def _token_keys(people: DataFrame) -> DataFrame:
     return spelling_keys(tokens)
 
 
-def street_close(a, b) -> bool:
-    return bool(a.number) and a.number == b.number and (a.street == b.street or within(a.street, b.street, 2)) and same_town(a, b)
+def street_close(number_a: str, street_a: str, number_b: str, street_b: str) -> bool:
+    return bool(number_a) and number_a == number_b and (street_a == street_b or within(street_a or "", street_b or "", 2))
 
 
-def same_person(a, b) -> bool:
-    """Whether two rows of ``persons`` mean one lawyer. Licences decide where both have one; admission dates never differ."""
-    if a.lic and b.lic:
-        return a.lic == b.lic
-    if (a.adm and b.adm and a.adm != b.adm) or (a.state and b.state and a.state != b.state):
-        return False
-    level = name_match(a.full_name, b.full_name)
-    if not level or middle_conflict(a.middle or "", b.middle or ""):
-        return False
-    town = bool(a.town and b.town) and same_town(a, b)
-    away = bool(a.town and b.town) and not town
-    # An e-mail address made of a name is shared by namesakes, so it counts only where the towns can agree.
-    shared = bool(a.email and a.email == b.email and not away) + bool(a.phone and a.phone == b.phone) + street_close(a, b)
-    if a.adm and a.adm == b.adm:
-        return bool(shared) or town or level > 1
-    if town and level > 1:
-        return True
-    weak = bool(a.school and a.school == b.school) + bool(a.firm and a.firm == b.firm)
-    return bool(shared) or (town and weak > 0)
-
-
-#: Columns that ``same_person`` looks at.
+#: Columns that ``same_person`` looks at, in its order.
 COMPARED = ["full_name", "lic", "adm", "email", "phone", "school", "firm", "middle", "number", "street", "town", "state", "zip"]
 
 
-class _Side:
-    __slots__ = COMPARED
+def same_person(a: tuple, b: tuple) -> bool:
+    """Whether two rows (``COMPARED`` values) mean one lawyer. Licences decide where both have one; admission dates never differ.
+
+    What contradicts is looked at before the names, which cost more.
+    """
+    name_a, lic_a, adm_a, email_a, phone_a, school_a, firm_a, middle_a, number_a, street_a, town_a, state_a, zip_a = a
+    name_b, lic_b, adm_b, email_b, phone_b, school_b, firm_b, middle_b, number_b, street_b, town_b, state_b, zip_b = b
+    if lic_a and lic_b:
+        return lic_a == lic_b
+    dated = adm_a is not None and adm_b is not None
+    if (dated and adm_a != adm_b) or (state_a and state_b and state_a != state_b):
+        return False
+    near = same_town(Place("", "", "", "", town_a or "", state_a or "", zip_a or ""), Place("", "", "", "", town_b or "", state_b or "", zip_b or ""))
+    town = bool(town_a and town_b) and near
+    away = bool(town_a and town_b) and not near
+    # An e-mail address made of a name is shared by namesakes, so it counts only where the towns can agree.
+    shared = (email_a is not None and email_a == email_b and not away) or (phone_a is not None and phone_a == phone_b) or (near and street_close(number_a, street_a, number_b, street_b))
+    if not (shared or town or dated) or middle_conflict(middle_a or "", middle_b or ""):
+        return False
+    level = name_match(name_a, name_b)
+    if not level:
+        return False
+    if shared or level > 1 and (town or dated) or dated and town:
+        return True
+    return town and ((school_a is not None and school_a == school_b) or (firm_a is not None and firm_a == firm_b))
 
 
-def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    a, b = _Side(), _Side()
+def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     n = len(COMPARED)
     for batch in batches:
-        batch = batch.astype(object).where(batch.notna(), None)
-        keep = []
-        for row in batch.itertuples(index=False, name=None):
-            for i, column in enumerate(COMPARED):
-                setattr(a, column, row[2 + i])
-                setattr(b, column, row[2 + n + i])
-            keep.append(same_person(a, b))
-        yield batch.loc[keep, ["a", "b"]].astype("int64")
+        columns = [c.to_pylist() for c in batch.columns[2:]]
+        keep = [same_person(a, b) for a, b in zip(zip(*columns[:n]), zip(*columns[n:]))]
+        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
 def resolve(people: DataFrame, licences: bool = True) -> DataFrame:
@@ -187,7 +184,7 @@ def resolve(people: DataFrame, licences: bool = True) -> DataFrame:
     pairs = keyed.alias("x").join(keyed.alias("y"), F.expr(f"x.k = y.k and x.rep < y.rep and {agree}")).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
     side = lambda s: one.select(F.col("rep").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in COMPARED])
     pairs = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", *[f"a_{c}" for c in COMPARED], *[f"b_{c}" for c in COMPARED])
-    linked = pairs.mapInPandas(_verify, "a long, b long")
+    linked = pairs.mapInArrow(_verify, "a long, b long")
     first = one.where("lic is not null").groupBy("lic").agg(F.min("rep").alias("a"))
     by_licence = one.select("lic", F.col("rep").alias("b")).join(first, "lic").where("a <> b").select("a", "b")
     found = connected_components(linked.unionByName(by_licence))

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,15 +61,14 @@ def compatible(a: Place, b: Place) -> bool:
     return same_town(a, b)
 
 
-def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     n = len(SIDE)
     for batch in batches:
+        columns = [c.to_pylist() for c in batch.columns[2:]]
         keep = []
-        for row in batch.itertuples(index=False, name=None):
-            a, b = Place(*row[3 : 3 + n]), Place(*row[3 + n :])
-            near = row[2] or within(a.street, b.street, 1 if min(len(a.street), len(b.street)) < 6 else 2)
-            keep.append(near and compatible(a, b))
-        yield batch.loc[keep, ["a", "b"]]
+        for sure, a, b in zip(columns[0], map(Place._make, zip(*columns[1 : 1 + n])), map(Place._make, zip(*columns[1 + n :]))):
+            keep.append(compatible(a, b) and (sure or within(a.street, b.street, 1 if min(len(a.street), len(b.street)) < 6 else 2)))
+        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
 def same_places(records: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -99,7 +99,7 @@ def same_places(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     wide = lambda df, sure: df.select("a", "b", sure.alias("sure"), *[f"a_{c}" for c in SIDE], *[f"b_{c}" for c in SIDE])
     plain = lambda s: one.where("street = ''").select(F.col("place").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in SIDE])
     boxes = plain("a").join(plain("b"), F.expr("a_number = b_number and a < b"))
-    return wide(near, F.col("cosine") >= SURE).unionByName(wide(boxes, F.lit(True))).mapInPandas(_verify, "a long, b long"), records.select("rec", "place")
+    return wide(near, F.col("cosine") >= SURE).unionByName(wide(boxes, F.lit(True))).mapInArrow(_verify, "a long, b long"), records.select("rec", "place")
 
 
 def address_pairs(places: DataFrame, profiles: DataFrame, candidates: DataFrame) -> DataFrame:
