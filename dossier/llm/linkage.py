@@ -89,25 +89,29 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def possible_links(people: DataFrame, lawyers: DataFrame, cands: DataFrame) -> DataFrame:
-    """(lawyer, cand, s, w): links with any similarity, from rows that share a licence number, or a spelling of the last
-    name and a town, zip area or street number (a state where the candidate names no more)."""
+    """(lawyer, cand, s, w, bar): links with any similarity, from rows that share a licence number, or a spelling of the last
+    name and one of the town, or a street number and zip area (the state where the candidate names no more)."""
     rows = people.join(lawyers, "id").groupBy("lawyer", "full_name", "middle", "bar", "number", "street", "town", "state", "zip").agg(F.first("lasts").alias("lasts"))
     rows = cut_lineage(rows.withColumn("row", F.xxhash64("lawyer", "full_name", "middle", "bar", "number", "street", "town", "state", "zip")))
     names = rows.select(F.explode("lasts").alias("name")).unionByName(cands.select(F.explode("lasts").alias("name"))).groupBy("name").agg(F.count("*").alias("n"))
     spellings = cut_lineage(spelling_keys(names))
     given = lambda *cs: F.forall(F.array(*[F.coalesce(F.col(c), F.lit("")) != "" for c in cs]), lambda x: x)
     key = lambda kind, *cs: F.when(given(*cs), F.concat_ws("|", F.lit(kind), *cs))
-    near = [key("t", "town", "state"), key("r", "zip3", "state"), key("n", "number", "zip3")]
+    # Towns are typed with typos too, so they are looked up like names; the state in front keeps those of other states away.
+    placed = lambda df: df.where(given("town", "state")).select(F.concat("state", "town").alias("name"))
+    towns = spelling_keys(placed(rows).unionByName(placed(cands)).groupBy("name").agg(F.count("*").alias("n")))
+    towns = cut_lineage(towns.groupBy(F.col("name").alias("at_town")).agg(F.collect_set("key").alias("towns")))  # few a town
     state = key("s", "state")
 
     def keyed(df: DataFrame, ident: str, places) -> DataFrame:
-        df = df.withColumn("zip3", F.left("zip", F.lit(3)))
-        by_name = df.select(ident, F.explode("lasts").alias("name"), F.array_compact(F.array(*places)).alias("at")).join(spellings, "name").select(ident, F.explode("at").alias("at"), "key")
+        df = df.withColumn("zip3", F.left("zip", F.lit(3))).withColumn("at_town", F.concat("state", "town")).join(towns, "at_town", "left")
+        at = F.array_compact(F.concat(F.coalesce("towns", F.array().cast("array<string>")), F.array(key("n", "number", "zip3"), places)))
+        by_name = df.select(ident, F.explode("lasts").alias("name"), at.alias("at")).join(spellings, "name").select(ident, F.explode("at").alias("at"), "key")
         by_bar = df.where("bar is not null").select(ident, F.xxhash64(F.lit("bar"), "bar").alias("k"))
         return by_name.select(ident, F.xxhash64("at", "key").alias("k")).unionByName(by_bar).distinct()
 
-    left = keyed(rows, "row", [*near, state])
-    right = keyed(cands, "cand", [*near, F.when(~given("town"), state)])
+    left = keyed(rows, "row", state)
+    right = keyed(cands, "cand", F.when(~given("town"), state))
     pairs = left.join(right, "k").select("row", "cand").distinct()
     a = rows.select("row", *[F.col(c).alias(f"a_{c}") for c in PROFILE_SIDE])
     b = cands.select("cand", *[F.col(c).alias(f"b_{c}") for c in CANDIDATE_SIDE if c != "cand"], F.col("cand").alias("b_cand"))
