@@ -123,7 +123,7 @@ def within(a: str, b: str, k: int) -> bool:
         new = [k + 1] * (lb + 1)
         if i <= k:
             new[0] = i
-        best = k + 1
+        best = new[0]
         x = a[i - 1]
         for j in range(low, high + 1):
             y = b[j - 1]

@@ -19,7 +19,7 @@ from dossier.llm.names import within
 from dossier.session import cut_lineage
 
 #: Least cosine of two street names, and that from which no edit distance is asked for.
-COSINE, SURE = 0.25, 0.7
+COSINE, SURE = 0.15, 0.7
 
 PARSED = "rec string, number string, street string, kind string, side string, town string, state string, zip string"
 
