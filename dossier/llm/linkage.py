@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from dossier.llm.addresses import Place, parse_place, same_town
 from dossier.llm.names import last_names, middle_conflict, name_match, readings
-from dossier.llm.people import licence_number, spelling_keys, street_close
+from dossier.llm.people import initials, licence_number, local_keys, spelling_keys, street_close, town_spellings
 from dossier.session import cut_lineage
 
 #: (similarity, rule weight) by kind of agreement and name level 1 (initials), 2 (typos), 3 (full).
@@ -31,14 +31,14 @@ EXCLUSIVE, TRANSITIVE, RHO = 8.0, 1.0, 5.0
 MOST_ROUNDS, SETTLED = 30, 0.004
 ACCEPT = 0.5
 
-CANDIDATE = "cand long, copy string, name string, bar string, number string, street string, kind string, side string, town string, state string, zip string, lasts array<string>"
+CANDIDATE = "cand long, copy string, name string, bar string, number string, street string, kind string, side string, town string, state string, zip string, lasts array<string>, initials string"
 
 
 def _candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
         for r in batch.itertuples(index=False):
-            rows.append((r.cand, r.copy, r.name, r.bar, *parse_place(r.location), last_names(r.name)))
+            rows.append((r.cand, r.copy, r.name, r.bar, *parse_place(r.location), last_names(r.name), initials(r.name)))
         yield pd.DataFrame(rows, columns=[c.split()[0] for c in CANDIDATE.split(", ")])
 
 
@@ -91,28 +91,26 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def possible_links(people: DataFrame, lawyers: DataFrame, cands: DataFrame) -> DataFrame:
     """(lawyer, cand, s, w, bar): links with any similarity, from rows that share a licence number, or a spelling of the last
     name and one of the town, or a street number and zip area (the state where the candidate names no more)."""
-    rows = people.join(lawyers, "id").groupBy("lawyer", "full_name", "middle", "bar", "number", "street", "town", "state", "zip").agg(F.first("lasts").alias("lasts"))
+    rows = people.join(lawyers, "id").groupBy("lawyer", "full_name", "middle", "bar", "number", "street", "town", "state", "zip").agg(F.first("lasts").alias("lasts"), F.first("initials").alias("initials"))
     rows = cut_lineage(rows.withColumn("row", F.xxhash64("lawyer", "full_name", "middle", "bar", "number", "street", "town", "state", "zip")))
     names = rows.select(F.explode("lasts").alias("name")).unionByName(cands.select(F.explode("lasts").alias("name"))).groupBy("name").agg(F.count("*").alias("n"))
     spellings = cut_lineage(spelling_keys(names))
     given = lambda *cs: F.forall(F.array(*[F.coalesce(F.col(c), F.lit("")) != "" for c in cs]), lambda x: x)
     key = lambda kind, *cs: F.when(given(*cs), F.concat_ws("|", F.lit(kind), *cs))
-    # Towns are typed with typos too, so they are looked up like names; the state in front keeps those of other states away.
-    placed = lambda df: df.where(given("town", "state")).select(F.concat("state", "town").alias("name"))
-    towns = spelling_keys(placed(rows).unionByName(placed(cands)).groupBy("name").agg(F.count("*").alias("n")))
-    towns = cut_lineage(towns.groupBy(F.col("name").alias("at_town")).agg(F.collect_set("key").alias("towns")))  # few a town
+    towns = town_spellings(rows, cands)
     state = key("s", "state")
 
     def keyed(df: DataFrame, ident: str, places) -> DataFrame:
         df = df.withColumn("zip3", F.left("zip", F.lit(3))).withColumn("at_town", F.concat("state", "town")).join(towns, "at_town", "left")
-        at = F.array_compact(F.concat(F.coalesce("towns", F.array().cast("array<string>")), F.array(key("n", "number", "zip3"), places)))
-        by_name = df.select(ident, F.explode("lasts").alias("name"), at.alias("at")).join(spellings, "name").select(ident, F.explode("at").alias("at"), "key")
-        by_bar = df.where("bar is not null").select(ident, F.xxhash64(F.lit("bar"), "bar").alias("k"))
-        return by_name.select(ident, F.xxhash64("at", "key").alias("k")).unionByName(by_bar).distinct()
-
-    left = keyed(rows, "row", state)
-    right = keyed(cands, "cand", F.when(~given("town"), state))
-    pairs = left.join(right, "k").select("row", "cand").distinct()
+        at = F.array_compact(F.concat(local_keys(), F.array(key("n", "number", "zip3"), places)))
+        by_name = df.select(ident, F.col("bar").isNotNull().alias("has_bar"), F.explode("lasts").alias("name"), at.alias("at")).join(spellings, "name")
+        return by_name.select(ident, "has_bar", F.explode("at").alias("at"), "key").select(ident, "has_bar", F.xxhash64("at", "key").alias("k"))
+
+    # Two licence numbers decide alone, so rows and candidates that both have one meet by it and not by name.
+    left, right = keyed(rows, "row", state).alias("l"), keyed(cands, "cand", F.when(~given("town"), state)).alias("r")
+    by_name = left.join(right, F.expr("l.k = r.k and not (l.has_bar and r.has_bar)")).select("row", "cand")
+    by_bar = rows.where("bar is not null").select("row", "bar").join(cands.where("bar is not null").select("cand", "bar"), "bar").select("row", "cand")
+    pairs = by_name.unionByName(by_bar).distinct()
     a = rows.select("row", *[F.col(c).alias(f"a_{c}") for c in PROFILE_SIDE])
     b = cands.select("cand", *[F.col(c).alias(f"b_{c}") for c in CANDIDATE_SIDE if c != "cand"], F.col("cand").alias("b_cand"))
     pairs = pairs.join(a, "row").join(b, "cand").select(*[f"a_{c}" for c in PROFILE_SIDE], *[f"b_{c}" for c in CANDIDATE_SIDE])

@@ -117,6 +117,25 @@ def _token_keys(people: DataFrame) -> DataFrame:
     return spelling_keys(tokens)
 
 
+def town_spellings(*frames: DataFrame) -> DataFrame:
+    """(at_town, towns): each state and town of ``frames(state, town)`` with the spellings it may stand for.
+
+    Towns are typed with typos too, so they are looked up like names; the state in front keeps those of other states away.
+    """
+    every = None
+    for df in frames:
+        one = df.where("state <> '' and town <> ''").select(F.concat("state", "town").alias("name"))
+        every = one if every is None else every.unionByName(one)
+    keys = spelling_keys(every.groupBy("name").agg(F.count("*").alias("n")))
+    return cut_lineage(keys.groupBy(F.col("name").alias("at_town")).agg(F.collect_set("key").alias("towns")))  # few a town
+
+
+def local_keys(towns: str = "towns", letters: str = "initials") -> Column:
+    """array<string>: every spelling of the town with every letter of the given name. Many people of a town share a last name."""
+    none = F.array().cast("array<string>")
+    return F.flatten(F.transform(F.coalesce(towns, none), lambda t: F.transform(F.split(letters, ""), lambda i: F.concat_ws("|", t, i))))
+
+
 def street_close(number_a: str, street_a: str, number_b: str, street_b: str) -> bool:
     return bool(number_a) and number_a == number_b and (street_a == street_b or within(street_a or "", street_b or "", 2))
 
@@ -173,10 +192,8 @@ def resolve(people: DataFrame, licences: bool = True) -> DataFrame:
     one = cut_lineage(one)
     text = lambda kind, *cols: F.when(F.forall(F.array(*[F.coalesce(F.col(c).cast("string"), F.lit("")) != "" for c in cols]), lambda x: x), F.concat_ws("|", F.lit(kind), *cols))
     exact = F.array_compact(F.array(text("a", "adm", "state"), text("p", "phone"), text("z", "number", "zip")))
-    # Many people of a town share a last name, so there the initials of the given name are part of the key.
-    local = F.array_compact(F.array(text("t", "town", "state"), text("r", "zip3", "state")))
-    local = F.flatten(F.transform(local, lambda e: F.transform(F.split("initials", ""), lambda i: F.concat(e, i))))
-    near = one.withColumn("zip3", F.left("zip", F.lit(3))).withColumn("evidence", F.concat(exact, local))
+    near = one.select("rep", "adm", "lic", "lasts", "initials", exact.alias("exact"), F.concat("state", "town").alias("at_town")).join(town_spellings(one), "at_town", "left")
+    near = near.withColumn("evidence", F.concat("exact", local_keys()))
     met = near.select("rep", "adm", "lic", F.explode("lasts").alias("name"), "evidence").where(F.size("evidence") > 0).join(_token_keys(one), "name")
     keyed = met.select("rep", "adm", F.when(F.col("lic").isNotNull(), F.hash("lic")).alias("licence"), F.explode("evidence").alias("e"), "key").select("rep", "adm", "licence", F.xxhash64("e", "key").alias("k"))
     # Rows with two licences or two admission dates are two lawyers, whatever else they share.
