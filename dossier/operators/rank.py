@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 def rank_with_quota(df: DataFrame, group: str, order: list[Column], quotas: DataFrame, rank: str = "rank") -> DataFrame:
     """The first ``quota`` rows of each group of ``quotas(group, quota)``; groups without a positive quota go.
 
-    ``order`` must end in a unique column. Groups that have no quota are dropped before the shuffle.
+    ``order`` must end in a unique column. Groups without a quota are dropped by the join, which the planner broadcasts if the table is small.
     """
-    kept = df.join(F.broadcast(quotas.where("quota > 0")), group)
+    kept = df.join(quotas.where("quota > 0"), group)
     return kept.withColumn(rank, F.row_number().over(Window.partitionBy(group).orderBy(*order))).where(F.col(rank) <= F.col("quota")).drop("quota")
 
 

@@ -53,14 +53,14 @@ def merged(spark, data):
 
 def test_rule_merge(spark):
     got = merged(spark, [
-        ("k", "bio", '"old"', "justia", 3, 0, False), ("k", "bio", '"new"', "avvo", 3, 1, False),
-        ("k", "email", '"a@x"', "justia", 3, 0, False), ("k", "email", '" A@X "', "avvo", 3, 1, False),
-        ("k", "areas", '["a","b","c","d"]', "justia", 3, 0, False), ("k", "areas", '["A","B","C","D","e"]', "avvo", 3, 1, False),
-        ("k", "full_name", '"Ann"', "justia", 3, 0, False), ("k", "full_name", '"Bea"', "avvo", 3, 1, False),
+        ("k", "bio", '"old"', "justia", 3, 0, False), ("k", "bio", '"new"', "lawdex", 3, 1, False),
+        ("k", "email", '"a@x"', "justia", 3, 0, False), ("k", "email", '" A@X "', "lawdex", 3, 1, False),
+        ("k", "areas", '["a","b","c","d"]', "justia", 3, 0, False), ("k", "areas", '["A","B","C","D","e"]', "lawdex", 3, 1, False),
+        ("k", "full_name", '"Ann"', "justia", 3, 0, False), ("k", "full_name", '"Bea"', "lawdex", 3, 1, False),
         ("k", "fax", '"1"', "justia", 3, 0, True), ("k", "firm", '"x"', "justia", 3, 0, False), ("k", "firm", '"y"', "justia", 3, 1, False),
         ("k", "empty", '""', "justia", 3, 0, False), ("k", "empty", None, "justia", 3, 1, False),
     ])
-    assert got["bio"].value == '"old"' and got["bio"].needs_review and got["bio"].conflicts == {"justia": '"old"', "avvo": '"new"'}
+    assert got["bio"].value == '"old"' and got["bio"].needs_review and got["bio"].conflicts == {"justia": '"old"', "lawdex": '"new"'}
     assert not got["email"].needs_review and got["email"].action == "duplicate"
     assert got["areas"].action == "duplicate"
     assert got["full_name"].value == '"Ann"' and got["full_name"].action == "identity"
@@ -70,7 +70,7 @@ def test_rule_merge(spark):
 
 
 def test_listing_phone_settles_the_conflict_unless_curated(spark):
-    base = [("k", "phone", '"1"', "justia", 3, 0, False), ("k", "phone", '"2"', "avvo", 3, 1, False), ("k", "formatted_phone", '"3"', "maps", 4, 2, False)]
+    base = [("k", "phone", '"1"', "justia", 3, 0, False), ("k", "phone", '"2"', "lawdex", 3, 1, False), ("k", "formatted_phone", '"3"', "maps", 4, 2, False)]
     got = merged(spark, base)["phone"]
     assert got.value == '"3"' and not got.needs_review and got.source == "maps"
     locked = merged(spark, [("k", "phone", '"1"', "justia", 3, 0, True), base[2]])["phone"]
