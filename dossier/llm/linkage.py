@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from dossier.llm.addresses import Place, parse_place, same_town
 from dossier.llm.names import last_names, middle_conflict, name_match, readings
-from dossier.llm.people import initials, licence_number, local_keys, spelling_keys, street_close, town_spellings
+from dossier.llm.people import initials, last_name_spellings, licence_number, local_keys, resolve, street_close, town_spellings
 from dossier.session import cut_lineage
 
 #: (similarity, rule weight) by kind of agreement and name level 1 (initials), 2 (typos), 3 (full).
@@ -88,16 +88,13 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(lawyer, pa.int64()), pa.array(cand, pa.int64()), pa.array(s, pa.float64()), pa.array(w, pa.float64())], names=["lawyer", "cand", "s", "w"])
 
 
-def possible_links(people: DataFrame, lawyers: DataFrame, cands: DataFrame) -> DataFrame:
+def possible_links(people: DataFrame, lawyers: DataFrame, cands: DataFrame, spellings: DataFrame, towns: DataFrame) -> DataFrame:
     """(lawyer, cand, s, w, bar): links with any similarity, from rows that share a licence number, or a spelling of the last
     name and one of the town, or a street number and zip area (the state where the candidate names no more)."""
     rows = people.join(lawyers, "id").groupBy("lawyer", "full_name", "middle", "bar", "number", "street", "town", "state", "zip").agg(F.first("lasts").alias("lasts"), F.first("initials").alias("initials"))
     rows = cut_lineage(rows.withColumn("row", F.xxhash64("lawyer", "full_name", "middle", "bar", "number", "street", "town", "state", "zip")))
-    names = rows.select(F.explode("lasts").alias("name")).unionByName(cands.select(F.explode("lasts").alias("name"))).groupBy("name").agg(F.count("*").alias("n"))
-    spellings = cut_lineage(spelling_keys(names))
     given = lambda *cs: F.forall(F.array(*[F.coalesce(F.col(c), F.lit("")) != "" for c in cs]), lambda x: x)
     key = lambda kind, *cs: F.when(given(*cs), F.concat_ws("|", F.lit(kind), *cs))
-    towns = town_spellings(rows, cands)
     state = key("s", "state")
 
     def keyed(df: DataFrame, ident: str, places) -> DataFrame:
@@ -167,15 +164,18 @@ def solve(links: DataFrame) -> DataFrame:
     return settled.unionByName(state.select("lawyer", "cand", F.col("z").alias("confidence")))
 
 
-def link_rows(people: DataFrame, lawyers: DataFrame, found: DataFrame) -> DataFrame:
+def link_rows(people: DataFrame, found: DataFrame) -> DataFrame:
     """(id, candidate_id, confidence): every row of the lawyer that each candidate most probably means.
 
-    Links below ``ACCEPT`` are left out. A profile without a full name counts only for candidates with a licence number.
-    Empty tables give an empty result; extra columns are ignored.
+    Links up to ``ACCEPT`` are left out. A profile without a full name counts only for candidates with a licence number.
+    Empty tables give an empty result; extra columns are ignored. The spellings of names and towns are looked up once, for
+    the rows of a lawyer and for the candidates together.
     """
     cands, rows = candidate_entities(found)
     cands = cut_lineage(cands)
-    links = solve(possible_links(people, lawyers, cands)).where(F.col("confidence") > ACCEPT)
+    spellings, towns = last_name_spellings(people, cands), town_spellings(people, cands)
+    lawyers = cut_lineage(resolve(people, spellings=spellings, towns=towns))
+    links = solve(possible_links(people, lawyers, cands, spellings, towns)).where(F.col("confidence") > ACCEPT)
     matched = links.join(cands.select("cand", "copy"), "cand").select("lawyer", "copy", "confidence").join(rows, "copy")
     members = people.select("id", "full_name").join(lawyers, "id")
     return matched.join(members, "lawyer").where("full_name is not null or bar is not null").select("id", "candidate_id", "confidence")

@@ -104,17 +104,24 @@ def spelling_keys(names: DataFrame) -> DataFrame:
     frequent spelling near both is.
     """
     names = names.select("name", "n").where(F.length("name") > 2)
-    index = names.select(F.col("name").alias("key"), F.col("n").alias("key_n"), F.explode(segments("name")).alias("s")).select("key", "key_n", "s.*").where("piece <> ''")
-    asked = names.select("name", "n", F.explode(probes("name")).alias("s")).select("name", "n", "s.*").where("piece <> ''")
-    near = asked.join(index, ["seg", "len", "piece"]).where(F.struct("key_n", "key") > F.struct("n", "name")).select("name", "key").distinct()
+    # One number stands for (segment, length, piece); the distance is checked anyway, and before the pairs are shuffled again.
+    place = lambda s: F.xxhash64(s["seg"], s["len"], s["piece"])
+    flat = lambda made: F.explode(F.transform(F.filter(made, lambda s: s["piece"] != ""), place)).alias("k")
+    index = names.select(F.col("name").alias("key"), F.col("n").alias("key_n"), flat(segments("name")))
+    asked = names.select("name", "n", flat(probes("name")))
     edits = F.levenshtein("name", "key", 2)
-    near = near.where((edits >= 0) & (edits <= allowed_edits(F.least(F.length("name"), F.length("key")))))
+    near = asked.join(index, "k").where(F.struct("key_n", "key") > F.struct("n", "name"))
+    near = near.where((edits >= 0) & (edits <= allowed_edits(F.least(F.length("name"), F.length("key"))))).select("name", "key").distinct()
     return near.unionByName(names.select("name", F.col("name").alias("key")))
 
 
-def _token_keys(people: DataFrame) -> DataFrame:
-    tokens = people.select(F.explode("lasts").alias("name")).groupBy("name").agg(F.count("*").alias("n"))
-    return spelling_keys(tokens)
+def last_name_spellings(*frames: DataFrame) -> DataFrame:
+    """(name, key) of all last names of ``frames(lasts)``."""
+    every = None
+    for df in frames:
+        one = df.select(F.explode("lasts").alias("name"))
+        every = one if every is None else every.unionByName(one)
+    return cut_lineage(spelling_keys(every.groupBy("name").agg(F.count("*").alias("n"))))
 
 
 def town_spellings(*frames: DataFrame) -> DataFrame:
@@ -179,11 +186,12 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def resolve(people: DataFrame, licences: bool = True) -> DataFrame:
+def resolve(people: DataFrame, licences: bool = True, spellings: DataFrame | None = None, towns: DataFrame | None = None) -> DataFrame:
     """(id, lawyer) for each of ``persons``: lawyer is the smallest id of the rows that mean the same one.
 
     Rows that agree in all compared columns are one representative first, so copies never meet pairwise. ``licences``
-    False leaves the licence number out of the evidence (used to measure the rest).
+    False leaves the licence number out of the evidence (used to measure the rest). ``spellings`` and ``towns`` may be given where
+    they are known already.
     """
     if not licences:
         people = people.withColumn("lic", F.lit(None).cast("string"))
@@ -192,9 +200,9 @@ def resolve(people: DataFrame, licences: bool = True) -> DataFrame:
     one = cut_lineage(one)
     text = lambda kind, *cols: F.when(F.forall(F.array(*[F.coalesce(F.col(c).cast("string"), F.lit("")) != "" for c in cols]), lambda x: x), F.concat_ws("|", F.lit(kind), *cols))
     exact = F.array_compact(F.array(text("a", "adm", "state"), text("p", "phone"), text("z", "number", "zip")))
-    near = one.select("rep", "adm", "lic", "lasts", "initials", exact.alias("exact"), F.concat("state", "town").alias("at_town")).join(town_spellings(one), "at_town", "left")
+    near = one.select("rep", "adm", "lic", "lasts", "initials", exact.alias("exact"), F.concat("state", "town").alias("at_town")).join(town_spellings(one) if towns is None else towns, "at_town", "left")
     near = near.withColumn("evidence", F.concat("exact", local_keys()))
-    met = near.select("rep", "adm", "lic", F.explode("lasts").alias("name"), "evidence").where(F.size("evidence") > 0).join(_token_keys(one), "name")
+    met = near.select("rep", "adm", "lic", F.explode("lasts").alias("name"), "evidence").where(F.size("evidence") > 0).join(last_name_spellings(one) if spellings is None else spellings, "name")
     keyed = met.select("rep", "adm", F.when(F.col("lic").isNotNull(), F.hash("lic")).alias("licence"), F.explode("evidence").alias("e"), "key").select("rep", "adm", "licence", F.xxhash64("e", "key").alias("k"))
     # Rows with two licences or two admission dates are two lawyers, whatever else they share.
     agree = "(x.adm is null or y.adm is null or x.adm = y.adm) and (x.licence is null or y.licence is null)"

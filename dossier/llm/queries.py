@@ -35,7 +35,7 @@ def p4_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every accepted link with its confidence."""
     prepare(spark)
     rows = cut_lineage(people.persons(table(spark, sf_dir, "lawyer_enrichment"), table(spark, sf_dir, "parsed_name")))
-    return linkage.link_rows(rows, cut_lineage(people.resolve(rows)), table(spark, sf_dir, "discovery_candidate"))
+    return linkage.link_rows(rows, table(spark, sf_dir, "discovery_candidate"))
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:

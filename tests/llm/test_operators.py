@@ -170,9 +170,9 @@ def test_linkage(spark):
     rows = profiles(spark, {"id": 1, "full_name": "Ann Doe", "license_state": "CA", "bar_number": "7", "city": "Any Town", "state": "CA"}, {"id": 2, "full_name": None, "license_state": "CA", "bar_number": "7"}, {"id": 3, "full_name": "Bob Roe", "city": "Any Town", "state": "CA"})
     cands = spark.createDataFrame([(1, "Doe, A.", "Any Town, CA", None), (2, "X", None, " 7 "), (3, "Bob Roe", "Amy Town, CA", None), (4, "Bob Roe", "Elsewhere, CA", None), (5, None, None, None), (6, "Bob Roe", "Amy Town, CA", None)], "candidate_id long, name string, location string, bar_number string")
     who = people.persons(rows, spark.createDataFrame([], PARSED))
-    got = found(linkage.link_rows(who, people.resolve(who), cands), "id", "candidate_id")
+    got = found(linkage.link_rows(who, cands), "id", "candidate_id")
     assert got == [(1, 1), (1, 2), (2, 2), (3, 3), (3, 6)]
-    assert linkage.link_rows(who, people.resolve(who), cands.limit(0)).count() == 0
+    assert linkage.link_rows(who, cands.limit(0)).count() == 0
 
 
 # --- P5 ---------------------------------------------------------------------------------------------------------------
