@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from dossier.llm.addresses import Place, parse_place, same_town
 from dossier.llm.names import last_names, middle_conflict, name_match, readings
-from dossier.llm.people import initials, last_name_spellings, licence_number, local_keys, resolve, street_close, town_spellings
+from dossier.llm.people import last_name_spellings, licence_number, resolve, street_close, town_spellings
 from dossier.session import cut_lineage
 
 #: (similarity, rule weight) by kind of agreement and name level 1 (initials), 2 (typos), 3 (full).
@@ -31,14 +31,14 @@ EXCLUSIVE, TRANSITIVE, RHO = 8.0, 1.0, 5.0
 MOST_ROUNDS, SETTLED = 30, 0.004
 ACCEPT = 0.5
 
-CANDIDATE = "cand long, copy string, name string, bar string, number string, street string, kind string, side string, town string, state string, zip string, lasts array<string>, initials string"
+CANDIDATE = "cand long, copy string, name string, bar string, number string, street string, kind string, side string, town string, state string, zip string, lasts array<string>"
 
 
 def _candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
         for r in batch.itertuples(index=False):
-            rows.append((r.cand, r.copy, r.name, r.bar, *parse_place(r.location), last_names(r.name), initials(r.name)))
+            rows.append((r.cand, r.copy, r.name, r.bar, *parse_place(r.location), last_names(r.name)))
         yield pd.DataFrame(rows, columns=[c.split()[0] for c in CANDIDATE.split(", ")])
 
 
@@ -91,7 +91,7 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def possible_links(people: DataFrame, lawyers: DataFrame, cands: DataFrame, spellings: DataFrame, towns: DataFrame) -> DataFrame:
     """(lawyer, cand, s, w, bar): links with any similarity, from rows that share a licence number, or a spelling of the last
     name and one of the town, or a street number and zip area (the state where the candidate names no more)."""
-    rows = people.join(lawyers, "id").groupBy("lawyer", "full_name", "middle", "bar", "number", "street", "town", "state", "zip").agg(F.first("lasts").alias("lasts"), F.first("initials").alias("initials"))
+    rows = people.join(lawyers, "id").groupBy("lawyer", "full_name", "middle", "bar", "number", "street", "town", "state", "zip").agg(F.first("lasts").alias("lasts"))
     rows = cut_lineage(rows.withColumn("row", F.xxhash64("lawyer", "full_name", "middle", "bar", "number", "street", "town", "state", "zip")))
     given = lambda *cs: F.forall(F.array(*[F.coalesce(F.col(c), F.lit("")) != "" for c in cs]), lambda x: x)
     key = lambda kind, *cs: F.when(given(*cs), F.concat_ws("|", F.lit(kind), *cs))
@@ -99,7 +99,7 @@ def possible_links(people: DataFrame, lawyers: DataFrame, cands: DataFrame, spel
 
     def keyed(df: DataFrame, ident: str, places) -> DataFrame:
         df = df.withColumn("zip3", F.left("zip", F.lit(3))).withColumn("at_town", F.concat("state", "town")).join(towns, "at_town", "left")
-        at = F.array_compact(F.concat(local_keys(), F.array(key("n", "number", "zip3"), places)))
+        at = F.array_compact(F.concat(F.coalesce("towns", F.array().cast("array<string>")), F.array(key("n", "number", "zip3"), places)))
         by_name = df.select(ident, F.col("bar").isNotNull().alias("has_bar"), F.explode("lasts").alias("name"), at.alias("at")).join(spellings, "name")
         return by_name.select(ident, "has_bar", F.explode("at").alias("at"), "key").select(ident, "has_bar", F.xxhash64("at", "key").alias("k"))
 

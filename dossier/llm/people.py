@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from dossier.llm.addresses import Place, join_parts, parse_place, same_town
 from dossier.llm.canonical import allowed_edits, probes, segments
 from dossier.llm.graph import connected_components
-from dossier.llm.names import FORMAL, last_names, likely, middle_conflict, name_match, plain, within
+from dossier.llm.names import last_names, middle_conflict, name_match, plain, within
 from dossier.session import cut_lineage
 
 DOCUMENT = (
@@ -46,19 +46,13 @@ def licence_number(bar: Column) -> Column:
 #: adm, email, phone, school and firm are 32-bit hashes: they only confirm pairs that met by name.
 PERSON = (
     "id long, full_name string, lic string, bar string, adm int, email int, phone int, school int, firm int, middle string,"
-    " number string, street string, kind string, side string, town string, state string, zip string, lasts array<string>, initials string"
+    " number string, street string, kind string, side string, town string, state string, zip string, lasts array<string>"
 )
 
 
 HASHED = ["adm", "email", "phone", "school", "firm"]
 
 
-def initials(name: str | None) -> str:
-    """The letters that may stand for the given name: of each given word and of its formal names."""
-    words = {w for first, middle, _ in likely(name) for w in (first, *middle.split()[:1]) if w}
-    return "".join(sorted({w[0] for w in words} | {f[0] for w in words for f in FORMAL.get(w, ())}))
-
-
 def _persons(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
@@ -66,7 +60,7 @@ def _persons(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             place = parse_place(join_parts(r.line1, r.line2, r.a_city, r.a_state, r.a_zip))
             state = place.state or (r.license_state or r.state or "").strip().upper()
             town = place.town or (parse_place(r.city).town if r.city else "")
-            rows.append((r.id, r.full_name, r.lic, r.bar, r.adm, r.email, r.phone, r.school, r.firm, plain(r.middle) if r.middle else None, place.number, place.street, place.kind, place.side, town, state, place.zip, last_names(r.full_name), initials(r.full_name)))
+            rows.append((r.id, r.full_name, r.lic, r.bar, r.adm, r.email, r.phone, r.school, r.firm, plain(r.middle) if r.middle else None, place.number, place.street, place.kind, place.side, town, state, place.zip, last_names(r.full_name)))
         frame = pd.DataFrame(rows, columns=[c.split()[0] for c in PERSON.split(", ")])
         yield frame.astype({c: "Int32" for c in HASHED})
 
@@ -137,12 +131,6 @@ def town_spellings(*frames: DataFrame) -> DataFrame:
     return cut_lineage(keys.groupBy(F.col("name").alias("at_town")).agg(F.collect_set("key").alias("towns")))  # few a town
 
 
-def local_keys(towns: str = "towns", letters: str = "initials") -> Column:
-    """array<string>: every spelling of the town with every letter of the given name. Many people of a town share a last name."""
-    none = F.array().cast("array<string>")
-    return F.flatten(F.transform(F.coalesce(towns, none), lambda t: F.transform(F.split(letters, ""), lambda i: F.concat_ws("|", t, i))))
-
-
 def street_close(number_a: str, street_a: str, number_b: str, street_b: str) -> bool:
     return bool(number_a) and number_a == number_b and (street_a == street_b or within(street_a or "", street_b or "", 2))
 
@@ -196,12 +184,13 @@ def resolve(people: DataFrame, licences: bool = True, spellings: DataFrame | Non
     if not licences:
         people = people.withColumn("lic", F.lit(None).cast("string"))
     people = people.withColumn("copy", F.md5(F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x1e")) for c in COMPARED])))
-    one = people.groupBy("copy").agg(F.min("id").alias("rep"), *[F.first(c).alias(c) for c in [*COMPARED, "lasts", "initials"]])
+    one = people.groupBy("copy").agg(F.min("id").alias("rep"), *[F.first(c).alias(c) for c in [*COMPARED, "lasts"]])
     one = cut_lineage(one)
     text = lambda kind, *cols: F.when(F.forall(F.array(*[F.coalesce(F.col(c).cast("string"), F.lit("")) != "" for c in cols]), lambda x: x), F.concat_ws("|", F.lit(kind), *cols))
     exact = F.array_compact(F.array(text("a", "adm", "state"), text("p", "phone"), text("z", "number", "zip")))
-    near = one.select("rep", "adm", "lic", "lasts", "initials", exact.alias("exact"), F.concat("state", "town").alias("at_town")).join(town_spellings(one) if towns is None else towns, "at_town", "left")
-    near = near.withColumn("evidence", F.concat("exact", local_keys()))
+    near = one.select("rep", "adm", "lic", "lasts", exact.alias("exact"), F.concat("state", "town").alias("at_town")).join(town_spellings(one) if towns is None else towns, "at_town", "left")
+    # A town without any letter of the given name, which may be typed with another first letter or not at all.
+    near = near.withColumn("evidence", F.concat("exact", F.coalesce("towns", F.array().cast("array<string>"))))
     met = near.select("rep", "adm", "lic", F.explode("lasts").alias("name"), "evidence").where(F.size("evidence") > 0).join(last_name_spellings(one) if spellings is None else spellings, "name")
     keyed = met.select("rep", "adm", F.when(F.col("lic").isNotNull(), F.hash("lic")).alias("licence"), F.explode("evidence").alias("e"), "key").select("rep", "adm", "licence", F.xxhash64("e", "key").alias("k"))
     # Rows with two licences or two admission dates are two lawyers, whatever else they share.

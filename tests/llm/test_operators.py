@@ -133,6 +133,14 @@ def test_variants_are_linked_and_relatives_are_not(spark):
     assert people.linked_pairs(none, people.resolve(none)).count() == 0
 
 
+def test_given_names_with_another_first_letter_meet(spark):
+    rows = profiles(spark, {"id": 1, "full_name": "Robert Homveld", "city": "Any Town", "state": "CA"}, {"id": 2, "full_name": "Eobert Homveld", "city": "Any Town", "state": "CA"}, {"id": 3, "full_name": "Walter Homveld", "city": "Any Town", "state": "CA"})
+    who = people.persons(rows, spark.createDataFrame([], PARSED))
+    assert found(people.linked_pairs(who, people.resolve(who)), "id_a", "id_b") == [(1, 2)]
+    cands = spark.createDataFrame([(1, "Walyer Homveld", "Any Town, CA", None), (2, "Ealter Homveld", "Any Town, CA", None)], "candidate_id long, name string, location string, bar_number string")
+    assert found(linkage.link_rows(who, cands), "id", "candidate_id") == [(3, 1), (3, 2)]
+
+
 # --- P3 ---------------------------------------------------------------------------------------------------------------
 def test_survivor_fields(spark):
     import datetime as dt
