@@ -172,7 +172,7 @@ def first_match(a: str, b: str) -> int:
     return 0
 
 
-def _bare(last: str) -> str:
+def bare(last: str) -> str:
     """A last name without its particle, and with "rn" for what may be an "m"."""
     return re.sub("^(delos|dela|della|del|vander|vanden|van|von|mc|mac|de|di|da|st|la|le|o)(?=.{4})", "", last).replace("rn", "m")
 
@@ -182,7 +182,7 @@ def last_match(a: str, b: str) -> int:
     """2 equal, 1 typo, 0 other name."""
     if a == b:
         return 2
-    for x, y in ((a, b), (_bare(a), _bare(b))):
+    for x, y in ((a, b), (bare(a), bare(b))):
         if within(x, y, edits_for(min(len(x), len(y)))):
             return 1
     return 0

@@ -1,7 +1,8 @@
 """Variant spellings of names: which profiles mean one lawyer.
 
-Spellings are joined at the level of distinct last names: a name is cut into k + 1 segments, position-shifted substrings
-of the others are looked up in the inverted index of segments, and a banded edit distance decides. Profiles then meet
+Spellings are joined at the level of distinct names. A town is cut into k + 1 segments, position-shifted substrings of the
+others are looked up in the inverted index of segments, and a banded edit distance decides; last names, where swaps count as
+one edit, are looked up by what is left of them without one or two letters, and ``last_match`` decides. Profiles then meet
 under (a piece of evidence, a spelling of the last name), so that neither a common name nor a common piece of evidence
 alone brings profiles together, and every pair that meets is verified on the whole typed names.
 """
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from dossier.llm.addresses import Place, join_parts, parse_place, same_town
 from dossier.llm.canonical import allowed_edits, probes, segments
 from dossier.llm.graph import connected_components
-from dossier.llm.names import last_names, middle_conflict, name_match, plain, within
+from dossier.llm.names import bare, edits_for, last_match, last_names, middle_conflict, name_match, plain, within
 from dossier.session import cut_lineage
 
 DOCUMENT = (
@@ -109,13 +110,45 @@ def spelling_keys(names: DataFrame) -> DataFrame:
     return near.unionByName(names.select("name", F.col("name").alias("key")))
 
 
+def shortened(name: str) -> set[str]:
+    """The name and what is left of it without any one or two of its letters, as many as ``edits_for`` allows. An edit or a swap of
+    neighbours takes at most one letter out of each of two names, so names within that many edits have one of these in common."""
+    every = last = {name}
+    for _ in range(edits_for(len(name))):
+        last = {w[:i] + w[i + 1 :] for w in last for i in range(len(w))}
+        every = every | last
+    return every
+
+
+def _shortened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        left = [sorted(shortened(name) | shortened(bare(name))) for name in batch.column(0).to_pylist()]
+        yield pa.record_batch([*batch.columns, pa.array(left, pa.list_(pa.string()))], names=["name", "n", "left"])
+
+
+def _same_last(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield batch.filter(pa.array([last_match(a, b) > 0 for a, b in zip(*[c.to_pylist() for c in batch.columns])], pa.bool_()))
+
+
+def last_name_keys(names: DataFrame) -> DataFrame:
+    """(name, key): each distinct last name with itself and every more frequent one that ``last_match`` takes for it.
+
+    ``spelling_keys`` counts plain edits, so it would miss swaps that the check behind it accepts.
+    """
+    names = names.select("name", "n")
+    made = names.mapInArrow(_shortened, "name string, n long, left array<string>").select("name", "n", F.explode("left").alias("k")).select("name", "n", F.xxhash64("k").alias("k"))
+    pairs = made.alias("x").join(made.alias("y"), F.expr("x.k = y.k and struct(y.n, y.name) > struct(x.n, x.name)")).select("x.name", F.col("y.name").alias("key")).distinct()
+    return pairs.mapInArrow(_same_last, "name string, key string").unionByName(names.select("name", F.col("name").alias("key")))
+
+
 def last_name_spellings(*frames: DataFrame) -> DataFrame:
     """(name, key) of all last names of ``frames(lasts)``."""
     every = None
     for df in frames:
         one = df.select(F.explode("lasts").alias("name"))
         every = one if every is None else every.unionByName(one)
-    return cut_lineage(spelling_keys(every.groupBy("name").agg(F.count("*").alias("n"))))
+    return cut_lineage(last_name_keys(every.groupBy("name").agg(F.count("*").alias("n"))))
 
 
 def town_spellings(*frames: DataFrame) -> DataFrame:

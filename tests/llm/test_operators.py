@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from dossier.llm import canonical, golden, graph, linkage, mixing, packing, people, places, subjects, templates, tokens, topn
 from dossier.llm.addresses import parse_place
-from dossier.llm.names import name_match, readings, within
+from dossier.llm.names import last_match, name_match, readings, within
 
 PROFILE = (
     "id long, full_name string, first_name string, last_name string, bar_number string, license_state string, firm_name string, city string, state string, admission_date date,"
@@ -107,6 +107,26 @@ def test_spelling_keys_find_what_brute_force_finds(spark):
     assert got == {(a, b) for a in words for b in words if a == b or (n[b] > n[a] and lev(a, b) <= limit(a, b))}
 
 
+def test_last_name_keys_find_what_last_match_accepts(spark):
+    rng = random.Random(7)
+    words = {"ralro", "rlaro", "rarlo", "doe", "deo", "doee", "roe", "burns", "bums", "vandermoor", "moor", "moro", "li"}
+    for w in ["serostein", "ralro", "homveld"] * 40:
+        for _ in range(2):
+            i = rng.randrange(len(w) - 1)
+            w = rng.choice([w[:i] + w[i + 1] + w[i] + w[i + 2 :], w[:i] + w[i + 1 :], w[:i] + "x" + w[i:]])
+        words.add(w)
+    n = {w: (100 if w == "ralro" else 1, w) for w in words}
+    got = {(r.name, r.key) for r in people.last_name_keys(spark.createDataFrame([(w, n[w][0]) for w in words], "name string, n long")).collect()}
+    assert got == {(a, b) for a in words for b in words if a == b or (n[b] > n[a] and last_match(a, b))}
+    assert {("rlaro", "ralro"), ("burns", "bums")} <= got | {(b, a) for a, b in got}
+
+
+def test_swapped_short_last_names_meet(spark):
+    rows = profiles(spark, {"id": 1, "full_name": "Robert Ralro", "city": "Any Town", "state": "CA"}, {"id": 2, "full_name": "Robert Rlaro", "city": "Any Town", "state": "CA"})
+    who = people.persons(rows, spark.createDataFrame([], PARSED))
+    assert found(people.linked_pairs(who, people.resolve(who)), "id_a", "id_b") == [(1, 2)]
+
+
 def test_connected_components(spark):
     edges = [(i, i + 1) for i in range(20)] + [(50, 49), (7, 7), (None, 3)]
     got = dict(found(graph.connected_components(spark.createDataFrame(edges, "a long, b long")), "id", "component"))
