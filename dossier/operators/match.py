@@ -24,25 +24,80 @@ def contains_phrase(text: Column, phrase: Column) -> Column:
     return F.coalesce((F.trim(phrase) != "") & F.regexp_like(F.lower(F.trim(text)), quoted), F.lit(False))
 
 
-def score_candidates(pairs: DataFrame) -> DataFrame:
-    """``pairs`` (name, location, bar_number of a candidate; full_name, first_name, last_name, city, state_code, state_name and
-    target_bar of a target) with ``confidence`` and ``match_signals``.
-
-    An equal licence number is 1.0. Otherwise last name 0.3, first name 0.2 or its initial 0.1, similar spelling (0.8 or more) 0.2, town 0.2 and
-    state 0.1; the names must agree in last name and first name or initial, or be spelled alike to 0.75, else 0.
-    The cheap tests run in the engine; only pairs without an equal licence need the sequence ratio.
-    """
+def _with_names(targets: DataFrame) -> DataFrame:
+    """``targets`` with the words that its names are compared by: ``_first``, ``_last``, ``_all`` and the surnames ``_sur``."""
     none = F.array().cast("array<string>")
     own = name_tokens(F.col("full_name"))
     given, family = word_tokens(F.coalesce("first_name", F.lit(""))), word_tokens(F.coalesce("last_name", F.lit("")))
-    p = pairs.withColumns({"_c": name_tokens(F.col("name")), "_p": own, "_g": given, "_f": family})
+    p = targets.withColumns({"_p": own, "_g": given, "_f": family})
     p = p.withColumns({
         "_first": F.coalesce(F.get("_g", F.lit(0)), F.get("_p", F.lit(0)), F.lit("")),
         "_last": F.coalesce(F.when(F.size("_f") > 0, F.element_at("_f", -1)), F.when(F.size("_p") > 0, F.element_at("_p", -1)), F.lit("")),
         "_all": F.array_distinct(F.filter(F.concat("_p", "_g", "_f"), lambda w: F.length(w) >= 2)),
     })
     second_last = F.when(F.size("_p") >= 4, F.array(F.get("_p", F.size("_p") - 2))).otherwise(none)
-    surnames = F.filter(F.concat("_f", F.array("_last"), second_last), lambda w: F.length(w) >= 3)
+    return p.withColumn("_sur", F.filter(F.concat("_f", F.array("_last"), second_last), lambda w: F.length(w) >= 3))
+
+
+def _phrase_matches(locations: DataFrame, phrases: DataFrame) -> DataFrame:
+    """(location, phrase) of ``locations(location)`` and ``phrases(phrase)``, distinct values, where ``contains_phrase`` holds.
+
+    They meet by the first word of the phrase.
+    """
+    asked = phrases.select("phrase", F.get(word_tokens(F.col("phrase")), F.lit(0)).alias("word")).where("word is not null")
+    said = locations.select("location", F.explode(F.array_distinct(word_tokens(F.col("location")))).alias("word"))
+    return said.join(asked, "word").where(contains_phrase(F.col("location"), F.col("phrase"))).select("location", "phrase")
+
+
+def possible_pairs(targets: DataFrame, found: DataFrame, target: str, candidate: str) -> DataFrame:
+    """(target, candidate): every pair that ``score_candidates`` can give 0.6 or more, and few others.
+
+    0.6 takes an equal licence; or a common surname with a given name or initial, or else with the town or state; or, without a
+    common surname, the town with a given name or initial. Each of these is an equality join of its own. ``targets`` and
+    ``found`` have the columns that ``score_candidates`` asks of the two sides, and their ids; a null or blank value meets nothing.
+    A town or state without any letter or figure is not looked up.
+    """
+    texts = lambda c: F.array_distinct(F.filter(c, lambda w: w != ""))
+    one = lambda c: F.array(c)
+    bar = lambda c: F.nullif(F.lower(F.trim(c)), F.lit(""))
+    own = _with_names(targets)
+    seen = found.withColumn("_c", name_tokens(F.col("name"))).withColumn("_head", F.coalesce(F.get("_c", F.lit(0)), F.lit("")))
+    locations = found.where("location is not null").select("location").distinct()
+    places = lambda c: targets.select(F.lower(F.trim(c)).alias("phrase")).where("phrase <> ''").distinct()
+    phrases = places("city").union(places("state_code")).union(places("state_name")).distinct()
+    at = _phrase_matches(locations, phrases).groupBy("location").agg(F.collect_set("phrase").alias("_at"))
+    seen = seen.join(at, "location", "left")
+    initial = F.left("_first", F.lit(1))
+    cross = lambda kind, xs, ys: F.flatten(F.transform(texts(xs), lambda x: F.transform(texts(ys), lambda y: F.concat_ws("|", F.lit(kind), x, y))))
+    keys = lambda *parts: F.explode(F.array_distinct(F.concat(*[F.coalesce(x, F.array().cast("array<string>")) for x in parts])))
+    town = F.array_compact(one(F.lower(F.trim("city"))))
+    states = F.array_compact(F.array(F.lower(F.trim("state_code")), F.lower(F.trim("state_name"))))
+    last = F.concat("_sur", one(F.col("_last")))
+    single = F.when(F.length("_head") == 1, one(F.col("_head")))
+    mine = keys(
+        *[x for where, kind in ((last, "n"), (town, "t")) for x in (cross(f"{kind}f", where, one(F.col("_first"))), cross(f"{kind}h", where, F.col("_all")), cross(f"{kind}i", where, one(initial)))],
+        cross("p", last, F.concat(town, states)), F.array_compact(one(F.concat(F.lit("b|"), bar("target_bar")))),
+    )
+    theirs = keys(
+        *[x for where, kind in ((F.col("_c"), "n"), (F.col("_at"), "t")) for x in (cross(f"{kind}f", where, F.col("_c")), cross(f"{kind}h", where, one(F.col("_head"))), cross(f"{kind}i", where, single))],
+        cross("p", F.col("_c"), F.col("_at")), F.array_compact(one(F.concat(F.lit("b|"), F.when(~bar("bar_number").isin("n/a", "none"), bar("bar_number"))))),
+    )
+    a, b = own.select(target, mine.alias("_k")), seen.select(candidate, theirs.alias("_k"))
+    return a.select(target, F.xxhash64("_k").alias("_k")).join(b.select(candidate, F.xxhash64("_k").alias("_k")), "_k").select(target, candidate).distinct()
+
+
+def score_candidates(pairs: DataFrame) -> DataFrame:
+    """``pairs`` (name, location, bar_number of a candidate; full_name, first_name, last_name, city, state_code, state_name and
+    target_bar of a target) with ``confidence`` and ``match_signals``.
+
+    An equal licence number is 1.0. Otherwise last name 0.3, first name 0.2 or its initial 0.1, similar spelling (0.8 or more) 0.2, town 0.2 and
+    state 0.1; the names must agree in last name and first name or initial, or be spelled alike to 0.75, else 0.
+    The cheap tests run in the engine; only pairs without an equal licence need the sequence ratio.
+    """
+    none = F.array().cast("array<string>")
+    p = pairs.withColumn("_c", name_tokens(F.col("name")))
+    p = _with_names(p)
+    surnames = F.col("_sur")
     head = F.coalesce(F.get("_c", F.lit(0)), F.lit(""))
     last = (F.col("_last") != "") & (F.array_contains("_c", F.col("_last")) | F.arrays_overlap(surnames, F.col("_c")))
     first = (F.col("_first") != "") & (F.array_contains("_c", F.col("_first")) | F.array_contains("_all", head))

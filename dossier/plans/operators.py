@@ -381,11 +381,11 @@ def address_similarities(spark, d):
 
 @query()
 def candidate_confidences(spark, d):
-    """Candidates and profiles of one last name and town, scored; blocks keep the pairs linear."""
-    own = table(spark, d, "lawyer_enrichment").where("last_name is not null and city is not null").select("id", "full_name", "first_name", "last_name", "city", F.lower("state").alias("state_code"), F.lit("").alias("state_name"), F.col("bar_number").alias("target_bar"), F.lower("last_name").alias("block"), F.lower(F.trim("city")).alias("town"))
-    found = table(spark, d, "discovery_candidate").where("name is not null").select("candidate_id", "name", "location", "bar_number", F.lower(names.parse_name(F.col("name"))["last_name"]).alias("block"), F.lower(F.trim(F.regexp_extract("location", r"([^,]+),[^,]*$", 1))).alias("town"))
-    scored = match.score_candidates(own.join(found, ["block", "town"]))
-    return match.best_candidate(scored, "candidate_id", "id", 0.6).select("candidate_id", "id", "confidence", "match_signals")
+    """The best candidate of all profiles for each find. Only pairs that can reach the cut are scored (``match.possible_pairs``)."""
+    own = table(spark, d, "lawyer_enrichment").select("id", "full_name", "first_name", "last_name", "city", F.lower("state").alias("state_code"), F.lit("").alias("state_name"), F.col("bar_number").alias("target_bar"))
+    found = table(spark, d, "discovery_candidate").select("candidate_id", "name", "location", "bar_number")
+    pairs = match.possible_pairs(own, found, "id", "candidate_id").join(own, "id").join(found, "candidate_id")
+    return match.best_candidate(match.score_candidates(pairs), "candidate_id", "id", 0.6).select("candidate_id", "id", "confidence", "match_signals")
 
 
 # --- extraction ------------------------------------------------------------------------------------------------------

@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from dossier.operators import dedupe, extract, match, merge, rank, score
+from dossier.plans import operators
+from dossier.session import table
 from dossier.sources import readers, writers
 
 
@@ -115,6 +117,29 @@ def test_score_candidates(spark, cand, target, expected):
     assert match.score_candidates(spark.createDataFrame([cand + target], schema)).first().confidence == expected
 
 
+def test_possible_pairs_are_all_that_reach_the_cut(spark):
+    data = "/root/testdata/sf0.001"
+    more = [
+        (-1, "Ann Doe", "Ann", "Doe", "Any Town", "ca", "", "7"), (-2, "Ann Roe Doe", None, None, "St. Mary's", "ny", "", None), (-3, None, None, None, None, None, "", " A9 "),
+        (-4, "Doe Ann", "Ann", "Doe", None, None, "", None), (-5, "Johnathan Smithers", "Johnathan", "Smithers", "New Any Town", "tx", "", ""),
+    ]
+    own = table(spark, data, "lawyer_enrichment").select("id", "full_name", "first_name", "last_name", "city", F.lower("state").alias("state_code"), F.lit("").alias("state_name"), F.col("bar_number").alias("target_bar"))
+    own = own.union(spark.createDataFrame(more, own.schema))
+    finds = [
+        (-1, "Ann Doe", None, None), (-2, None, None, "7"), (-3, "X", "CA", "a9"), (-4, "Doe, A.", "1 Main St, Any Town, CA", None), (-5, "A Deo", "Any Town, CA", None), (-6, "Doe Ann", "CA", "n/a"), (-7, "Johnathan Smihters", "New Any Town, TX", ""),
+        (-8, "J Smithersen", "new any town, tx", None), (-9, "Ann Roe", "St. Mary's, NY", None), (-10, "Hohnathan Smithers", "TX", None), (-11, "", "", ""),
+    ]
+    found = table(spark, data, "discovery_candidate").select("candidate_id", "name", "location", "bar_number")
+    found = found.union(spark.createDataFrame(finds, found.schema))
+    whole = match.score_candidates(own.crossJoin(found)).where("confidence >= 0.6").select("id", "candidate_id").collect()
+    pairs = {tuple(r) for r in match.possible_pairs(own, found, "id", "candidate_id").collect()}
+    assert {tuple(r) for r in whole} <= pairs and len(pairs) < own.count() * found.count() / 10
+    assert {(-1, -1), (-1, -2), (-3, -3), (-5, -7), (-5, -10)} <= {tuple(r) for r in whole}
+    best = operators.candidate_confidences(spark, data).select("candidate_id", "id").collect()
+    want = match.best_candidate(match.score_candidates(own.where("id > 0").crossJoin(found.where("candidate_id > 0"))), "candidate_id", "id", 0.6).select("candidate_id", "id").collect()
+    assert sorted(best) == sorted(want)
+
+
 def test_sequence_ratio_keeps_the_argument_order(spark):
     pairs = [("ann doe", "doe ann"), ("doe ann", "ann doe"), ("", None)]
     got = [r[0] for r in spark.createDataFrame(pairs, "a string, b string").select(match.sequence_ratio("a", "b")).collect()]
