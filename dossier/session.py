@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 import zipfile
@@ -73,12 +74,17 @@ _FOLDERS: dict[str, str] = {}
 def shared_folder(spark: SparkSession) -> str:
     """A folder of this application in the one that the session names in ``spark.checkpoint.dir``, which all executors share.
 
-    Only where nobody named one (tests on one machine) a temporary folder is used. The folder goes when Python ends.
+    Where nobody named one, a local master (tests on one machine) gets a temporary folder; a cluster is an error, since its
+    executors would each write to a disk of their own. The folder goes when Python ends.
     """
     context = spark.sparkContext
     app = context.applicationId
     if app not in _FOLDERS:
-        base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir() or tempfile.mkdtemp(prefix="dossier-")
+        base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+        if not base:
+            if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            base = tempfile.mkdtemp(prefix="dossier-")
         _FOLDERS[app] = f"{base.rstrip('/')}/dossier-{app}"
         atexit.register(_remove, spark, _FOLDERS[app])
     return _FOLDERS[app]
@@ -97,7 +103,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
     The files outlive executors, so what follows survives their loss; being columnar and compressed they take a fraction of
     the room of checkpointed rows, later steps read only the columns that they need, and their size is known to the planner.
+    ``drop_cut`` frees the room once nothing reads the table any more.
     """
     path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    cut = df.sparkSession.read.schema(df.schema).parquet(path)
+    cut.cut_path = path
+    return cut
+
+
+def drop_cut(*frames: DataFrame) -> None:
+    """Delete the tables of frames that ``cut_lineage`` returned, after all that reads them has been written itself. Others are left alone."""
+    for df in frames:
+        if path := getattr(df, "cut_path", None):
+            _remove(df.sparkSession, path)

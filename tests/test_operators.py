@@ -1,10 +1,12 @@
 """Operators on small tables: ties, nulls, repeated rows, empty tables, extra columns."""
 
+import os
 from difflib import SequenceMatcher
 
 import pytest
 from pyspark.sql import functions as F
 
+from dossier import session
 from dossier.operators import dedupe, extract, match, merge, rank, score
 from dossier.plans import operators
 from dossier.session import table
@@ -177,3 +179,27 @@ def test_sinks(spark, tmp_path):
     assert spark.read.parquet(writers.write_snapshot(df, str(tmp_path), "1")).count() == 3
     writers.export_json(df, str(tmp_path / "j"), source="x")
     assert spark.read.json(str(tmp_path / "j/header")).first()["count"] == 3
+
+
+def test_cut_tables_can_be_dropped(spark):
+    df = session.cut_lineage(spark.range(5))
+    assert df.count() == 5
+    folder = session.shared_folder(spark)
+    before = len(os.listdir(folder))
+    session.drop_cut(df, df.select("id"))
+    assert len(os.listdir(folder)) == before - 1
+
+
+def test_a_cluster_needs_a_shared_folder(monkeypatch):
+    class Context:
+        applicationId, master = "app-cluster", "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_folder(Session())
