@@ -109,12 +109,22 @@ def readings(name: str | None) -> tuple[str, tuple[tuple[str, str, str], ...]]:
     return generation, tuple(dict.fromkeys([(first, middle, last.replace("-", "")) for first, middle, last in found] + halves))
 
 
+@lru_cache(maxsize=100_000)
+def letter_bits(name: str) -> int:
+    """Two bits a letter: whether it occurs, and whether more than once. An edit changes two bits at most, a swap none."""
+    bits = 0
+    for c in set(name):
+        bits |= (3 if name.count(c) > 1 else 1) << 2 * (ord(c) % 31)
+    return bits
+
+
 def within(a: str, b: str, k: int) -> bool:
-    """Whether the edit distance, a swap of neighbours counting as one edit, is at most ``k``; only a band of 2k + 1 is filled."""
+    """Whether the edit distance, a swap of neighbours counting as one edit, is at most ``k``; only a band of 2k + 1 is filled, and only
+    where the letters are near enough."""
     if a == b:
         return True
     la, lb = len(a), len(b)
-    if abs(la - lb) > k or k == 0:
+    if abs(la - lb) > k or k == 0 or (letter_bits(a) ^ letter_bits(b)).bit_count() > 2 * k:
         return False
     before: list[int] = []
     row = list(range(lb + 1))
@@ -196,11 +206,28 @@ def middle_conflict(a: str, b: str) -> bool:
     return not (len(a) > 1 and a[1:2] == b[:1] or len(b) > 1 and b[1:2] == a[:1])
 
 
-@lru_cache(maxsize=200_000)
+def written(name: str | None) -> str:
+    """All readings of a name as one text, "generation;first,middle,last;...": made once a name, compared many times."""
+    generation, found = readings(name)
+    return ";".join([generation, *[",".join(r) for r in found]])
+
+
+@lru_cache(maxsize=50_000)
+def _unwritten(text: str) -> tuple[str, tuple[tuple[str, ...], ...]]:
+    generation, *found = text.split(";")
+    return generation, tuple(tuple(r.split(",")) for r in found)
+
+
 def name_match(a: str | None, b: str | None) -> int:
     """How well two typed names agree: 0 other persons, 1 by initials only, 2 with typos, 3 fully."""
-    ga, ra = readings(a)
-    gb, rb = readings(b)
+    return written_match(written(a), written(b))
+
+
+@lru_cache(maxsize=100_000)
+def written_match(a: str, b: str) -> int:
+    """``name_match`` of two ``written`` names."""
+    ga, ra = _unwritten(a)
+    gb, rb = _unwritten(b)
     if ga and gb and ga != gb:
         return 0
     best = 0
@@ -219,11 +246,19 @@ def name_match(a: str | None, b: str | None) -> int:
     return best
 
 
-def likely(name: str | None) -> tuple[tuple[str, str, str], ...]:
-    """The readings whose last name is no given name of the table, or all of them if none is left; used to look names up."""
-    read = readings(name)[1]
-    return tuple(r for r in read if r[2] not in FORMAL) or read
+def likely_middle(text: str) -> str:
+    """The middle name of the likeliest reading of a ``written`` name."""
+    found = _unwritten(text)[1]
+    return found[0][1] if found else ""
 
 
-def last_names(name: str | None) -> list[str]:
-    return sorted({last for _, _, last in likely(name) if len(last) > 2})
+def last_names(name: str | None) -> tuple[list[str], list[str]]:
+    """(single, double): the last names that a name is looked up by.
+
+    Single ones are that of the likeliest reading, and those of the others that are no given name. Double ones join the last two words; they
+    only have to meet the same name typed as one word, since two names typed as two words meet by the last one.
+    """
+    read = readings(name)[1]
+    double = {middle.split()[-1] + last for _, middle, last in read[:1] if middle}
+    single = {last for i, (_, _, last) in enumerate(read) if last and (not i or last not in FORMAL)}
+    return sorted(single - double), sorted(double & {last for _, _, last in read})

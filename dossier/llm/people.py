@@ -1,26 +1,25 @@
 """Variant spellings of names: which profiles mean one lawyer.
 
-Spellings are joined at the level of distinct names. A town is cut into k + 1 segments, position-shifted substrings of the
-others are looked up in the inverted index of segments, and a banded edit distance decides; last names, where swaps count as
-one edit, are looked up by what is left of them without one or two letters, and ``last_match`` decides. Profiles then meet
-under (a piece of evidence, a spelling of the last name), so that neither a common name nor a common piece of evidence
-alone brings profiles together, and every pair that meets is verified on the whole typed names.
+Spellings are joined at the level of distinct names: each is cut into k + 1 segments, position-shifted substrings of the others
+are looked up in the inverted index of segments, and a banded edit distance, in which a swap of neighbours is one edit,
+decides. Profiles then meet under (a piece of evidence, a spelling of the last name), so that neither a common name
+nor a common piece of evidence alone brings profiles together, and every pair that meets is verified on the whole typed
+names.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
-import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dossier.llm.addresses import Place, join_parts, parse_place, same_town
-from dossier.llm.canonical import allowed_edits, probes, segments
 from dossier.llm.graph import connected_components
-from dossier.llm.names import bare, edits_for, last_match, last_names, middle_conflict, name_match, plain, within
-from dossier.session import cut_lineage
+from dossier.llm.names import bare, edits_for, last_names, letter_bits, middle_conflict, plain, within, written, written_match
+from dossier.session import cut_lineage, drop_cut
 
 DOCUMENT = (
     "phone string, email string, firm_name string, law_school string, address struct<line1:string, line2:string, city:string, state:string, zip:string>"
@@ -44,26 +43,44 @@ def licence_number(bar: Column) -> Column:
     return F.nullif(F.upper(F.regexp_replace(bar, "[^A-Za-z0-9]", "")), F.lit(""))
 
 
-#: adm, email, phone, school and firm are 32-bit hashes: they only confirm pairs that met by name.
+#: Rows of one town and last name from which they meet by admission date as well, where they have one.
+HOT = 200
+
+#: What two rows of one lawyer are compared by, in the order of ``same_person``: adm is a day number, email, phone, school and firm are
+#: 64-bit hashes that only confirm pairs which met by name, read is the typed name in all its readings.
+COMPARED = ["read", "lic", "adm", "email", "phone", "school", "firm", "middle", "number", "street", "town", "state", "zip"]
+HASHED = ["email", "phone", "school", "firm"]
 PERSON = (
-    "id long, full_name string, lic string, bar string, adm int, email int, phone int, school int, firm int, middle string,"
-    " number string, street string, kind string, side string, town string, state string, zip string, lasts array<string>"
+    "id long, full_name string, bar string, read string, lic string, adm int, email long, phone long, school long, firm long, middle string,"
+    " number string, street string, town string, state string, zip string, lasts array<string>, doubles array<string>"
 )
 
 
-HASHED = ["adm", "email", "phone", "school", "firm"]
+def arrow_schema(ddl: str) -> pa.Schema:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "array<string>": pa.list_(pa.string()), "array<long>": pa.list_(pa.int64()), "boolean": pa.bool_()}
+    return pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in ddl.split(", ")])
+
+
+_PERSON = arrow_schema(PERSON)
 
 
-def _persons(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _persons(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = []
-        for r in batch.itertuples(index=False):
-            place = parse_place(join_parts(r.line1, r.line2, r.a_city, r.a_state, r.a_zip))
-            state = place.state or (r.license_state or r.state or "").strip().upper()
-            town = place.town or (parse_place(r.city).town if r.city else "")
-            rows.append((r.id, r.full_name, r.lic, r.bar, r.adm, r.email, r.phone, r.school, r.firm, plain(r.middle) if r.middle else None, place.number, place.street, place.kind, place.side, town, state, place.zip, last_names(r.full_name)))
-        frame = pd.DataFrame(rows, columns=[c.split()[0] for c in PERSON.split(", ")])
-        yield frame.astype({c: "Int32" for c in HASHED})
+        c = {name: batch.column(name).to_pylist() for name in batch.schema.names}
+        made: dict[str, list] = {name: [] for name in ("read", "middle", "number", "street", "town", "state", "zip", "lasts", "doubles")}
+        for name, middle, line1, line2, a_city, a_state, a_zip, licensed, state, city in zip(*[c[x] for x in ("full_name", "middle", "line1", "line2", "a_city", "a_state", "a_zip", "license_state", "state", "city")]):
+            place = parse_place(join_parts(line1, line2, a_city, a_state, a_zip))
+            made["read"].append(written(name))
+            made["middle"].append(plain(middle) if middle else None)
+            made["number"].append(place.number)
+            made["street"].append(place.street)
+            made["town"].append(place.town or (parse_place(city).town if city else ""))
+            made["state"].append(place.state or (licensed or state or "").strip().upper())
+            made["zip"].append(place.zip)
+            single, double = last_names(name)
+            made["lasts"].append(single)
+            made["doubles"].append(double)
+        yield pa.record_batch([pa.array(made[f.name], f.type) if f.name in made else batch.column(f.name).cast(f.type) for f in _PERSON], schema=_PERSON)
 
 
 def latest_middle_names(parsed: DataFrame) -> DataFrame:
@@ -73,10 +90,10 @@ def latest_middle_names(parsed: DataFrame) -> DataFrame:
 
 
 def persons(profiles: DataFrame, parsed: DataFrame) -> DataFrame:
-    """One row per profile, its name, licence and contacts in comparable form. Rows without an id are left out; broken JSON
+    """One row per profile, its name, licence and contacts in comparable form, and ``copy``. Rows without an id are left out; broken JSON
     counts as no document."""
     m = F.from_json("merged_data", DOCUMENT)
-    flat = profiles.where("id is not null").select("id", "full_name", "bar_number", "license_state", "state", "city", F.col("admission_date").alias("adm"), m.alias("m"))
+    flat = profiles.where("id is not null").select("id", "full_name", "bar_number", "license_state", "state", "city", F.unix_date("admission_date").alias("adm"), m.alias("m"))
     bar = licence_number(F.col("bar_number"))
     digits = F.regexp_replace(real(F.col("m.phone")), "[^0-9]", "")
     flat = flat.join(latest_middle_names(parsed), "id", "left").select(
@@ -88,88 +105,146 @@ def persons(profiles: DataFrame, parsed: DataFrame) -> DataFrame:
         F.col("m.address.line1").alias("line1"), F.col("m.address.line2").alias("line2"), F.col("m.address.city").alias("a_city"), F.col("m.address.state").alias("a_state"), F.col("m.address.zip").alias("a_zip"),
     )
     flat = flat.withColumn("lic", F.when(F.col("lic_text").contains("|"), F.col("lic_text"))).drop("lic_text")
-    flat = flat.withColumns({c: F.when(F.col(c).isNotNull(), F.hash(c)) for c in HASHED})
-    return flat.mapInPandas(_persons, PERSON)
+    flat = flat.withColumns({c: F.when(F.col(c).isNotNull(), F.xxhash64(c)) for c in HASHED})
+    return with_copy(flat.mapInArrow(_persons, PERSON), COMPARED)
 
 
-def spelling_keys(names: DataFrame) -> DataFrame:
-    """(name, key): each distinct name with itself and every more frequent name within ``allowed_edits``.
+# --- spellings -------------------------------------------------------------------------------------------------------
+def _cuts(length: int) -> tuple[int, list[tuple[int, int]]]:
+    k = edits_for(length)
+    return k, [(i * length // (k + 1), (i + 1) * length // (k + 1)) for i in range(k + 1)]
 
-    ``names(name, n)`` has each name once. Two spellings of one name share a key: one is the other's key, or a more
-    frequent spelling near both is.
-    """
-    names = names.select("name", "n").where(F.length("name") > 2)
-    # One number stands for (segment, length, piece); the distance is checked anyway, and before the pairs are shuffled again.
-    place = lambda s: F.xxhash64(s["seg"], s["len"], s["piece"])
-    flat = lambda made: F.explode(F.transform(F.filter(made, lambda s: s["piece"] != ""), place)).alias("k")
-    index = names.select(F.col("name").alias("key"), F.col("n").alias("key_n"), flat(segments("name")))
-    asked = names.select("name", "n", flat(probes("name")))
-    edits = F.levenshtein("name", "key", 2)
-    near = asked.join(index, "k").where(F.struct("key_n", "key") > F.struct("n", "name"))
-    near = near.where((edits >= 0) & (edits <= allowed_edits(F.least(F.length("name"), F.length("key"))))).select("name", "key").distinct()
-    return near.unionByName(names.select("name", F.col("name").alias("key")))
-
-
-def shortened(name: str) -> set[str]:
-    """The name and what is left of it without any one or two of its letters, as many as ``edits_for`` allows. An edit or a swap of
-    neighbours takes at most one letter out of each of two names, so names within that many edits have one of these in common."""
-    every = last = {name}
-    for _ in range(edits_for(len(name))):
-        last = {w[:i] + w[i + 1 :] for w in last for i in range(len(w))}
-        every = every | last
-    return every
-
-
-def _shortened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        left = [sorted(shortened(name) | shortened(bare(name))) for name in batch.column(0).to_pylist()]
-        yield pa.record_batch([*batch.columns, pa.array(left, pa.list_(pa.string()))], names=["name", "n", "left"])
 
+def index_pieces(name: str) -> set[tuple[int, int, str]]:
+    """(length, segment number, segment) of a name of three letters or more.
 
-def _same_last(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    A swap across a cut would spoil two segments, so the segments of the name with the letters at any of its cuts swapped are in as well:
+    of k edits, the swaps across cuts are then undone and each other edit spoils one segment, so one of k + 1 is whole.
+    """
+    k, cuts = _cuts(len(name))
+    found = set()
+    for chosen in range(1 << k if k else 0):
+        letters = list(name)
+        for j in range(k):
+            if chosen >> j & 1:
+                at = cuts[j][1]
+                letters[at - 1], letters[at] = letters[at], letters[at - 1]
+        found |= {(len(name), i, "".join(letters[start:end])) for i, (start, end) in enumerate(cuts)}
+    return found
+
+
+def probe_pieces(name: str) -> set[tuple[int, int, str]]:
+    """What ``index_pieces`` of any name within its edits can have in common with this one: substrings, shifted as far as the edits allow."""
+    found = set()
+    for length in range(max(3, len(name) - 2), len(name) + 3):
+        k, cuts = _cuts(length)
+        longer = len(name) - length
+        for i, (start, end) in enumerate(cuts) if abs(longer) <= k else ():
+            for shift in range(max(-i, longer - (k - i)), min(i, longer + (k - i)) + 1):
+                if start + shift >= 0 and end + shift <= len(name):
+                    found.add((length, i, name[start + shift : end + shift]))
+    return found
+
+
+PIECES = "scope string, name string, double boolean, form string, n long, letters long, pieces array<long>"
+_PIECES = arrow_schema(PIECES)
+
+
+def _pieces(of) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for scope, name, double, n in zip(*[c.to_pylist() for c in batch.columns]):
+                for form in {name} if scope else {name, bare(name)}:
+                    digests = [xxhash.xxh64_intdigest(f"{scope}|{length}|{i}|{piece}") - (1 << 63) for length, i, piece in of(form)]
+                    rows.append((scope, name, double, form, n, letter_bits(form), digests))
+            yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * len(_PIECES), _PIECES)], schema=_PIECES)
+
+    return run
+
+
+def _same_form(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        yield batch.filter(pa.array([last_match(a, b) > 0 for a, b in zip(*[c.to_pylist() for c in batch.columns])], pa.bool_()))
+        a, b, over = [c.to_pylist() for c in batch.columns[4:]]
+        keep = [not o or within(x, y, edits_for(min(len(x), len(y)))) for x, y, o in zip(a, b, over)]
+        yield batch.select(["scope", "name", "double", "key"]).filter(pa.array(keep, pa.bool_()))
 
 
-def last_name_keys(names: DataFrame) -> DataFrame:
-    """(name, key): each distinct last name with itself and every more frequent one that ``last_match`` takes for it.
+def spelling_keys(names: DataFrame) -> DataFrame:
+    """(scope, name, double, key): each distinct name with itself and every more frequent name of its scope within ``edits_for`` edits; each
+    double name with every name that is not double within them.
 
-    ``spelling_keys`` counts plain edits, so it would miss swaps that the check behind it accepts.
+    ``names(scope, name, double, n)`` has each (scope, name, double) once. Two spellings of one name share a key: one is the other's key, or a
+    more frequent spelling near both is. Names of one or two letters meet as they are. Scope "" is that of last names, which also
+    meet without their particles.
     """
-    names = names.select("name", "n")
-    made = names.mapInArrow(_shortened, "name string, n long, left array<string>").select("name", "n", F.explode("left").alias("k")).select("name", "n", F.xxhash64("k").alias("k"))
-    pairs = made.alias("x").join(made.alias("y"), F.expr("x.k = y.k and struct(y.n, y.name) > struct(x.n, x.name)")).select("x.name", F.col("y.name").alias("key")).distinct()
-    return pairs.mapInArrow(_same_last, "name string, key string").unionByName(names.select("name", F.col("name").alias("key")))
-
-
-def last_name_spellings(*frames: DataFrame) -> DataFrame:
-    """(name, key) of all last names of ``frames(lasts)``."""
+    names = names.select("scope", "name", "double", "n").where("name <> ''")
+    long_ = names.where(F.length("name") > 2)
+    # Numbers stand for the segments; the distance is checked anyway, and before the pairs are shuffled again.
+    index = long_.where("not double").mapInArrow(_pieces(index_pieces), PIECES).select(F.col("scope").alias("of"), F.col("name").alias("key"), F.col("form").alias("b"), F.col("n").alias("key_n"), F.col("letters").alias("letters_b"), F.explode("pieces").alias("k"))
+    asked = long_.mapInArrow(_pieces(probe_pieces), PIECES).select("scope", "name", "double", F.col("form").alias("a"), "n", F.col("letters").alias("letters_a"), F.explode("pieces").alias("k"))
+    size = F.least(F.length("a"), F.length("b"))
+    allowed = F.when(size < 3, 0).when(size < 6, 1).otherwise(2)
+    apart = F.bit_count(F.col("letters_a").bitwiseXOR(F.col("letters_b")))
+    met = asked.join(index, "k").where("of = scope and (double or key_n > n or key_n = n and key > name)").where(apart <= 2 * allowed)
+    met = met.select("scope", "name", "double", "key", "a", "b", F.levenshtein("a", "b", 4).alias("edits"), allowed.alias("allowed"), apart.alias("apart")).where("edits >= 0 and edits <= 2 * allowed")
+    # A swap is two plain edits and leaves the letters as they are: each edit too many must be one of a swap.
+    met = met.where("edits <= allowed or apart <= 2 * (2 * allowed - edits)")
+    met = met.groupBy("scope", "name", "double", "key", "a", "b").agg(F.max(F.col("edits") > F.col("allowed")).alias("over"))
+    near = met.mapInArrow(_same_form, "scope string, name string, double boolean, key string")
+    return near.unionByName(names.where("not double").select("scope", "name", "double", F.col("name").alias("key"))).distinct()
+
+
+def _looked_up() -> Column:
+    """array<struct<scope, name, double>>: the last names of a row."""
+    of = lambda column, double: F.transform(column, lambda n: F.struct(F.lit("").alias("scope"), n.alias("name"), F.lit(double).alias("double")))
+    return F.concat(of("lasts", False), of("doubles", True))
+
+
+def spellings(*frames: DataFrame) -> DataFrame:
+    """``spelling_keys`` of the last names (scope "") and of the towns (scope: their state) of ``frames(lasts, doubles, state, town)``."""
     every = None
     for df in frames:
-        one = df.select(F.explode("lasts").alias("name"))
+        one = df.select(F.explode(F.array_compact(F.concat(_looked_up(), F.array(F.expr("if(state <> '' and town <> '', struct(state as scope, town as name, false as double), null)"))))).alias("e")).select("e.*")
         every = one if every is None else every.unionByName(one)
-    return cut_lineage(last_name_keys(every.groupBy("name").agg(F.count("*").alias("n"))))
+    names = cut_lineage(every.groupBy("scope", "name", "double").agg(F.count("*").alias("n")))
+    known = cut_lineage(spelling_keys(names))
+    drop_cut(names)
+    return known
+
 
+def by_spelling(rows: DataFrame, known: DataFrame, *keep: str) -> DataFrame:
+    """(keep, towns, key): each of ``rows(lasts, doubles, state, town)`` once for each spelling of a last name of its own, with the spellings
+    of its town (null without one); spellings as numbers."""
+    # There are few spellings a town.
+    towns = known.where("scope <> ''").groupBy("scope", "name").agg(F.collect_set("key").alias("key")).select(F.col("scope").alias("state"), F.col("name").alias("town"), F.transform("key", lambda t: F.xxhash64(F.lit("t"), "scope", t)).alias("towns"))
+    named = rows.select(*keep, "state", "town", F.explode(_looked_up()).alias("e")).select(*keep, "state", "town", "e.name", "e.double")
+    keyed = named.join(known.where("scope = ''").select("name", "double", F.xxhash64("key").alias("key")), ["name", "double"])
+    return keyed.join(towns, ["state", "town"], "left").select(*keep, "towns", "key")
 
-def town_spellings(*frames: DataFrame) -> DataFrame:
-    """(at_town, towns): each state and town of ``frames(state, town)`` with the spellings it may stand for.
 
-    Towns are typed with typos too, so they are looked up like names; the state in front keeps those of other states away.
+def under_evidence(spelt: DataFrame, evidence: str, *keep: str) -> DataFrame:
+    """(keep, k): ``by_spelling`` rows under each (piece of evidence, spelling), as a number; what it says is verified later.
+
+    ``evidence`` is an array of numbers, to which the spellings of the row's town are added.
     """
-    every = None
-    for df in frames:
-        one = df.where("state <> '' and town <> ''").select(F.concat("state", "town").alias("name"))
-        every = one if every is None else every.unionByName(one)
-    keys = spelling_keys(every.groupBy("name").agg(F.count("*").alias("n")))
-    return cut_lineage(keys.groupBy(F.col("name").alias("at_town")).agg(F.collect_set("key").alias("towns")))  # few a town
+    every = F.concat(evidence, F.coalesce("towns", F.array().cast("array<bigint>")))
+    return spelt.select(*keep, "key", F.explode(every).alias("e")).select(*keep, F.xxhash64("e", "key").alias("k"))
 
 
-def street_close(number_a: str, street_a: str, number_b: str, street_b: str) -> bool:
-    return bool(number_a) and number_a == number_b and (street_a == street_b or within(street_a or "", street_b or "", 2))
+def evidence_key(kind: str, *columns: str, only: str = "true") -> str:
+    """SQL of a number for the columns together, null where one of them is null or empty or ``only`` does not hold."""
+    full = " and ".join(f"coalesce(cast({c} as string), '') <> ''" for c in columns)
+    return f"if({full} and ({only}), xxhash64('{kind}', {', '.join(columns)}), null)"
 
 
-#: Columns that ``same_person`` looks at, in its order.
-COMPARED = ["full_name", "lic", "adm", "email", "phone", "school", "firm", "middle", "number", "street", "town", "state", "zip"]
+def evidence(*keys: str) -> str:
+    return f"array_compact(array({', '.join(keys)}))"
+
+
+# --- pairs -----------------------------------------------------------------------------------------------------------
+def street_close(number_a: str, street_a: str, number_b: str, street_b: str) -> bool:
+    return bool(number_a) and number_a == number_b and (street_a == street_b or within(street_a or "", street_b or "", 2))
 
 
 def same_person(a: tuple, b: tuple) -> bool:
@@ -177,8 +252,8 @@ def same_person(a: tuple, b: tuple) -> bool:
 
     What contradicts is looked at before the names, which cost more.
     """
-    name_a, lic_a, adm_a, email_a, phone_a, school_a, firm_a, middle_a, number_a, street_a, town_a, state_a, zip_a = a
-    name_b, lic_b, adm_b, email_b, phone_b, school_b, firm_b, middle_b, number_b, street_b, town_b, state_b, zip_b = b
+    read_a, lic_a, adm_a, email_a, phone_a, school_a, firm_a, middle_a, number_a, street_a, town_a, state_a, zip_a = a
+    read_b, lic_b, adm_b, email_b, phone_b, school_b, firm_b, middle_b, number_b, street_b, town_b, state_b, zip_b = b
     if lic_a and lic_b:
         return lic_a == lic_b
     dated = adm_a is not None and adm_b is not None
@@ -191,7 +266,7 @@ def same_person(a: tuple, b: tuple) -> bool:
     shared = (email_a is not None and email_a == email_b and not away) or (phone_a is not None and phone_a == phone_b) or (near and street_close(number_a, street_a, number_b, street_b))
     if not (shared or town or dated) or middle_conflict(middle_a or "", middle_b or ""):
         return False
-    level = name_match(name_a, name_b)
+    level = written_match(read_a, read_b)
     if not level:
         return False
     if shared or level > 1 and (town or dated) or dated and town:
@@ -207,36 +282,76 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def resolve(people: DataFrame, licences: bool = True, spellings: DataFrame | None = None, towns: DataFrame | None = None) -> DataFrame:
-    """(id, lawyer) for each of ``persons``: lawyer is the smallest id of the rows that mean the same one.
+def with_copy(rows: DataFrame, compared: list[str]) -> DataFrame:
+    """``rows`` with ``copy``, a digest of 128 bits that rows have in common if they are equal in ``compared``."""
+    return rows.withColumn("copy", F.unhex(F.md5(F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x1e")) for c in compared]))))
 
-    Rows that agree in all compared columns are one representative first, so copies never meet pairwise. ``licences``
-    False leaves the licence number out of the evidence (used to measure the rest). ``spellings`` and ``towns`` may be given where
-    they are known already.
+
+def with_representatives(rows: DataFrame, ident: str) -> DataFrame:
+    """``rows(copy, ...)`` with ``rep``, the smallest ``ident`` of the rows of one copy.
+
+    Only representatives meet each other, so copies never meet pairwise. Counts are taken before the shuffle; only copies that really
+    occur more than once are joined back.
     """
-    if not licences:
-        people = people.withColumn("lic", F.lit(None).cast("string"))
-    people = people.withColumn("copy", F.md5(F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x1e")) for c in COMPARED])))
-    one = people.groupBy("copy").agg(F.min("id").alias("rep"), *[F.first(c).alias(c) for c in [*COMPARED, "lasts"]])
-    one = cut_lineage(one)
-    text = lambda kind, *cols: F.when(F.forall(F.array(*[F.coalesce(F.col(c).cast("string"), F.lit("")) != "" for c in cols]), lambda x: x), F.concat_ws("|", F.lit(kind), *cols))
-    exact = F.array_compact(F.array(text("a", "adm", "state"), text("p", "phone"), text("z", "number", "zip")))
-    near = one.select("rep", "adm", "lic", "lasts", exact.alias("exact"), F.concat("state", "town").alias("at_town")).join(town_spellings(one) if towns is None else towns, "at_town", "left")
-    # A town without any letter of the given name, which may be typed with another first letter or not at all.
-    near = near.withColumn("evidence", F.concat("exact", F.coalesce("towns", F.array().cast("array<string>"))))
-    met = near.select("rep", "adm", "lic", F.explode("lasts").alias("name"), "evidence").where(F.size("evidence") > 0).join(last_name_spellings(one) if spellings is None else spellings, "name")
-    keyed = met.select("rep", "adm", F.when(F.col("lic").isNotNull(), F.hash("lic")).alias("licence"), F.explode("evidence").alias("e"), "key").select("rep", "adm", "licence", F.xxhash64("e", "key").alias("k"))
-    # Rows with two licences or two admission dates are two lawyers, whatever else they share.
-    agree = "(x.adm is null or y.adm is null or x.adm = y.adm) and (x.licence is null or y.licence is null)"
-    pairs = keyed.alias("x").join(keyed.alias("y"), F.expr(f"x.k = y.k and x.rep < y.rep and {agree}")).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+    repeated = cut_lineage(rows.groupBy("copy").agg(F.min(ident).alias("first"), F.count("*").alias("n")).where("n > 1").select("copy", "first"))
+    return rows.join(repeated, "copy", "left").withColumn("rep", F.coalesce("first", ident)).drop("copy", "first")
+
+
+def hot_keys(rows: DataFrame) -> DataFrame:
+    """(k, hot): the keys of towns and last names, as ``keyed_by_name`` makes them, that more than ``HOT`` of the rows have as typed."""
+    own = rows.where("state <> '' and town <> ''").select("state", "town", F.explode("lasts").alias("name"))
+    many = own.groupBy("state", "town", "name").agg(F.count("*").alias("n")).where(F.col("n") > HOT)
+    return many.select(F.xxhash64(F.xxhash64(F.lit("t"), "state", "town"), F.xxhash64("name")).alias("k"), F.lit(True).alias("hot"))
+
+
+def met_pairs(keyed: DataFrame, hot: DataFrame) -> DataFrame:
+    """(a, b), a < b: the rows of ``keyed(rep, adm, lic, k)`` that share a k and may be one lawyer.
+
+    Rows with two licences or two admission dates are two lawyers, whatever else they share. Under the keys of ``hot(k, hot)``, those with
+    a date meet those with the same date only, and those without one meet all.
+    """
+    dated = F.array(F.struct(F.xxhash64("k", "adm").alias("k"), F.lit(0).alias("role")), F.struct(F.xxhash64("k", F.lit("*")).alias("k"), F.lit(1).alias("role")))
+    undated = F.array(F.struct(F.xxhash64("k", F.lit("*")).alias("k"), F.lit(2).alias("role")))
+    cold = F.array(F.struct(F.col("k"), F.lit(0).alias("role")))
+    spread = keyed.join(hot, "k", "left").select("rep", "adm", "lic", F.explode(F.when(F.col("hot").isNull(), cold).when(F.col("adm").isNull(), undated).otherwise(dated)).alias("e")).select("rep", "adm", "lic", "e.k", "e.role")
+    agree = "(x.adm is null or y.adm is null or x.adm = y.adm) and (x.lic is null or y.lic is null)"
+    once = "(x.role = y.role and x.role <> 1 and x.rep < y.rep or x.role = 1 and y.role = 2)"
+    met = spread.alias("x").join(spread.alias("y"), F.expr(f"x.k = y.k and {once} and {agree}"))
+    return met.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
+
+
+#: What profiles meet by beside the spellings of their towns, which go without any letter of the given name: that may be typed with
+#: another first letter or not at all. A row without a state meets by its date alone.
+TOGETHER = evidence(evidence_key("a", "adm", "state"), evidence_key("a", "adm", only="state = ''"), evidence_key("p", "phone"), evidence_key("e", "email"), evidence_key("z", "number", "zip"))
+
+
+def resolve_representatives(one: DataFrame, spelt: DataFrame) -> DataFrame:
+    """(rep, lawyer) of the representatives ``one(rep, COMPARED, lasts)`` that are not alone: lawyer is the smallest rep of those that mean the
+    same one. ``spelt``: ``by_spelling`` of them with rep, adm, ``licensed`` and ``together`` (``TOGETHER``)."""
+    keyed = under_evidence(spelt.withColumn("lic", F.when(F.col("licensed"), 1)), "together", "rep", "adm", "lic")
     side = lambda s: one.select(F.col("rep").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in COMPARED])
-    pairs = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", *[f"a_{c}" for c in COMPARED], *[f"b_{c}" for c in COMPARED])
-    linked = pairs.mapInArrow(_verify, "a long, b long")
+    pairs = met_pairs(keyed, hot_keys(one)).join(side("a"), "a").join(side("b"), "b").where("a_state = b_state or a_state = '' or b_state = ''")
+    linked = pairs.select("a", "b", *[f"a_{c}" for c in COMPARED], *[f"b_{c}" for c in COMPARED]).mapInArrow(_verify, "a long, b long")
     first = one.where("lic is not null").groupBy("lic").agg(F.min("rep").alias("a"))
     by_licence = one.select("lic", F.col("rep").alias("b")).join(first, "lic").where("a <> b").select("a", "b")
-    found = connected_components(linked.unionByName(by_licence))
-    reps = one.select("copy", "rep").join(found, one.rep == found.id, "left").select("copy", F.coalesce("component", "rep").alias("lawyer"))
-    return people.select("id", "copy").join(reps, "copy").select("id", "lawyer")
+    return connected_components(linked.unionByName(by_licence)).select(F.col("id").alias("rep"), F.col("component").alias("lawyer"))
+
+
+def with_evidence(one: DataFrame) -> DataFrame:
+    return one.withColumns({"licensed": F.col("lic").isNotNull(), "together": F.expr(TOGETHER)})
+
+
+def resolve(people: DataFrame, licences: bool = True) -> DataFrame:
+    """(id, lawyer) for each of ``persons``: lawyer is the smallest id of the rows that mean the same one.
+
+    ``licences`` False leaves the licence number out of the evidence (used to measure the rest).
+    """
+    if not licences:
+        people = with_copy(people.withColumn("lic", F.lit(None).cast("string")), COMPARED)
+    rows = with_representatives(people, "id")
+    one = rows.where("id = rep")
+    found = resolve_representatives(one, by_spelling(with_evidence(one), spellings(one), "rep", "adm", "licensed", "together"))
+    return rows.select("id", "rep").join(found, "rep", "left").select("id", F.coalesce("lawyer", "rep").alias("lawyer"))
 
 
 def linked_pairs(people: DataFrame, lawyers: DataFrame) -> DataFrame:

@@ -83,42 +83,20 @@ def test_name_match(a, b, same):
     assert bool(name_match(a, b)) is same
 
 
-def test_spelling_keys_find_what_brute_force_finds(spark):
-    rng = random.Random(2)
-    base = ["lamuristen", "krackacott", "serostein", "doe", "smith"]
-    words = set(base)
-    for w in base * 30:
-        i = rng.randrange(len(w))
-        words.add(rng.choice([w[:i] + w[i + 1 :], w[:i] + "x" + w[i:], w[:i] + "q" + w[i + 1 :]]))
-    words = sorted(w for w in words if len(w) > 2)
-    got = {(r.name, r.key) for r in people.spelling_keys(spark.createDataFrame([(w, 100 if w in base else 1) for w in words], "name string, n long")).collect()}
-
-    def lev(a, b):
-        row = list(range(len(b) + 1))
-        for x in a:
-            new = [row[0] + 1]
-            for j, y in enumerate(b):
-                new.append(min(row[j + 1] + 1, new[-1] + 1, row[j] + (x != y)))
-            row = new
-        return row[-1]
-
-    n = {w: (100 if w in base else 1, w) for w in words}
-    limit = lambda a, b: (lambda m: 0 if m < 4 else 1 if m < 6 else 2)(min(len(a), len(b)))
-    assert got == {(a, b) for a in words for b in words if a == b or (n[b] > n[a] and lev(a, b) <= limit(a, b))}
-
-
-def test_last_name_keys_find_what_last_match_accepts(spark):
+@pytest.mark.parametrize("scope", ["", "CA"])
+def test_spelling_keys_find_what_brute_force_finds(spark, scope):
     rng = random.Random(7)
-    words = {"ralro", "rlaro", "rarlo", "doe", "deo", "doee", "roe", "burns", "bums", "vandermoor", "moor", "moro", "li"}
-    for w in ["serostein", "ralro", "homveld"] * 40:
+    words = {"ralro", "rlaro", "rarlo", "doe", "deo", "doee", "roe", "burns", "bums", "vandermoor", "moor", "moro", "li", "o", "ng"}
+    for w in ["serostein", "ralro", "homveld", "lamuristen", "abc"] * 40:
         for _ in range(2):
             i = rng.randrange(len(w) - 1)
-            w = rng.choice([w[:i] + w[i + 1] + w[i] + w[i + 2 :], w[:i] + w[i + 1 :], w[:i] + "x" + w[i:]])
+            w = rng.choice([w[:i] + w[i + 1] + w[i] + w[i + 2 :], w[:i] + w[i + 1 :] if len(w) > 2 else w, w[:i] + "x" + w[i:], w[:i] + "q" + w[i + 1 :]])
         words.add(w)
     n = {w: (100 if w == "ralro" else 1, w) for w in words}
-    got = {(r.name, r.key) for r in people.last_name_keys(spark.createDataFrame([(w, n[w][0]) for w in words], "name string, n long")).collect()}
-    assert got == {(a, b) for a in words for b in words if a == b or (n[b] > n[a] and last_match(a, b))}
-    assert {("rlaro", "ralro"), ("burns", "bums")} <= got | {(b, a) for a, b in got}
+    got = {(r.name, r.key) for r in people.spelling_keys(spark.createDataFrame([(scope, w, False, n[w][0]) for w in words], "scope string, name string, double boolean, n long")).collect()}
+    near = last_match if not scope else lambda a, b: within(a, b, (lambda m: 0 if m < 3 else 1 if m < 6 else 2)(min(len(a), len(b))))
+    assert got == {(a, b) for a in words for b in words if a == b or (n[b] > n[a] and near(a, b))}
+    assert scope or {("rlaro", "ralro"), ("burns", "bums")} <= got | {(b, a) for a, b in got}
 
 
 def test_swapped_short_last_names_meet(spark):
@@ -127,6 +105,37 @@ def test_swapped_short_last_names_meet(spark):
     assert found(people.linked_pairs(who, people.resolve(who)), "id_a", "id_b") == [(1, 2)]
 
 
+@pytest.mark.parametrize("a, b", [("Amy Li", "Li, Amy"), ("O, Kim", "O, Kimm"), ("Ng, Wei", "Wei Ng"), ("Latoya James", "James, Latoya")])
+def test_short_last_names_and_given_names_as_last_names_meet(spark, a, b):
+    doc = '{"phone": "212 555 0100", "address": {"line1": "12 Main St", "city": "Any Town", "state": "CA"}}'
+    rows = profiles(spark, {"id": 1, "full_name": a, "merged_data": doc}, {"id": 2, "full_name": b, "merged_data": doc}, {"id": 3, "full_name": "Amy Lo", "merged_data": doc})
+    who = people.persons(rows, spark.createDataFrame([], PARSED))
+    assert found(people.linked_pairs(who, people.resolve(who)), "id_a", "id_b") == [(1, 2)]
+    cands = spark.createDataFrame([(1, b, "12 Main St, Any Town, CA", None)], "candidate_id long, name string, location string, bar_number string")
+    assert found(linkage.link_rows(who, cands), "id", "candidate_id") == [(1, 1), (2, 1)]
+
+
+def test_double_names_meet_in_one_word(spark):
+    doc = '{"phone": "212 555 0100"}'
+    rows = profiles(spark, *[{"id": i, "full_name": n, "merged_data": doc} for i, n in enumerate(["Ana Homveld Serostein", "Ana Homveldseorstein", "Ana Homveld-Serostein", "Ana Serostein", "Eva Homveldserostein"])])
+    who = people.persons(rows, spark.createDataFrame([], PARSED))
+    assert {(0, 1), (0, 2), (0, 3), (1, 2)} <= set(found(people.linked_pairs(who, people.resolve(who)), "id_a", "id_b")) <= {(a, b) for a in range(4) for b in range(4)}
+
+
+def test_hot_keys_lose_no_pair(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = [(i, rng.choice([None, 1, 2, 3]), rng.choice([None, None, 1]), rng.choice([5, 5, 5, 6])) for i in range(60)]
+    keyed = spark.createDataFrame(rows, "rep long, adm int, lic int, k long")
+    want = sorted((a[0], b[0]) for a in rows for b in rows if a[0] < b[0] and a[3] == b[3] and (a[1] is None or b[1] is None or a[1] == b[1]) and (a[2] is None or b[2] is None))
+    for hot in ([], [(5, True)], [(5, True), (6, True)]):
+        assert found(people.met_pairs(keyed, spark.createDataFrame(hot, "k long, hot boolean")), "a", "b") == want
+    named = spark.createDataFrame([(i, "CA", "anytown", ["doe"], []) for i in range(5)], "rep long, state string, town string, lasts array<string>, doubles array<string>")
+    known = spark.createDataFrame([("", "doe", False, "doe"), ("CA", "anytown", False, "anytown")], "scope string, name string, double boolean, key string")
+    monkeypatch.setattr(people, "HOT", 4)
+    keys = people.under_evidence(people.by_spelling(named.withColumn("none", F.array().cast("array<long>")), known, "rep", "none"), "none", "rep")
+    assert keys.count() == 5 and {r.k for r in people.hot_keys(named).collect()} == {r.k for r in keys.collect()}
+
+
 def test_connected_components(spark):
     edges = [(i, i + 1) for i in range(20)] + [(50, 49), (7, 7), (None, 3)]
     got = dict(found(graph.connected_components(spark.createDataFrame(edges, "a long, b long")), "id", "component"))
@@ -134,6 +143,12 @@ def test_connected_components(spark):
     assert graph.connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_of_long_paths_and_stars(spark):
+    path, star = [(i, i + 1) for i in range(0, 600)], [(1000, 1001 + i) for i in range(300)]
+    got = dict(found(graph.connected_components(spark.createDataFrame(path + star + star, "a long, b long")), "id", "component"))
+    assert got == {i: 0 for i in range(601)} | {i: 1000 for i in range(1000, 1301)}
+
+
 def test_variants_are_linked_and_relatives_are_not(spark):
     rows = profiles(
         spark,
@@ -203,6 +218,18 @@ def test_linkage(spark):
     assert linkage.link_rows(who, cands.limit(0)).count() == 0
 
 
+def test_both_ways_of_solving_agree(spark):
+    rng = random.Random(5)
+    links = {}
+    for _ in range(80):
+        cand = rng.randrange(30)
+        links[rng.randrange(12), cand] = (rng.choice([0.6, 0.9, 0.97]), rng.choice([1.0, 4.0, 6.0]), None if cand % 3 else f"b{cand % 4}")
+    df = spark.createDataFrame([(a, c, *x) for (a, c), x in links.items()], "lawyer long, cand long, s double, w double, bar string")
+    blocks, rows = ({(r.lawyer, r.cand): r.confidence for r in linkage.solve(df, most).collect()} for most in (1_000, 0))
+    # The rows stop when all blocks have settled, a block as soon as it has itself.
+    assert blocks.keys() == rows.keys() == links.keys() and all(abs(blocks[k] - rows[k]) < 0.03 for k in links)
+
+
 # --- P5 ---------------------------------------------------------------------------------------------------------------
 @pytest.mark.parametrize(
     "a, b, same",
