@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dossier.llm.aliases import AREA_ALIASES, AREA_NOISE, STATES, TOWN_WORDS
-from dossier.llm.golden import FIELDS
+from dossier.llm.golden import FIELDS, ROUNDS
 from dossier.llm.people import NO_VALUE
 
 _NONE = ", ".join(f"'{v}'" for v in NO_VALUE)
@@ -66,7 +66,34 @@ pairs AS (SELECT v.scope, v.norm, r.ref_id, levenshtein(v.norm, r.norm) AS edits
 best AS (SELECT scope, norm, arg_min(ref_id, (edits, ref_id)) AS ref_id FROM pairs WHERE edits = 0 OR (edits <= CASE WHEN n < 4 THEN 0 WHEN n < 6 THEN 1 ELSE 2 END AND length(norm) >= 3) GROUP BY ALL)
 SELECT place_typed, row_id, typed_value, coalesce(ref_id, 0) AS ref_id FROM t LEFT JOIN best USING (scope, norm)"""
 
+#: Claims, votes and the rounds of truth discovery that are always taken, one after the other.
+def _truth(rounds: int) -> str:
+    said = "regexp_replace(lower(x.v), '[^\\p{L}\\p{N}@.]+', '', 'g')"
+    merged, told = _real("json_extract_string(m, '$.' || field)"), _real("json_extract_string(raw, '$.\"' || k || '\".data.' || field)")
+    steps = "s0 AS MATERIALIZED (SELECT DISTINCT source, CAST(0.8 AS double) AS rel FROM votes)"
+    for i in range(rounds):
+        steps += f""",
+u{i} AS MATERIALIZED (SELECT group_id, field, said, sum(rel * ln(1 + n)) AS support FROM votes JOIN s{i} USING (source) GROUP BY ALL),
+c{i} AS MATERIALIZED (SELECT *, support / sum(support) OVER (PARTITION BY group_id, field) AS confidence FROM u{i}),
+s{i + 1} AS MATERIALIZED (SELECT source, sum(confidence * n) / sum(n) AS rel FROM votes JOIN c{i} USING (group_id, field, said) GROUP BY source)"""
+    return f"""
+WITH {_GROUPS},
+e AS (SELECT group_id, field, {merged} AS merged, coalesce(list_filter(list_transform(list_sort(json_keys(raw)), lambda k: {{'s': k, 'v': {told}}}), lambda x: x.v IS NOT NULL), []) AS told FROM r JOIN g ON g.st = r.st AND g.bar = r.bar CROSS JOIN (VALUES {', '.join(f"('{f}')" for f in FIELDS)}) f(field)),
+v AS (SELECT group_id, field, unnest(CASE WHEN merged IS NULL OR list_contains(list_transform(told, lambda x: x.v), merged) THEN told ELSE list_append(told, {{'s': 'merged', 'v': merged}}) END) AS x FROM e WHERE coalesce(merged, told[1].v) IS NOT NULL),
+claims AS MATERIALIZED (SELECT group_id, field, x.s AS source, trim(x.v) AS value, {said} AS said FROM v),
+votes AS MATERIALIZED (SELECT group_id, field, said, source, count(*) AS n FROM claims GROUP BY ALL),
+{steps}
+SELECT group_id, field AS column_name, value, confidence FROM (SELECT group_id, field, value, round(confidence, 9) AS confidence, row_number() OVER (PARTITION BY group_id, field ORDER BY round(confidence, 9) DESC, said DESC, value DESC) AS rn FROM claims JOIN c{rounds - 1} USING (group_id, field, said)) WHERE rn = 1"""
+
+
+_GROUPS = """r AS (SELECT *, CASE WHEN json_valid(merged_data) THEN merged_data END AS m, CASE WHEN json_valid(raw_data_by_source) THEN raw_data_by_source END AS raw, upper(trim(license_state)) AS st, nullif(upper(regexp_replace(bar_number, '[^A-Za-z0-9]', '', 'g')), '') AS bar FROM lawyer_enrichment WHERE trim(license_state) <> ''),
+g AS (SELECT st, bar, min(id) AS group_id FROM r WHERE bar IS NOT NULL GROUP BY ALL HAVING count(*) > 1)"""
+
 ORACLES = {
+    "p3_truth": _truth(ROUNDS),
+    "p8_checks": """
+SELECT container_kind, CAST(capacity_tokens AS bigint) AS capacity, (SELECT count(*) FROM documents WHERE text <> '') AS documents, CAST(0 AS bigint) AS missing_tokens, CAST(0 AS bigint) AS split_without_need, CAST(0 AS bigint) AS over_capacity, true AS well_filled FROM container_spec""",
+    "p9_checks": "SELECT source, true AS within_repeats, true AS share_reached, true AS used_whole, true AS tempered_within_repeats, true AS exponent_between FROM mix_target",
     "p7_found": _P7,
     "p3_found": f"""
 WITH r AS (SELECT *, CASE WHEN json_valid(merged_data) THEN merged_data END AS m, CASE WHEN json_valid(raw_data_by_source) THEN raw_data_by_source END AS raw, upper(trim(license_state)) AS st, nullif(upper(regexp_replace(bar_number, '[^A-Za-z0-9]', '', 'g')), '') AS bar FROM lawyer_enrichment WHERE trim(license_state) <> ''),
