@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,17 +11,8 @@ MOST_SOURCES = 100_000
 #: Blocks that a source is permuted in.
 BLOCKS = 1_024
 SEED = 17
-
-
-def softened(shares: dict[str, float], exponent: float) -> dict[str, float]:
-    """Shares to the power ``exponent``, normalised; a share of 0 stays 0. 1 keeps them, 0 makes them even."""
-    raised = {s: p**exponent if p > 0 else 0.0 for s, p in shares.items()}
-    total = sum(raised.values()) or 1.0
-    return {s: r / total for s, r in raised.items()}
-
-
-def entropy(shares: dict[str, float]) -> float:
-    return -sum(p * math.log(p) for p in shares.values() if p > 0)
+#: A budget halfway between the largest that reaches the targets and all that the repetition limits allow.
+BEYOND = "beyond"
 
 
 def bisect(low: float, high: float, good, rounds: int = 60) -> float:
@@ -36,17 +25,23 @@ def bisect(low: float, high: float, good, rounds: int = 60) -> float:
     return low
 
 
-def temperature_for_entropy(shares: dict[str, float], target: float) -> float:
-    """The exponent in 0..1 at which the softened shares have entropy ``target`` (or the nearest they can)."""
-    return bisect(0.0, 1.0, lambda e: entropy(softened(shares, e)) >= target)
+def tempered(natural: dict[str, float], targets: dict[str, float], exponent: float) -> dict[str, float]:
+    """natural^(1 - e) * target^e, normalised: each source's weight relative to its natural share, softened by the exponent.
+
+    0 gives the natural shares, 1 the targets; with even targets it is the plain temperature, natural^(1 - e).
+    """
+    raised = {s: natural[s] * (targets[s] / natural[s]) ** exponent for s in natural}
+    total = sum(raised.values())
+    return {s: r / total for s, r in raised.items()}
 
 
-def mixture(sizes: dict[str, int], targets: dict[str, float], repeats: dict[str, int], budget: int | None = None) -> tuple[dict[str, float], float, int]:
+def mixture(sizes: dict[str, int], targets: dict[str, float], repeats: dict[str, int], budget: int | str | None = None) -> tuple[dict[str, float], float, int]:
     """(weights, exponent, budget in tokens).
 
-    The weights are natural^(1 - e) * target^e, normalised: the natural token shares at e = 0, the targets at e = 1. The
-    exponent is the largest at which no source needs more than its tokens times its repeats. Without a budget it is the
-    largest that reaches the targets themselves, so e = 1. Sources without tokens or target have weight 0, and the others share theirs.
+    The weights are natural^(1 - e) * target^e, normalised: at e = 0 the shares of the tokens that the sources may give (their tokens
+    times their repeats), the targets at e = 1. The exponent is the largest at which no source needs more than it may give. Without a budget it
+    is the largest that reaches the targets themselves, so e = 1; ``BEYOND`` is more, so e is less. Sources without tokens or target have
+    weight 0, and the others share theirs.
     """
     usable = [s for s in targets if sizes.get(s, 0) > 0 and targets[s] > 0 and repeats.get(s, 0) > 0]
     if not usable:
@@ -54,15 +49,14 @@ def mixture(sizes: dict[str, int], targets: dict[str, float], repeats: dict[str,
     total = sum(targets[s] for s in usable)
     wanted = {s: targets[s] / total for s in usable}
     room = {s: sizes[s] * repeats[s] for s in usable}
+    reached = int(min(room[s] / wanted[s] for s in usable))
     if budget is None:
-        budget = int(min(room[s] / wanted[s] for s in usable))
-    natural = sum(sizes[s] for s in usable)
-
-    def weights(e: float) -> dict[str, float]:
-        mixed = {s: (sizes[s] / natural) ** (1 - e) * wanted[s] ** e for s in usable}
-        norm = sum(mixed.values())
-        return {s: w / norm for s, w in mixed.items()}
-
+        budget = reached
+    elif budget == BEYOND:
+        budget = (reached + sum(room.values())) // 2
+    whole = sum(room.values())
+    natural = {s: room[s] / whole for s in usable}
+    weights = lambda e: tempered(natural, wanted, e)
     fits = lambda e: all(weights(e)[s] * budget <= room[s] + 1e-6 for s in usable)
     if not fits(0.0):
         budget = int(min(budget, sum(room.values())))
@@ -75,17 +69,20 @@ def source_sizes(items: DataFrame) -> DataFrame:
     return items.where("source is not null and doc_id is not null and n_tokens > 0").groupBy("source").agg(F.count("*").alias("docs"), F.sum("n_tokens").alias("tokens"))
 
 
-def plan(items: DataFrame, targets: DataFrame, budget: int | None = None) -> list[tuple]:
-    """(source, tokens there, target share, weight, tokens to use) of each target source; one row a source on the driver."""
+def plan(items: DataFrame, targets: DataFrame, budget: int | str | None = None) -> tuple[list[tuple], float]:
+    """((source, tokens there, target share, weight, tokens to use) of each target source, exponent); one row a source on the driver.
+
+    ``budget``: see ``mixture``.
+    """
     sizes = source_sizes(items)
     rows = targets.where("source is not null").select("source", "target_share", "max_repeats").join(sizes, "source", "left").orderBy("source").limit(MOST_SOURCES + 1).collect()
     if len(rows) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources")
-    weights, _, budget = mixture({r.source: r.tokens or 0 for r in rows}, {r.source: r.target_share or 0.0 for r in rows}, {r.source: r.max_repeats or 0 for r in rows}, budget)
-    return [(r.source, r.tokens or 0, r.target_share, weights.get(r.source, 0.0), min(weights.get(r.source, 0.0) * budget, float((r.tokens or 0) * (r.max_repeats or 0)))) for r in rows]
+    weights, exponent, budget = mixture({r.source: r.tokens or 0 for r in rows}, {r.source: r.target_share or 0.0 for r in rows}, {r.source: r.max_repeats or 0 for r in rows}, budget)
+    return [(r.source, r.tokens or 0, r.target_share, weights.get(r.source, 0.0), min(weights.get(r.source, 0.0) * budget, float((r.tokens or 0) * (r.max_repeats or 0)))) for r in rows], exponent
 
 
-def mix(items: DataFrame, targets: DataFrame, budget: int | None = None, blocks: int = BLOCKS) -> DataFrame:
+def mix(items: DataFrame, targets: DataFrame, budget: int | str | None = None, blocks: int = BLOCKS) -> DataFrame:
     """(source, doc_id, use, n_tokens, at): every use of every document; ``at`` orders the mixture (a hash, so sources interleave).
 
     A source is used whole as often as its budget allows; the last, partial pass takes documents in the order of a
@@ -95,7 +92,7 @@ def mix(items: DataFrame, targets: DataFrame, budget: int | None = None, blocks:
     """
     spark = items.sparkSession
     schema = T.StructType([T.StructField("source", T.StringType()), T.StructField("there", T.LongType()), T.StructField("target_share", T.DoubleType()), T.StructField("weight", T.DoubleType()), T.StructField("tokens_to_use", T.DoubleType())])
-    chosen = F.broadcast(spark.createDataFrame(plan(items, targets, budget), schema).where("tokens_to_use > 0"))
+    chosen = F.broadcast(spark.createDataFrame(plan(items, targets, budget)[0], schema).where("tokens_to_use > 0"))
     used = items.where("source is not null and doc_id is not null and n_tokens > 0").select("doc_id", "source", "n_tokens").join(chosen, "source")
     used = used.withColumn("passes", F.floor(F.col("tokens_to_use") / F.col("there")).cast("int")).withColumn("rest", F.col("tokens_to_use") - F.col("passes") * F.col("there"))
     whole = used.where("passes > 0").select("source", "doc_id", "n_tokens", F.explode(F.sequence(F.lit(1), F.col("passes"))).alias("use"))
@@ -112,11 +109,13 @@ def mix(items: DataFrame, targets: DataFrame, budget: int | None = None, blocks:
     return whole.unionByName(part).withColumn("at", F.xxhash64(F.lit(SEED + 1), "source", "doc_id", "use")).select("source", "doc_id", "use", "n_tokens", "at")
 
 
-def shares(items: DataFrame, targets: DataFrame, mixed: DataFrame) -> DataFrame:
-    """(source, docs_there, tokens_there, target_share, max_repeats, uses, tokens_used, most_uses, share): what was reached."""
+def shares(items: DataFrame, targets: DataFrame, budget: int | str | None = None) -> DataFrame:
+    """(source, docs_there, tokens_there, target_share, max_repeats, weight, exponent, uses, tokens_used, most_uses, share) of ``mix``: what
+    was asked for and what was reached."""
+    chosen, exponent = plan(items, targets, budget)
+    asked = items.sparkSession.createDataFrame([(source, weight, exponent) for source, _, _, weight, _ in chosen], "source string, weight double, exponent double")
     there = source_sizes(items).select("source", F.col("docs").alias("docs_there"), F.col("tokens").alias("tokens_there"))
-    got = mixed.groupBy("source").agg(F.count("*").alias("uses"), F.sum("n_tokens").alias("tokens_used"), F.max("use").alias("most_uses"))
-    joined = targets.select("source", "target_share", "max_repeats").join(there, "source", "left").join(got, "source", "left").withColumn("total", F.sum("tokens_used").over(Window.partitionBy()))
+    got = mix(items, targets, budget).groupBy("source").agg(F.count("*").alias("uses"), F.sum("n_tokens").alias("tokens_used"), F.max("use").alias("most_uses"))
+    joined = targets.select("source", "target_share", "max_repeats").join(there, "source", "left").join(got, "source", "left").join(asked, "source", "left").withColumn("total", F.sum("tokens_used").over(Window.partitionBy()))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
-    return joined.select("source", zero("docs_there"), zero("tokens_there"), "target_share", "max_repeats", zero("uses"), zero("tokens_used"), zero("most_uses"), (F.coalesce("tokens_used", F.lit(0)) / F.col("total")).alias("share"))
-
+    return joined.select("source", zero("docs_there"), zero("tokens_there"), "target_share", "max_repeats", "weight", "exponent", zero("uses"), zero("tokens_used"), zero("most_uses"), (F.coalesce("tokens_used", F.lit(0)) / F.col("total")).alias("share"))

@@ -73,9 +73,42 @@ def p9_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_sized(spark, sf_dir), table(spark, sf_dir, "mix_target"))
 
 
+def p8_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of ``p8_packed``: every token of every text once, no text cut without need, no container over its capacity, and the
+    containers filled to 95 of 100 in all."""
+    items = _sized(spark, sf_dir)
+    packed = cut_lineage(packing.pack(items, table(spark, sf_dir, "container_spec")))
+    there = items.agg(F.sum("n_tokens").alias("tokens"))
+    of_doc = packed.groupBy("container_kind", "capacity", "doc_id").agg(F.count("*").alias("pieces"), F.sum("n_tokens").alias("n")).withColumn("needless", (F.col("pieces") > F.ceil(F.col("n") / F.col("capacity"))).cast("long"))
+    docs = of_doc.groupBy("container_kind", "capacity").agg(F.count("*").alias("documents"), F.sum("n").alias("tokens_in"), F.sum("needless").alias("split_without_need"))
+    boxes = packed.groupBy("container_kind", "capacity", "container_id").agg(F.sum("n_tokens").alias("n"))
+    full = boxes.groupBy("container_kind", "capacity").agg(F.count_if(F.col("n") > F.col("capacity")).alias("over_capacity"), (F.sum("n") >= 0.95 * F.count("*") * F.first("capacity")).alias("well_filled"))
+    return docs.join(full, ["container_kind", "capacity"]).crossJoin(there).select("container_kind", "capacity", "documents", (F.col("tokens") - F.col("tokens_in")).alias("missing_tokens"), "split_without_need", "over_capacity", "well_filled")
+
+
 def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shares asked for and reached at the largest budget that reaches the targets (exponent 1)."""
+    return mixing.shares(_sized(spark, sf_dir), table(spark, sf_dir, "mix_target"))
+
+
+def p9_tempered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mixture larger than the targets allow, so the exponent is bisected to the repetition limits."""
+    return mixing.mix(_sized(spark, sf_dir), table(spark, sf_dir, "mix_target"), mixing.BEYOND)
+
+
+def p9_tempered_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.shares(_sized(spark, sf_dir), table(spark, sf_dir, "mix_target"), mixing.BEYOND)
+
+
+def p9_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of both mixtures: no document used too often, the target shares reached to 0.02, full budgets used, and an exponent
+    strictly between 0 and 1 for the larger one."""
     items, targets = _sized(spark, sf_dir), table(spark, sf_dir, "mix_target")
-    return mixing.shares(items, targets, mixing.mix(items, targets))
+    exact, large = mixing.shares(items, targets), mixing.shares(items, targets, mixing.BEYOND)
+    few = lambda c: F.col(c) <= F.col("max_repeats")
+    used = F.abs(F.col("share") - F.col("weight")) < 0.02
+    larger = large.select("source", few("most_uses").alias("tempered_within_repeats"), ((F.col("exponent") > 0) & (F.col("exponent") < 1)).alias("exponent_between"), used.alias("used_whole"))
+    return exact.select("source", few("most_uses").alias("within_repeats"), (F.abs(F.col("share") - F.col("target_share")) < 0.02).alias("share_reached")).join(larger, "source")
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,8 +136,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p7_found": p7_found,
         "p8_packed": p8_packed,
         "p8_fill": p8_fill,
+        "p8_checks": p8_checks,
         "p9_mixed": p9_mixed,
         "p9_shares": p9_shares,
+        "p9_tempered": p9_tempered,
+        "p9_tempered_shares": p9_tempered_shares,
+        "p9_checks": p9_checks,
         "p10_found": p10_found,
         "p10_composition": p10_composition,
     }

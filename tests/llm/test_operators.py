@@ -323,9 +323,8 @@ def test_token_counts(spark):
 
 # --- P9 ---------------------------------------------------------------------------------------------------------------
 def test_temperatures():
-    shares = {"a": 0.9, "b": 0.1}
-    e = mixing.temperature_for_entropy(shares, 0.6)
-    assert abs(mixing.entropy(mixing.softened(shares, e)) - 0.6) < 1e-6
+    even = mixing.tempered({"a": 0.8, "b": 0.2}, {"a": 0.5, "b": 0.5}, 0.5)
+    assert abs(even["a"] / even["b"] - 2.0) < 1e-9  # (0.8 / 0.2) ** 0.5
     weights, exponent, budget = mixing.mixture({"a": 1000, "b": 10}, {"a": 0.5, "b": 0.5}, {"a": 1, "b": 4})
     assert exponent == 1.0 and weights == {"a": 0.5, "b": 0.5} and budget == 80
     weights, exponent, _ = mixing.mixture({"a": 1000, "b": 10}, {"a": 0.5, "b": 0.5}, {"a": 1, "b": 4}, budget=400)
@@ -339,10 +338,12 @@ def test_mixing(spark):
     df = spark.createDataFrame(items, "doc_id long, source string, n_tokens long").withColumn("rest", F.lit(1))
     targets = spark.createDataFrame([("big", 0.4, 1), ("small", 0.6, 3), ("gone", 0.0, 1)], "source string, target_share double, max_repeats int")
     mixed = mixing.mix(df, targets, blocks=16).cache()
-    got = {r.source: r for r in mixing.shares(df, targets, mixed).collect()}
+    got = {r.source: r for r in mixing.shares(df, targets).collect()}
     assert abs(got["big"].share - 0.4) < 0.005 and got["small"].most_uses <= 3 and got["big"].most_uses == 1 and got["gone"].uses == 0
     assert mixed.groupBy("source", "doc_id", "use").count().where("count > 1").count() == 0
     assert mixing.mix(df.limit(0), targets).count() == 0
+    large = {r.source: r for r in mixing.shares(df, targets, 40_000).collect()}
+    assert 0 < large["big"].exponent < 1 and all(large[s].most_uses <= large[s].max_repeats and abs(large[s].share - large[s].weight) < 0.01 for s in ("big", "small"))
 
 
 # --- P10 --------------------------------------------------------------------------------------------------------------
