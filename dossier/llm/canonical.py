@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dossier.llm.aliases import AREA_ALIASES, AREA_NOISE, STATES, TOWN_WORDS
+from dossier.session import cut_lineage
 
 #: Edits allowed: none below 4 letters, 1 below 6, else 2.
 MAX_EDITS = 2
@@ -116,16 +117,19 @@ def typed_values(discovery: DataFrame, profiles: DataFrame) -> DataFrame:
     Texts that are no JSON offer nothing. A town's scope is the state of its address, or that typed behind the town; a
     town with neither is looked for in all states (scope "*").
     """
-    searched = discovery.select(F.lit("searched").alias("place_typed"), F.col("discovery_id").alias("row_id"), F.col("practice_area_searched").alias("typed_value"))
+    value = lambda kind, typed, state: F.struct(F.lit(kind).alias("place_typed"), typed.alias("typed_value"), state.alias("state"))
+    none = F.lit(None).cast("string")
+    searched = discovery.select(F.col("discovery_id").alias("row_id"), value("searched", F.col("practice_area_searched"), none).alias("v"))
     # The parser may still give the first keys of a text that is cut off, but it marks that text as broken.
-    document = profiles.select("id", F.from_json("merged_data", PROFILE, {"columnNameOfCorruptRecord": "_broken"}).alias("m")).where("m._broken is null")
-    areas = document.select(F.lit("areas").alias("place_typed"), F.col("id").alias("row_id"), F.explode(F.array_distinct("m.practice_areas")).alias("typed_value"))
-    towns = document.select(F.lit("city").alias("place_typed"), F.col("id").alias("row_id"), F.col("m.address.city").alias("typed_value"), F.col("m.address.state").alias("state"))
-    blank = F.regexp_replace("typed_value", r"\s+", "") == ""
-    both = searched.unionByName(areas).where(~blank).withColumn("scope", F.lit("area")).withColumn("norm", area_norm(F.col("typed_value")))
+    document = profiles.select(F.col("id").alias("row_id"), F.from_json("merged_data", PROFILE, {"columnNameOfCorruptRecord": "_broken"}).alias("m")).where("m._broken is null")
+    areas = F.transform(F.coalesce(F.array_distinct("m.practice_areas"), F.array().cast("array<string>")), lambda x: value("areas", x, none))
+    documents = document.select("row_id", F.explode(F.concat(areas, F.array(value("city", F.col("m.address.city"), F.col("m.address.state"))))).alias("v"))
+    every = searched.unionByName(documents).select("row_id", "v.*").where(F.regexp_replace("typed_value", r"\s+", "") != "")
     behind = F.nullif(F.regexp_extract("typed_value", r",\s*([A-Za-z][A-Za-z .]+?)\s*$", 1), F.lit(""))
-    towns = towns.where(~blank).withColumn("scope", F.coalesce(state_code(F.col("state")), state_code(behind), F.lit("*"))).withColumn("norm", town_norm(F.col("typed_value"))).drop("state")
-    return both.unionByName(towns)
+    town = F.col("place_typed") == "city"
+    scope = F.when(town, F.coalesce(state_code(F.col("state")), state_code(behind), F.lit("*"))).otherwise("area")
+    norm = F.when(town, town_norm(F.col("typed_value"))).otherwise(area_norm(F.col("typed_value")))
+    return every.select("place_typed", "row_id", "typed_value", scope.alias("scope"), norm.alias("norm"))
 
 
 def reference_entries(areas: DataFrame, cities: DataFrame) -> DataFrame:
@@ -153,6 +157,8 @@ def map_typed_values(discovery: DataFrame, profiles: DataFrame, areas: DataFrame
     """
     typed = typed_values(discovery, profiles)
     listed = areas.select(F.lit(False).alias("town"), F.col("area_name").alias("typed_value")).unionByName(cities.select(F.lit(True).alias("town"), F.col("city_name").alias("typed_value"))).distinct()
-    open_ = typed.withColumn("town", F.col("place_typed") == "city").join(listed, ["town", "typed_value"], "left_anti")
-    matched = match_canonical(open_.select("scope", "norm"), reference_entries(areas, cities))
+    # Written once: both tables are read once, and each distinct value is matched once.
+    open_ = cut_lineage(typed.withColumn("town", F.col("place_typed") == "city").join(listed, ["town", "typed_value"], "left_anti").drop("town"))
+    distinct = cut_lineage(open_.select("scope", "norm").distinct())
+    matched = match_canonical(distinct, reference_entries(areas, cities))
     return open_.join(matched, ["scope", "norm"], "left").select("place_typed", "row_id", "typed_value", F.coalesce("ref_id", F.lit(0).cast("long")).alias("ref_id"))
