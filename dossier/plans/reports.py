@@ -128,8 +128,8 @@ def tables_of(sql: str) -> list[str]:
     return sorted(set(_TABLE.findall(sql)))
 
 
-def report(name: str) -> Callable[[SparkSession, str], DataFrame]:
-    sql = REPORTS[name]
+def run_sql(name: str, sql: str) -> Callable[[SparkSession, str], DataFrame]:
+    """A query of (spark, sf_dir) that runs ``sql`` over the tables that it names in braces."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         prepare(spark)
@@ -139,9 +139,17 @@ def report(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+def without_braces(sql: str) -> str:
+    return _TABLE.sub(r"\1", sql).strip()
+
+
+def report(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    return run_sql(name, REPORTS[name])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: report(name) for name in REPORTS}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: _TABLE.sub(r"\1", sql).strip() for name, sql in REPORTS.items()}
+    return {name: without_braces(sql) for name, sql in REPORTS.items()}

@@ -8,12 +8,10 @@ import os
 import duckdb
 import pytest
 
-from dossier.plans import operators, reports
-from dossier.streaming import jobs
+from dossier.plans import catalogue
 
 DATA = "/root/testdata/sf0.001"
-QUERIES = reports.queries() | operators.queries() | jobs.queries()
-ORACLES = reports.oracle_sql() | operators.oracle_sql() | jobs.oracle_sql()
+QUERIES, ORACLES = catalogue.queries(), catalogue.oracle_sql()
 
 
 def plain(v):
