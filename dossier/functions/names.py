@@ -106,3 +106,30 @@ def is_individual(name: Column) -> Column:
     """Not a firm, and first and last name of two letters or more."""
     p = parse_name(name)
     return F.coalesce(~is_firm(name) & (F.length(p["first_name"]) >= 2) & (F.length(p["last_name"]) >= 2), F.lit(False))
+
+
+def strip_honorific(name: Column) -> Column:
+    """The name without one title in front."""
+    return F.trim(F.regexp_replace(F.trim(name), r"(?i)^(?:(?:Mr|Mrs|Ms|Dr|Prof|Hon)\.|Judge|Sir|Lady)\s+", ""))
+
+
+def match_key(text: Column) -> Column:
+    """Letters a-z, figures and blanks of the lower-cased text, ends cut; white space inside stays. "" for null."""
+    return F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "[^a-z0-9 ]", ""))
+
+
+def last_token(text: Column) -> Column:
+    """The last word, "" if there is none."""
+    return F.coalesce(F.nullif(F.regexp_extract(text, r"(\S+)\s*$", 1), F.lit("")), F.lit(""))
+
+
+def completed_names(full: Column, first: Column, last: Column) -> Column:
+    """struct<full_name, first_name, last_name>: what a source left out made from what it sent; a single word is not split."""
+    said = lambda c: F.nullif(F.trim(c), F.lit(""))
+    none = said(first).isNull() & said(last).isNull()
+    halves = split_last_space(full)
+    return F.struct(
+        F.when(said(full).isNull(), F.nullif(F.concat_ws(" ", said(first), said(last)), F.lit(""))).otherwise(full).alias("full_name"),
+        F.when(none, halves["first_name"]).otherwise(first).alias("first_name"),
+        F.when(none, halves["last_name"]).otherwise(last).alias("last_name"),
+    )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from dossier.functions.names import match_key
 from dossier.functions.text import squeeze
 
 
@@ -30,20 +31,23 @@ def place_fingerprint(name: Column, city: Column, state: Column) -> Column:
     return F.sha2(F.concat_ws("|", part(name), part(city), part(state)), 256)
 
 
+def directory_fingerprint(number: Column, name: Column, city: Column, state: Column) -> Column:
+    """SHA-256 of a directory's own number, or without one of name, town and state by their ``match_key``."""
+    return F.sha2(F.coalesce(F.concat(F.lit("avvo:"), F.nullif(number, F.lit(""))), F.concat_ws("|", match_key(name), match_key(city), match_key(state))), 256)
+
+
 # --- phones --------------------------------------------------------------------------------------------------------
 def normalize_phone(text: Column) -> Column:
-    """+1 and ten figures where the text can be read so, else the squeezed text; null for blank."""
-    kept = F.regexp_replace(text, "[^0-9+]", "")
-    found = F.regexp_extract(text, r"(?:\+?1[\s\-.]?)?\(?(\d{3})\)?[\s\-.]?(\d{3})[\s\-.]?(\d{4})", 0)
-    digits = F.regexp_replace(found, "[^0-9]", "")
-    return (
-        F.when(text.isNull() | (squeeze(text) == ""), None)
-        .when(kept.rlike("^[0-9]{10}$"), F.concat(F.lit("+1"), kept))
-        .when(kept.startswith("+1") & (F.length(kept) == 12), kept)
-        .when(kept.startswith("1") & (F.length(kept) == 11), F.concat(F.lit("+"), kept))
-        .when(F.length(digits) == 10, F.concat(F.lit("+1"), digits))
-        .otherwise(squeeze(text))
-    )
+    """+1 and ten figures where the text can be read so, else the squeezed text; null for blank.
+
+    Read so: the figures, with a leading +1 or 1 or without, are ten; or ten figures stand together somewhere as 3-3-4 (an extension behind them).
+    A text with a + elsewhere keeps it, as one of its signs.
+    """
+    signs = F.regexp_replace(text, "[^0-9+]", "")
+    rescued = F.regexp_replace(F.regexp_extract(text, r"\(?(\d{3})\)?[\s\-.]?(\d{3})[\s\-.]?(\d{4})", 0), "[^0-9]", "")
+    local = F.regexp_extract(signs, "^(?:[+]1(?=.{10}$)|1(?=.{10}$)|(?=[0-9]{10}$))(.+)$", 1)
+    whole = F.concat(F.lit("+1"), F.coalesce(F.nullif(local, F.lit("")), F.when(F.length(rescued) == 10, rescued)))
+    return F.when(squeeze(text) != "", F.coalesce(whole, squeeze(text)))
 
 
 def strict_phone(text: Column) -> Column:
@@ -109,3 +113,34 @@ def json_flag(document: Column, path: str) -> Column:
 def overlay(old: Column, new: Column) -> Column:
     """Map ``old`` with the entries of ``new`` over it; a null map counts as empty."""
     return F.coalesce(F.map_concat(F.map_filter(old, lambda k, _: ~F.map_contains_key(new, k)), new), old, new)
+
+
+def pruned(fields: Column) -> Column:
+    """Map of JSON texts without null, empty text, [] and {}."""
+    return F.map_filter(fields, lambda _, v: v.isNotNull() & ~v.isin("", '""', "null", "[]", "{}"))
+
+
+def says_nothing(fields: Column, address_key: str) -> Column:
+    """Whether a map is empty or has nothing but its own address."""
+    return F.size(F.map_filter(fields, lambda k, _: k != address_key)) == 0
+
+
+def stable_json(document: Column) -> Column:
+    """The JSON text with its keys in order, so that equal documents hash alike; null if it is none."""
+    return F.to_json(F.try_parse_json(document))
+
+
+def unfenced(text: Column) -> Column:
+    """A JSON answer without the code fence around it; null if what is left is no JSON."""
+    bare = F.regexp_replace(F.regexp_replace(F.trim(text), r"(?i)^```(?:json)?\s*", ""), r"\s*```$", "")
+    return F.when(F.try_parse_json(bare).isNotNull(), bare)
+
+
+def appended(items: Column, item: Column) -> Column:
+    """The list with the item behind it, unless it is in already; a null list counts as empty."""
+    return F.array_union(F.coalesce(items, F.array().cast("array<string>")), F.array(item))
+
+
+def seconds_between(start: Column, end: Column) -> Column:
+    """Whole seconds from start to end, rounded."""
+    return F.round(F.unix_micros(end.cast("timestamp")) / 1e6 - F.unix_micros(start.cast("timestamp")) / 1e6).cast("long")

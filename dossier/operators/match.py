@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dossier.functions.names import name_tokens, word_tokens
+from dossier.functions.addresses import address_similarity, is_street_address
+from dossier.functions.names import FIRM_WORDS, MATCH_PREFIXES, SUFFIXES, firm_tokens, last_token, match_key, name_tokens, word_tokens
+from dossier.session import cut_lineage, drop_cut
 
 
 @F.pandas_udf(T.DoubleType())
@@ -126,3 +128,77 @@ def best_candidate(scored: DataFrame, target: str, candidate: str, cut: float) -
     """The candidate of each target with the highest confidence from ``cut`` on (ties: smallest candidate)."""
     row = F.struct(*[F.col(c) for c in scored.columns])
     return scored.where(F.col("confidence") >= cut).groupBy(F.col(target).alias("_t")).agg(F.max_by(row, F.struct("confidence", -F.col(candidate))).alias("row")).select("row.*")
+
+
+# --- places ----------------------------------------------------------------------------------------------------------
+def place_confidence(pairs: DataFrame) -> DataFrame:
+    """``pairs`` (place_name, formatted_address; full_name, first_name, last_name, firm_name, line1, city, state_code, state_name) with
+    ``confidence`` and ``match_signals``.
+
+    A street line alike to 0.5 gives 0.5; first and last name 0.45; a firm of which 0.6 of the distinctive words and the first one are there 0.45, or
+    0.15 beside the name; the last name alone 0.3, if no foreign word stands by or partners are strung together. One of these must hold, else
+    the confidence is 0; then town and state give 0.1 each.
+    """
+    p = _with_names(pairs)
+    words = word_tokens(F.col("place_name"))
+    common = F.array(*[F.lit(w) for w in [*FIRM_WORDS, *MATCH_PREFIXES, *SUFFIXES]])
+    p = p.withColumns({"_words": words, "_told": name_tokens(F.col("place_name")), "_own": F.filter(words, lambda w: ~F.array_contains(common, w)), "_firm": firm_tokens(F.col("firm_name"))})
+    p = p.withColumn("_street", F.when(is_street_address(F.col("line1")), address_similarity(F.col("line1"), F.col("formatted_address"))).otherwise(0.0))
+    both = (F.col("_first") != "") & (F.col("_last") != "") & F.array_contains("_told", F.col("_first")) & F.array_contains("_told", F.col("_last"))
+    shared = F.size(F.array_intersect("_firm", "_own"))
+    firm = (F.size("_firm") > 0) & (F.size("_own") > 0) & (shared / F.greatest(F.size("_firm"), F.lit(1)) >= 0.6) & F.array_contains("_own", F.get("_firm", F.lit(0)))
+    allowed = F.concat("_all", "_sur", F.coalesce("_firm", F.array().cast("array<string>")), F.array(F.left("_first", F.lit(1))))
+    strung = F.col("place_name").contains("&") | F.array_contains("_words", "and")
+    alone = (F.length("_last") >= 3) & F.array_contains("_own", F.col("_last")) & ((F.size(F.array_except("_own", allowed)) == 0) | strung)
+    sure = lambda c: F.coalesce(c, F.lit(False))
+    p = p.withColumns({"_both": sure(both), "_isfirm": sure(firm)}).withColumn("_alone", ~F.col("_both") & sure(alone))
+    p = p.withColumns({"_at": F.col("_street") >= 0.5, "_city": contains_phrase(F.col("formatted_address"), F.col("city")), "_state": contains_phrase(F.col("formatted_address"), F.col("state_code")) | contains_phrase(F.col("formatted_address"), F.col("state_name"))})
+    part = lambda test, n: F.when(F.col(test), n).otherwise(0.0)
+    total = part("_at", 0.5) + part("_both", 0.45) + F.when(F.col("_isfirm"), F.when(F.col("_both"), 0.15).otherwise(0.45)).otherwise(0.0) + part("_alone", 0.3) + part("_city", 0.1) + part("_state", 0.1)
+    gate = F.col("_at") | F.col("_both") | F.col("_isfirm") | F.col("_alone")
+    named = lambda test, name: F.when(F.col(test), F.lit(name))
+    signals = F.array_compact(F.array(F.when(F.col("_at"), F.concat(F.lit("address_match_"), F.round(F.col("_street") * 100).cast("int"))), named("_both", "name_match"), named("_isfirm", "firm_name_match"), named("_alone", "last_name_match"), named("_city", "city_in_address"), named("_state", "state_in_address")))
+    confidence = F.when(gate, F.least(F.lit(1.0), F.round(total, 2))).otherwise(0.0)
+    return p.select(*pairs.columns, confidence.alias("confidence"), F.when(gate, signals).otherwise(F.array().cast("array<string>")).alias("match_signals"))
+
+
+def decisions(scored: DataFrame, key: str, threshold: float, lone: float = 0.45) -> DataFrame:
+    """(key, decision, best, n) of scored candidates (confidence): found from ``threshold`` on, or from ``lone`` on if it is the only one; else
+    candidates, or not_found where none has a confidence."""
+    rated = scored.groupBy(key).agg(F.coalesce(F.max("confidence"), F.lit(0.0)).alias("best"), F.count_if(F.col("confidence") > 0).alias("n"))
+    decision = F.when(F.col("n") == 0, "not_found").when((F.col("best") >= threshold) | ((F.col("n") == 1) & (F.col("best") >= lone)), "found").otherwise("candidates")
+    return rated.select(key, decision.alias("decision"), "best", "n")
+
+
+# --- signatures and exclusive choice ---------------------------------------------------------------------------------
+def signature(name: Column, last: Column, first: Column, city: Column, state: Column) -> Column:
+    """struct<name, last, first, city, state> by ``match_key``; without a last name the last word of the name."""
+    whole = match_key(name)
+    return F.struct(whole.alias("name"), F.coalesce(F.nullif(match_key(last), F.lit("")), last_token(whole)).alias("last"), match_key(first).alias("first"), match_key(city).alias("city"), match_key(state).alias("state"))
+
+
+def signature_score(a: Column, b: Column, ratio: Column) -> Column:
+    """0..1: 1 for the same name, 0.85 for the same last name (0.1 more with the first), else 0.8 times ``ratio``; town and state 0.05 each."""
+    same = lambda part: (a[part] != "") & (a[part] == b[part])
+    by_name = F.when(same("name"), 1.0).when(same("last"), 0.85 + F.when(same("first"), 0.1).otherwise(0.0)).when((a["name"] != "") & (b["name"] != ""), ratio * 0.8).otherwise(0.0)
+    return F.least(F.lit(1.0), by_name + F.when(same("city"), 0.05).otherwise(0.0) + F.when(same("state"), 0.05).otherwise(0.0))
+
+
+def exclusive_matches(scored: DataFrame, target: str, candidate: str, cut: float, most_rounds: int = 1_000) -> DataFrame:
+    """(target, candidate, score): each target in its order takes the best candidate from ``cut`` on that none before it took (ties: smallest).
+
+    Not one after the other: every target asks for its best candidate, each candidate keeps the first target that asks and refuses the
+    others, and who was refused asks for the next one, until nobody is refused. Since all candidates prefer the earlier target, this ends
+    with the same choice, in as many rounds as the longest chain of refusals; a round is two aggregates and an anti-join.
+    """
+    pairs = cut_lineage(scored.where(F.col("score") >= cut).groupBy(target, candidate).agg(F.max("score").alias("score")))
+    for _ in range(most_rounds):
+        asked = pairs.groupBy(target).agg(F.max_by(F.struct(F.col(candidate), F.col("score")), F.struct("score", -F.col(candidate))).alias("c")).select(target, f"c.{candidate}", "c.score")
+        first = asked.groupBy(candidate).agg(F.min(target).alias("_first"))
+        refused = cut_lineage(asked.join(first, candidate).where(F.col(target) != F.col("_first")).select(target, candidate))
+        if refused.isEmpty():
+            return asked
+        left = cut_lineage(pairs.join(refused, [target, candidate], "left_anti"))
+        drop_cut(pairs, refused)
+        pairs = left
+    raise RuntimeError(f"matches did not settle in {most_rounds} rounds")

@@ -6,13 +6,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def rank_with_quota(df: DataFrame, group: str, order: list[Column], quotas: DataFrame, rank: str = "rank") -> DataFrame:
+#: Parts of a group that are ranked apart before what is left of them is ranked together.
+SALTS = 64
+
+
+def rank_with_quota(df: DataFrame, group: str, order: list[Column], quotas: DataFrame, rank: str = "rank", salts: int = SALTS) -> DataFrame:
     """The first ``quota`` rows of each group of ``quotas(group, quota)``; groups without a positive quota go.
 
-    ``order`` must end in a unique column. Groups without a quota are dropped by the join, which the planner broadcasts if the table is small.
+    ``order`` must end in a unique column. Groups without a quota are dropped by the join, which the planner broadcasts if the table is small. A hot
+    group is ranked in ``salts`` parts first, so no task sees more of it than a part and the winners of all parts.
     """
-    kept = df.join(quotas.where("quota > 0"), group)
-    return kept.withColumn(rank, F.row_number().over(Window.partitionBy(group).orderBy(*order))).where(F.col(rank) <= F.col("quota")).drop("quota")
+    kept = df.join(quotas.where("quota > 0"), group).withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
+    first = kept.withColumn("_part", F.row_number().over(Window.partitionBy(group, "_salt").orderBy(*order))).where(F.col("_part") <= F.col("quota"))
+    return first.drop("_salt", "_part").withColumn(rank, F.row_number().over(Window.partitionBy(group).orderBy(*order))).where(F.col(rank) <= F.col("quota")).drop("quota")
 
 
 def concat_ranked(ranked: DataFrame, group_order: Column, limit: int, rank: str = "rank") -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dossier.plans import operators, reports, views
+from dossier.plans import operators, records, reports, views
 from dossier.streaming import jobs
 
 _PARTS = (reports, views, operators, jobs)

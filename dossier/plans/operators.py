@@ -319,7 +319,7 @@ def _claims(spark, d) -> DataFrame:
     rows = table(spark, d, "lawyer_enrichment").select(F.col("id").cast("string").alias("key"), "manually_curated_fields", F.posexplode(F.map_entries(F.from_json("raw_data_by_source", schema))).alias("pos", "e"))
     fields = rows.select("key", "pos", "manually_curated_fields", F.col("e.key").alias("source"), F.col("e.value.layer").alias("layer"), F.explode("e.value.data").alias("field", "value"))
     renamed = F.coalesce(F.create_map(*[F.lit(x) for p in _ALIAS.items() for x in p])[F.col("source")], F.col("source"))
-    return fields.select("key", "field", "value", renamed.alias("source"), "layer", "pos", F.coalesce(F.array_contains("manually_curated_fields", F.col("field")), F.lit(False)).alias("curated"))
+    return fields.select("key", "field", "value", renamed.alias("source"), "layer", "pos", F.col("manually_curated_fields").alias("locked"))
 
 
 _CLAIMS = """c AS (SELECT CAST(id AS varchar) AS key, source, pos, unnest(json_keys(p, '$.data')) AS field, p FROM (SELECT id, source, list_position(ks, source) AS pos, json_extract(raw_data_by_source, '$."' || source || '"') AS p
@@ -335,11 +335,29 @@ def merged_by_priority(spark, d):
     return merge.priority_merge(_claims(spark, d), merge.SOURCE_PRIORITY)
 
 
-@query()
+_IN = lambda words: ", ".join(f"'{w}'" for w in words)
+_FOLD = f"""CASE WHEN coalesce(x.v, '') IN ('', 'null', '""', '[]') THEN acc
+ WHEN x.c THEN {{'f': acc.f, 'v': acc.v, 's': acc.s, 'l': x.l, 'w': x.w, 'c': x.c, 'r': acc.r, 'a': 'curated'}}
+ WHEN x.f IN ({_IN(merge.IDENTITY_FIELDS)}) AND x.l >= 3 AND coalesce(acc.v, '""') <> '""' THEN {{'f': acc.f, 'v': acc.v, 's': acc.s, 'l': x.l, 'w': x.w, 'c': x.c, 'r': acc.r, 'a': 'identity'}}
+ WHEN x.f IN ({_IN(merge.IDENTITY_FIELDS)}) AND x.l >= 3 THEN {{'f': acc.f, 'v': x.v, 's': x.s, 'l': x.l, 'w': x.w, 'c': x.c, 'r': acc.r, 'a': 'filled'}}
+ WHEN x.w THEN {{'f': acc.f, 'v': x.v, 's': x.s, 'l': x.l, 'w': x.w, 'c': x.c, 'r': acc.r AND x.f <> 'phone', 'a': 'overwritten'}}
+ WHEN acc.v IS NULL THEN {{'f': acc.f, 'v': x.v, 's': x.s, 'l': x.l, 'w': x.w, 'c': x.c, 'r': acc.r, 'a': 'new'}}
+ WHEN acc.s = x.s THEN {{'f': acc.f, 'v': x.v, 's': x.s, 'l': x.l, 'w': x.w, 'c': x.c, 'r': acc.r, 'a': 'refreshed'}}
+ WHEN lower(trim(trim(acc.v, '"'))) = lower(trim(trim(x.v, '"'))) THEN {{'f': acc.f, 'v': acc.v, 's': acc.s, 'l': x.l, 'w': x.w, 'c': x.c, 'r': acc.r, 'a': 'duplicate'}}
+ ELSE {{'f': acc.f, 'v': acc.v, 's': acc.s, 'l': x.l, 'w': x.w, 'c': x.c, 'r': true, 'a': 'conflict'}} END"""
+
+
+@query(f"""
+WITH {_CLAIMS},
+p AS (SELECT key, field, pos, source, CAST(to_json(value) AS varchar) AS v, CAST(json_extract(raw_data_by_source, '$."' || list_extract(json_keys(raw_data_by_source), pos) || '".layer') AS int) AS l, coalesce(manually_curated_fields, []) AS locked FROM v JOIN lawyer_enrichment e ON CAST(e.id AS varchar) = key WHERE value IS NOT NULL),
+q AS (SELECT key, field, l, pos, source, v, l = 4 AND field IN ({_IN(merge.OVERWRITTEN_FIELDS)}) AS w, locked FROM p UNION ALL SELECT key, 'phone', l, pos, source, v, true, locked FROM p WHERE l = 4 AND field IN ({_IN(merge.LISTING_PHONES)})),
+g AS (SELECT key, field, list({{'f': field, 'v': v, 's': source, 'l': l, 'w': w, 'c': list_contains(locked, field), 'r': false, 'a': ''}} ORDER BY l, pos, v, source, w) AS c FROM q GROUP BY ALL),
+r AS (SELECT key, field, list_reduce(list_prepend({{'f': field, 'v': CAST(NULL AS varchar), 's': CAST(NULL AS varchar), 'l': CAST(0 AS int), 'w': false, 'c': false, 'r': false, 'a': 'empty'}}, c), lambda acc, x: {_FOLD}) AS z FROM g)
+SELECT key, field, z.v AS value, z.s AS source, z.r AS needs_review, z.a AS action FROM r""")
 def merged_by_rule(spark, d):
     # A text as JSON: the array of it without its brackets.
     quoted = F.regexp_replace(F.to_json(F.array("value")), r"^\[|\]$", "")
-    return merge.rule_merge(_claims(spark, d).withColumn("value", F.when(F.col("value").isNotNull(), quoted)))
+    return merge.rule_merge(_claims(spark, d).where("value is not null").withColumn("value", quoted)).drop("conflicts")
 
 
 @query(f"WITH {_CLAIMS} SELECT key, field, list(value ORDER BY first_at) AS \"values\" FROM (SELECT key, field, lower(trim(value)) AS k, arg_min(value, pos) AS value, min(pos) - 1 AS first_at FROM v WHERE trim(value) <> '' GROUP BY ALL) GROUP BY key, field")

@@ -1,16 +1,17 @@
 """Operators on small tables: ties, nulls, repeated rows, empty tables, extra columns."""
 
 import os
+import random
 from difflib import SequenceMatcher
 
 import pytest
 from pyspark.sql import functions as F
 
 from dossier import session
-from dossier.operators import dedupe, extract, match, merge, rank, score
+from dossier.operators import areas, dedupe, extract, match, merge, pages, rank, score
 from dossier.plans import operators
 from dossier.session import table
-from dossier.sources import readers, writers
+from dossier.sources import readers, registry, writers
 
 
 def rows(df, *columns):
@@ -48,7 +49,8 @@ def test_ordered_distinct(spark):
 
 
 def claims(spark, data):
-    return spark.createDataFrame(data, "key string, field string, value string, source string, layer int, pos int, curated boolean")
+    rows = [(key, field, value, source, layer, pos, [field] if locked is True else locked or None) for key, field, value, source, layer, pos, locked in data]
+    return spark.createDataFrame(rows, "key string, field string, value string, source string, layer int, pos int, locked array<string>")
 
 
 def merged(spark, data):
@@ -77,8 +79,11 @@ def test_listing_phone_settles_the_conflict_unless_curated(spark):
     base = [("k", "phone", '"1"', "justia", 3, 0, False), ("k", "phone", '"2"', "lawdex", 3, 1, False), ("k", "formatted_phone", '"3"', "maps", 4, 2, False)]
     got = merged(spark, base)["phone"]
     assert got.value == '"3"' and not got.needs_review and got.source == "maps"
-    locked = merged(spark, [("k", "phone", '"1"', "justia", 3, 0, True), base[2]])["phone"]
-    assert locked.value is None and locked.action == "curated"
+    listing = (*base[2][:6], ["phone"])
+    # The lock is the profile's, whether or not a source sends the field itself.
+    for sent in ([("k", "phone", '"1"', "justia", 3, 0, True), listing], [listing]):
+        locked = merged(spark, sent)["phone"]
+        assert locked.value is None and locked.action == "curated"
 
 
 def test_priority_merge(spark):
@@ -203,3 +208,100 @@ def test_a_cluster_needs_a_shared_folder(monkeypatch):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_folder(Session())
+
+
+def test_page_records(spark):
+    ld = '{"@type": "LocalBusiness", "name": " Ann  Doe ", "description": "Short.", "image": {"url": "https://x/no-photo-1.png"}, "telephone": "Not Available", "sameAs": ["https://linkedin.example/a", "https://x.com/a"], "address": {"addressLocality": "Any Town"}, "knowsAbout": ["A", "A", "B"]}'
+    html = f'<h1>Ann</h1><script type="application/ld+json">{ld}</script><div class="license-info">Licensed since 1999 · State: CA | Status: Active • Bar #123</div><div class="show-less-bio">A longer <b>biography</b>.</div>'
+    exp = '<div class="experience"><p>1999</p><strong>Clerk, </strong> Court</div>'
+    df = spark.createDataFrame([(html, "u"), ("<h1>Error</h1>", "v"), (None, None)], "h string, u string")
+    got = df.select(pages.profile_record(F.col("h"), F.col("u")).alias("p"), pages.is_error_page(F.col("u"), F.col("h")).alias("e"), pages.experience_entries(F.lit(exp)).alias("x")).collect()
+    p = got[0].p
+    assert (p.full_name, p.bio, p.photo_url, p.phone, p.city, p.practice_areas, p.license_state, p.license_status, p.admission_year, p.bar_number) == ("Ann Doe", "A longer biography .", None, None, "Any Town", ["A", "B"], "CA", "Active", "1999", "123")
+    assert p.social_links == {"linkedin": "https://linkedin.example/a", "twitter": "https://x.com/a"} and got[1].p is None and got[2].p is None and [r.e for r in got] == [False, True, False]
+    assert tuple(got[0].x[0]) == ("1999", "Clerk", "Court")
+
+
+def test_cards_anchors_and_sections(spark):
+    card = '<div class="serp-card organic-card"><a href="/attorneys/1#r">x</a><a href="/attorneys/1">View Profile</a><a href="/attorneys/1">Ann Doe</a></div>'
+    named = '<div class="serp-card organic-card"><a href="/attorneys/2">Bob</a><script type="application/ld+json">{"name": "Bob Roe", "worksFor": {"address": {"addressLocality": "Any Town", "addressRegion": "CA"}}}</script></div>'
+    df = spark.createDataFrame([(1, card + named + named), (2, None), (3, "")], "page_id long, html string")
+    assert rows(pages.best_named(pages.search_cards(df)), "url", "name", "location") == [("/attorneys/1", "Ann Doe", ""), ("/attorneys/2", "Bob Roe", "Any Town, CA")]
+    item = '<li><a href="/lawyer/a"><img></a><a href="/lawyer/a">Ann Doe</a><a href="/lawyer/a/contact">Contact</a><span>Any Town, CA</span></li>'
+    assert rows(pages.best_named(pages.profile_anchors(df.select("page_id", F.lit(item).alias("html")), "/lawyer/")), "url", "name", "location") == [("/lawyer/a", "Ann Doe", "Any Town, CA")]
+    text = "<h2>Biography</h2><p>Likes law.</p><h2>Practice Areas</h2><p>Tax • Wills</p><p>Tax</p><h2>Fees</h2><p>State Bar # 12345</p><h2>Languages</h2><p>English: spoken</p><h2>Professional Experience</h2><p>Clerk</p><h2>Education</h2><p>Any School</p>"
+    got = df.select(pages.section_record(F.lit(text), F.lit("u")).alias("s")).first().s
+    assert tuple(got) == ("Likes law.", ["Tax", "Wills"], ["English"], "Any School", "12345", "u")
+    links = df.select(pages.last_page(F.array(F.lit("l?page=3"), F.lit("l?page=9&sort=a"), F.lit("m?page=7")), F.lit("l?page=1"))).first()[0]
+    assert links == 3
+
+
+def test_crawled_records(spark):
+    item = '{"name": "", "full_name": "Ann  Doe", "practiceAreas": [{"name": "Tax"}, "tax", "Wills"], "specialties": "Probate", "phone": "(212) 555-0100", "rating": "4.5", "reviewCount": [], "reviewsCount": 7}'
+    got = spark.createDataFrame([(item,), ("{",), (None,)], "j string").select(pages.crawled_record(F.col("j")).alias("r")).collect()
+    assert (got[0].r.full_name, got[0].r.practice_areas, got[0].r.phone, got[0].r.rating, got[0].r.review_count) == ("Ann Doe", ["Tax", "Wills", "Probate"], "+12125550100", 4.5, 7)
+
+
+def test_areas_by_rule_cache_and_model(spark):
+    raw = spark.createDataFrame([("DUI",), ("Family Law",), ("estate-planning",), ("odd",), ("odder",), (None,), (" ",)], "raw string")
+    cache = spark.createDataFrame([("odd", "tax-law"), ("odder", "no such area")], "raw string, area string")
+    got = rows(areas.classify_rest(raw, cache, lambda df: df.withColumn("area", F.lit("sports-law"))), "raw", "area", "how")
+    assert got == [("DUI", "criminal-defense", "rule"), ("Family Law", "sports-law", "model"), ("estate-planning", "estate-planning", "rule"), ("odd", "tax-law", "cache"), ("odder", "sports-law", "model")]
+
+
+def test_exclusive_matches_are_those_of_taking_turns(spark):
+    rng = random.Random(11)
+    scored = [(t, c, rng.choice([0.8, 0.9, 0.95, 1.0])) for t in range(25) for c in range(20) if rng.random() < 0.3]
+    taken, want = set(), []
+    for t in range(25):
+        open_ = [(s, -c) for a, c, s in scored if a == t and s >= 0.85 and c not in taken]
+        if open_:
+            s, c = max(open_)
+            taken.add(-c)
+            want.append((t, -c))
+    df = spark.createDataFrame(scored, "t int, c int, score double")
+    assert rows(match.exclusive_matches(df, "t", "c", 0.85), "t", "c") == sorted(want, key=repr)
+    assert match.exclusive_matches(df.limit(0), "t", "c", 0.85).count() == 0
+
+
+@pytest.mark.parametrize(
+    "place, target, expected",
+    [
+        (("Other Law Group", "1 Elm St, Any Town, CA 90001"), ("Ann Doe", "Ann", "Doe", None, None, "Any Town", "ca", "california"), 0.0),
+        (("Ann Doe", "1 Elm St, Any Town, CA 90001"), ("Ann Mary Roe Doe", "Ann", "Doe", None, None, "Any Town", "ca", "california"), 0.65),
+        (("Homveld & Roe Law", "12 Main Street, Any Town, CA"), ("Ann Doe", "Ann", "Doe", "Homveld Roe LLP", "12 Main St", "Any Town", "ca", "california"), 1.0),
+        (("Doe Law Office", "Elsewhere"), ("Ann Doe", "Ann", "Doe", None, None, "Any Town", "ca", "california"), 0.3),
+        (("Doe Plumbing", "Elsewhere"), ("Ann Doe", "Ann", "Doe", None, None, "Any Town", "ca", "california"), 0.0),
+        ((None, None), (None, None, None, None, None, None, None, None), 0.0),
+    ],
+)
+def test_place_confidence(spark, place, target, expected):
+    schema = "place_name string, formatted_address string, full_name string, first_name string, last_name string, firm_name string, line1 string, city string, state_code string, state_name string"
+    assert match.place_confidence(spark.createDataFrame([place + target], schema)).first().confidence == expected
+
+
+def test_decisions_and_signatures(spark):
+    df = spark.createDataFrame([("a", 0.9), ("a", 0.2), ("b", 0.5), ("c", 0.5), ("c", 0.4), ("d", 0.0), ("e", None)], "k string, confidence double")
+    assert rows(match.decisions(df, "k", 0.8), "k", "decision") == [("a", "found"), ("b", "found"), ("c", "candidates"), ("d", "not_found"), ("e", "not_found")]
+    s = lambda *v: match.signature(*[F.lit(x).cast("string") for x in v])
+    score = match.signature_score(s("Ann Doe", None, None, "Any Town", "CA"), s("A. Doe", None, None, "any town", "NY"), F.lit(0.5))
+    assert abs(spark.range(1).select(score).first()[0] - 0.9) < 1e-9
+
+
+def test_plugins_and_settings(spark):
+    plugins = registry.Registry()
+    plugins.add(registry.Source("a", 3, lambda df: df.withColumn("by", F.lit("a"))))
+    plugins.add(registry.Source("off", 3, lambda df: df, enabled=False))
+    plugins.add(registry.Source("*", 4, lambda df: df.withColumn("by", F.lit("*")), details=False))
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (4, "off")], "id int, s string")
+    assert rows(plugins.run(df, "s"), "id", "by", "layer") == [(1, "a", 3), (2, "*", 4), (3, "*", 4)]
+    assert [s.key for s in plugins.of_layer(3)] == ["a"] and [s.key for s in plugins.with_details()] == ["a"]
+    with pytest.raises(ValueError):
+        plugins.add(registry.Source("a", 1, lambda df: df))
+    assert registry.settings({"a": {"b": 1, "c": None}}, "a.b") == 1 and registry.settings({"a": {"c": None}}, "a.c.d", 80) == 80
+
+
+def test_json_equality_by_kind(spark):
+    pairs = [('"A "', '" a"', True), ("1", '"1"', False), ('["a","b","c","d"]', '["A","B","C","D","e"]', True), ('["a"]', '["b"]', False), ('{"a":1,"b":2}', '{"b":2,"a":1}', True), ("1", "1.0", False), (None, '"a"', False)]
+    df = spark.createDataFrame(pairs, "a string, b string, same boolean")
+    assert all(r[0] == r.same for r in df.select(merge.same_json(F.col("a"), F.col("b")), "same").collect())
