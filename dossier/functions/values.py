@@ -116,8 +116,8 @@ def overlay(old: Column, new: Column) -> Column:
 
 
 def pruned(fields: Column) -> Column:
-    """Map of JSON texts without null, empty text, [] and {}."""
-    return F.map_filter(fields, lambda _, v: v.isNotNull() & ~v.isin("", '""', "null", "[]", "{}"))
+    """Map of values, as ``from_json`` gives them as texts, without null, empty text, [] and {}."""
+    return F.map_filter(fields, lambda _, v: v.isNotNull() & ~v.isin("", "[]", "{}"))
 
 
 def says_nothing(fields: Column, address_key: str) -> Column:
