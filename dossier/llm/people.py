@@ -186,11 +186,12 @@ def spelling_keys(names: DataFrame) -> DataFrame:
     size = F.least(F.length("a"), F.length("b"))
     allowed = F.when(size < 3, 0).when(size < 6, 1).otherwise(2)
     apart = F.bit_count(F.col("letters_a").bitwiseXOR(F.col("letters_b")))
-    met = asked.join(index, "k").where("of = scope and (double or key_n > n or key_n = n and key > name)").where(apart <= 2 * allowed)
-    met = met.select("scope", "name", "double", "key", "a", "b", F.levenshtein("a", "b", 4).alias("edits"), allowed.alias("allowed"), apart.alias("apart")).where("edits >= 0 and edits <= 2 * allowed")
-    # A swap is two plain edits and leaves the letters as they are: each edit too many must be one of a swap.
-    met = met.where("edits <= allowed or apart <= 2 * (2 * allowed - edits)")
-    met = met.groupBy("scope", "name", "double", "key", "a", "b").agg(F.max(F.col("edits") > F.col("allowed")).alias("over"))
+    # A swap is two plain edits and leaves the letters as they are, so each edit over ``allowed`` must be one of a swap. One condition, so the
+    # distance is taken once a pair, and only where the letters are near enough.
+    most = F.greatest(allowed, 2 * allowed - F.ceil(apart / 2))
+    close = F.when(apart <= 2 * allowed, F.levenshtein("a", "b") <= most).otherwise(False)
+    met = asked.join(index, "k").where("of = scope and (double or key_n > n or key_n = n and key > name)").where(close)
+    met = met.select("scope", "name", "double", "key", "a", "b").distinct().withColumn("over", F.levenshtein("a", "b") > allowed)
     near = met.mapInArrow(_same_form, "scope string, name string, double boolean, key string")
     return near.unionByName(names.where("not double").select("scope", "name", "double", F.col("name").alias("key"))).distinct()
 
@@ -313,7 +314,8 @@ def met_pairs(keyed: DataFrame, hot: DataFrame) -> DataFrame:
     dated = F.array(F.struct(F.xxhash64("k", "adm").alias("k"), F.lit(0).alias("role")), F.struct(F.xxhash64("k", F.lit("*")).alias("k"), F.lit(1).alias("role")))
     undated = F.array(F.struct(F.xxhash64("k", F.lit("*")).alias("k"), F.lit(2).alias("role")))
     cold = F.array(F.struct(F.col("k"), F.lit(0).alias("role")))
-    spread = keyed.join(hot, "k", "left").select("rep", "adm", "lic", F.explode(F.when(F.col("hot").isNull(), cold).when(F.col("adm").isNull(), undated).otherwise(dated)).alias("e")).select("rep", "adm", "lic", "e.k", "e.role")
+    # Without hot keys both sides of the join are one exchange.
+    spread = keyed.withColumn("role", F.lit(0)) if hot.isEmpty() else keyed.join(hot, "k", "left").select("rep", "adm", "lic", F.explode(F.when(F.col("hot").isNull(), cold).when(F.col("adm").isNull(), undated).otherwise(dated)).alias("e")).select("rep", "adm", "lic", "e.k", "e.role")
     agree = "(x.adm is null or y.adm is null or x.adm = y.adm) and (x.lic is null or y.lic is null)"
     once = "(x.role = y.role and x.role <> 1 and x.rep < y.rep or x.role = 1 and y.role = 2)"
     met = spread.alias("x").join(spread.alias("y"), F.expr(f"x.k = y.k and {once} and {agree}"))
@@ -330,7 +332,7 @@ def resolve_representatives(one: DataFrame, spelt: DataFrame) -> DataFrame:
     same one. ``spelt``: ``by_spelling`` of them with rep, adm, ``licensed`` and ``together`` (``TOGETHER``)."""
     keyed = under_evidence(spelt.withColumn("lic", F.when(F.col("licensed"), 1)), "together", "rep", "adm", "lic")
     side = lambda s: one.select(F.col("rep").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in COMPARED])
-    pairs = met_pairs(keyed, hot_keys(one)).join(side("a"), "a").join(side("b"), "b").where("a_state = b_state or a_state = '' or b_state = ''")
+    pairs = met_pairs(keyed, cut_lineage(hot_keys(one))).join(side("a"), "a").join(side("b"), "b").where("a_state = b_state or a_state = '' or b_state = ''")
     linked = pairs.select("a", "b", *[f"a_{c}" for c in COMPARED], *[f"b_{c}" for c in COMPARED]).mapInArrow(_verify, "a long, b long")
     first = one.where("lic is not null").groupBy("lic").agg(F.min("rep").alias("a"))
     by_licence = one.select("lic", F.col("rep").alias("b")).join(first, "lic").where("a <> b").select("a", "b")
