@@ -16,12 +16,25 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates.residue_values(table(prepare(spark), sf_dir, "lawyer_enrichment")).select("id", "column_name")
 
 
+def p1_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Templates, wordings and values by verdict."""
+    return templates.template_report(table(prepare(spark), sf_dir, "lawyer_enrichment"))
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     rows = cut_lineage(people.persons(table(spark, sf_dir, "lawyer_enrichment"), table(spark, sf_dir, "parsed_name")))
     return people.linked_pairs(rows, people.resolve(rows))
 
 
+def p2_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, lawyer, rows): the class of every profile and how many rows it has; copies are not expanded into pairs."""
+    prepare(spark)
+    rows = cut_lineage(people.persons(table(spark, sf_dir, "lawyer_enrichment"), table(spark, sf_dir, "parsed_name")))
+    classes = cut_lineage(people.resolve(rows))
+    return classes.join(classes.groupBy("lawyer").agg(F.count("*").alias("rows")), "lawyer").select("id", "lawyer", "rows")
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return golden.best_rows(table(prepare(spark), sf_dir, "lawyer_enrichment")).select("group_id", "column_name", "from_id")
 
@@ -126,7 +139,9 @@ def p10_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_found": p1_found,
+        "p1_templates": p1_templates,
         "p2_found": p2_found,
+        "p2_classes": p2_classes,
         "p3_found": p3_found,
         "p3_truth": p3_truth,
         "p4_found": p4_found,

@@ -1,9 +1,10 @@
 """Template residue and error-page text in text values.
 
 A value is cut into messages (sentences; a link is one message). A prefix tree of fixed depth, with the number of words at
-its root and the first words below, groups the messages; within a leaf, positions that take many different words become
-wildcards. That leaves few templates; each is classified once and the verdict goes back to every value with such a message.
-Unresolved slots are looked for in all values, ordinary ones too.
+its root and the first words below, groups the messages. A leaf has one template: at each position the word that at least half of its
+messages have, and a wildcard where none has. Messages that follow it, up to typing errors in its words, are written as the template;
+each template is classified once and the verdict goes back to every value with such a message. Unresolved slots are looked for in all
+values, ordinary ones too.
 """
 
 from __future__ import annotations
@@ -13,15 +14,13 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dossier.session import cut_lineage
 
-#: Words of a message that are levels of the tree; words from which on a position is a wildcard, unless one word has half of all.
-DEPTH, MANY_WORDS = 3, 40
-#: Different last names from which on one link without a variable part is nobody's portrait.
-SHARED_BY = 10
+#: Words of a message that are levels of the tree; share of a leaf's messages that makes a word part of its template.
+DEPTH, SHARE = 3, 0.5
 
 # --- slots ---------------------------------------------------------------------------------------------------------
 _SLOT_WORD = r"(?:full|first|last|middle|given|family|your|insert|enter|attorney|lawyer|client|user|person|profile|firm|company|practice|law|school|college|city|town|state|zip|years?|date|age|bio|biography|about|description|text|content|photo|image|picture|portrait|avatar|slug|id|uuid|name|title|phone|email|address|url|link|placeholder|tbd|todo|number|here|area)"
@@ -169,9 +168,7 @@ def _messages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     leaf = hash_path(len(words), words[:DEPTH])
                     rows.append((r.id, "bio", i, leaf, " ".join(words), slot))
             if r.photo_url is not None and r.photo_url.strip():
-                link = r.photo_url.strip()
-                mine = any(len(w) > 3 and w in link.lower() for w in own)
-                rows.append((r.id, "photo_url", 0, 1 if mine else 0, re.sub(r"\d+", "0", link) if mine else link, False))
+                rows.append((r.id, "photo_url", 0, 0, re.sub(r"\d+", "0", r.photo_url.strip()), False))
         yield pd.DataFrame(rows, columns=[c.split()[0] for c in MESSAGE.split(", ")])
 
 
@@ -184,26 +181,57 @@ def hash_path(n: int, words: list[str]) -> int:
 
 def _verdicts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        kinds = [classify_message(t) if c == "bio" else classify_link(t) or ("residue" if n >= SHARED_BY and leaf == 0 else "") for c, t, n, leaf in zip(batch.column_name, batch.template, batch.names, batch.leaf)]
-        yield pd.DataFrame({"column_name": batch.column_name, "template": batch.template, "leaf": batch.leaf, "verdict": kinds})
+        kinds = [classify_message(t) if c == "bio" else classify_link(t) for c, t in zip(batch.column_name, batch.text)]
+        yield pd.DataFrame({"column_name": batch.column_name, "text": batch.text, "verdict": kinds})
+
+
+def _follows(word: Column, of_template: Column) -> Column:
+    """The template's word, any word at a wildcard, or the word with a typing error (two in long words)."""
+    edits = F.when(F.length(of_template) < 5, 0).when(F.length(of_template) < 9, 1).otherwise(2)
+    typed = ~of_template.startswith("<") & ~word.startswith("<") & (F.levenshtein(word, of_template) <= edits)
+    return (word == of_template) | (of_template == "<*>") | typed
 
 
 def mine_templates(masked: DataFrame) -> DataFrame:
     """(column_name, leaf, masked, template) of distinct masked messages ``masked(column_name, leaf, masked, n)``.
 
-    A position of a leaf is a wildcard when it takes ``MANY_WORDS`` words or more and none makes up half of the leaf.
-    Words of a leaf are counted per (leaf, position), never gathered. Words of the cue list stay.
+    Words of a leaf are counted per (leaf, position), never gathered; a template is as long as its messages. Where a template has a wildcard,
+    cue words stay and others become <x>. A message that does not follow its leaf's template is its own; so is a link.
     """
     bio = masked.where("column_name = 'bio'")
-    words = bio.select("leaf", "masked", "n", F.posexplode(F.split("masked", " ")).alias("pos", "word"))
+    words = bio.select("leaf", "n", F.posexplode(F.split("masked", " ")).alias("pos", "word"))
     counted = words.groupBy("leaf", "pos", "word").agg(F.sum("n").alias("n"))
-    wild = counted.groupBy("leaf", "pos").agg(F.count("*").alias("words"), F.max("n").alias("most"), F.sum("n").alias("all")).where(f"words >= {MANY_WORDS} and most * 2 < all").select("leaf", "pos")
-    per_leaf = wild.groupBy("leaf").agg(F.collect_set("pos").alias("wild"))  # at most one entry a position
+    common = counted.groupBy("leaf", "pos").agg(F.max_by("word", F.struct("n", "word")).alias("word"), F.max("n").alias("most"), F.sum("n").alias("all"))
+    shown = F.when(F.col("most") >= SHARE * F.col("all"), F.col("word")).otherwise("<*>")
+    of_leaf = common.groupBy("leaf").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", shown.alias("word")))), lambda x: x["word"]).alias("of_leaf"))
     keep = F.array(*[F.lit(w) for w in sorted(_CUE_WORDS)])
-    shown = F.transform(F.split("masked", " "), lambda w, i: F.when(F.array_contains(F.col("wild"), i) & ~F.array_contains(keep, w), F.lit("<x>")).otherwise(w))
-    joined = bio.join(per_leaf, "leaf", "left")
-    mined = joined.withColumn("template", F.when(F.col("wild").isNull(), F.col("masked")).otherwise(F.array_join(shown, " ")))
-    return mined.select("column_name", "leaf", "masked", "template").unionByName(masked.where("column_name = 'photo_url'").select("column_name", "leaf", "masked", F.col("masked").alias("template")))
+    both = F.arrays_zip(F.split("masked", " ").alias("word"), F.col("of_leaf").alias("t"))
+    follows = F.forall(both, lambda x: _follows(x["word"], x["t"]))
+    written = F.array_join(F.transform(both, lambda x: F.when(x["t"] != "<*>", x["t"]).when(F.array_contains(keep, x["word"]), x["word"]).otherwise("<x>")), " ")
+    mined = bio.join(of_leaf, "leaf").select("column_name", "leaf", "masked", F.when(follows, written).otherwise(F.col("masked")).alias("template"))
+    return mined.unionByName(masked.where("column_name = 'photo_url'").select("column_name", "leaf", "masked", F.col("masked").alias("template")))
+
+
+#: Verdicts that are none.
+CLEAN = ["prose", "short", ""]
+
+
+def judged_messages(profiles: DataFrame) -> DataFrame:
+    """(id, column_name, slot, masked, template, by_template, verdict): every message of every bio and photo_url.
+
+    The verdict is that of the template, if that is residue, else that of the message itself, whose words the template may have left out.
+    """
+    rows = profiles.where("id is not null and (bio is not null or photo_url is not null)").select("id", "bio", "photo_url", "full_name", "first_name", "last_name", "firm_name", "city")
+    messages = cut_lineage(rows.mapInPandas(_messages, MESSAGE))
+    distinct = cut_lineage(messages.groupBy("column_name", "leaf", "masked").agg(F.count("*").alias("n")))
+    mined = cut_lineage(mine_templates(distinct))
+    texts = mined.select("column_name", F.explode(F.array_distinct(F.array("template", "masked"))).alias("text")).distinct()
+    verdicts = cut_lineage(texts.mapInPandas(_verdicts, "column_name string, text string, verdict string"))
+    named = lambda text, verdict: verdicts.select("column_name", F.col("text").alias(text), F.col("verdict").alias(verdict))
+    told = mined.join(named("template", "v1"), ["column_name", "template"]).join(named("masked", "v2"), ["column_name", "masked"])
+    by_template = ~F.col("v1").isin(CLEAN)
+    told = told.select("column_name", "leaf", "masked", "template", (by_template & F.col("v2").isin(CLEAN)).alias("by_template"), F.when(by_template, F.col("v1")).otherwise(F.col("v2")).alias("verdict"))
+    return messages.join(told, ["column_name", "leaf", "masked"]).select("id", "column_name", "slot", "masked", "template", "by_template", "verdict")
 
 
 def residue_values(profiles: DataFrame) -> DataFrame:
@@ -212,16 +240,15 @@ def residue_values(profiles: DataFrame) -> DataFrame:
     Null and blank values are no cases. reason is "slot", "error", "script", "filler", "residue" (links) or "short": no
     message of the value is a sentence.
     """
-    messages = cut_lineage(profiles.where("id is not null and (bio is not null or photo_url is not null)").select("id", "bio", "photo_url", "full_name", "first_name", "last_name", "firm_name", "city").mapInPandas(_messages, MESSAGE))
-    names = profiles.select("id", F.lower("last_name").alias("last"))
-    sole = messages.where("column_name = 'photo_url' and leaf = 0").join(names, "id").groupBy("column_name", "masked").agg(F.count_distinct("last").alias("names"))
-    distinct = cut_lineage(messages.groupBy("column_name", "leaf", "masked").agg(F.count("*").alias("n")).join(sole, ["column_name", "masked"], "left").withColumn("names", F.coalesce("names", F.lit(0))))
-    mined = mine_templates(distinct).join(distinct.select("column_name", "leaf", "masked", "names"), ["column_name", "leaf", "masked"])
-    mined = cut_lineage(mined)
-    verdicts = mined.groupBy("column_name", "leaf", "template").agg(F.max("names").alias("names")).mapInPandas(_verdicts, "column_name string, template string, leaf long, verdict string")
-    by_message = mined.join(verdicts, ["column_name", "leaf", "template"]).select("column_name", "leaf", "masked", "verdict")
-    judged = messages.join(by_message, ["column_name", "leaf", "masked"])
-    bad = F.when(~F.col("verdict").isin("prose", "short", ""), F.col("verdict"))
-    values = judged.groupBy("id", "column_name").agg(F.max("slot").alias("slot"), F.max(bad).alias("bad"), F.max(F.col("verdict").isin("prose", "")).alias("prose"))
+    bad = F.when(~F.col("verdict").isin(CLEAN), F.col("verdict"))
+    values = judged_messages(profiles).groupBy("id", "column_name").agg(F.max("slot").alias("slot"), F.max(bad).alias("bad"), F.max(F.col("verdict").isin("prose", "")).alias("prose"))
     reason = F.when(F.col("slot"), "slot").when(F.col("bad").isNotNull(), F.col("bad")).when(~F.col("prose"), "short")
     return values.select("id", "column_name", reason.alias("reason")).where("reason is not null")
+
+
+def template_report(profiles: DataFrame) -> DataFrame:
+    """(column_name, verdict, templates, messages, rows, rows_by_template): how many templates and wordings have each verdict, the values with
+    such a message, and those of them that only the template, and not the wording of their own, gives away."""
+    per = judged_messages(profiles).groupBy("column_name", "verdict")
+    by_template = F.count_distinct(F.when(F.col("by_template"), F.col("id"))).alias("rows_by_template")
+    return per.agg(F.count_distinct("template").alias("templates"), F.count_distinct("masked").alias("messages"), F.count_distinct("id").alias("rows"), by_template)

@@ -42,6 +42,16 @@ def test_residue_in_bios(spark, bio, bad):
     assert bool(got.count()) is bad
 
 
+def test_templates_give_away_mistyped_messages(spark):
+    ok = {"full_name": "Ann Hugo", "bio": "Ann has worked with families and small firms here since 1990."}
+    rows = [{"id": i, "full_name": "Ann Hugo", "bio": "This profile was remoced by its owner."} if i == 9 else {"id": i, "full_name": "Ann Hugo", "bio": "This profile was removed by its owner."} for i in range(6, 10)]
+    frame = profiles(spark, {"id": 1} | ok, {"id": 2} | ok, *rows)
+    assert found(templates.residue_values(frame), "id", "reason") == [(i, "error") for i in range(6, 10)]
+    assert [r.rows_by_template for r in templates.template_report(frame).where("verdict = 'error'").collect()] == [1]
+    alone = profiles(spark, {"id": 1} | ok, rows[3])
+    assert found(templates.residue_values(alone), "id") == []
+
+
 @pytest.mark.parametrize(
     "link, bad",
     [
