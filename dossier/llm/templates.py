@@ -168,7 +168,7 @@ def _messages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     leaf = hash_path(len(words), words[:DEPTH])
                     rows.append((r.id, "bio", i, leaf, " ".join(words), slot))
             if r.photo_url is not None and r.photo_url.strip():
-                rows.append((r.id, "photo_url", 0, 0, re.sub(r"\d+", "0", r.photo_url.strip()), False))
+                rows.append((r.id, "photo_url", 0, 0, re.sub(r"(%[0-9A-Fa-f]{2})|\d+", lambda m: m.group(1) or "0", r.photo_url.strip()), False))
         yield pd.DataFrame(rows, columns=[c.split()[0] for c in MESSAGE.split(", ")])
 
 

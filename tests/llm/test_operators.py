@@ -48,6 +48,8 @@ def test_templates_give_away_mistyped_messages(spark):
     frame = profiles(spark, {"id": 1} | ok, {"id": 2} | ok, *rows)
     assert found(templates.residue_values(frame), "id", "reason") == [(i, "error") for i in range(6, 10)]
     assert [r.rows_by_template for r in templates.template_report(frame).where("verdict = 'error'").collect()] == [1]
+    links = profiles(spark, {"id": 1, "photo_url": "https://a.example/heads/%7B%7Bslug%7D%7D.jpg"}, {"id": 2, "photo_url": "https://a.example/heads/ann%20doe-404.jpg"})
+    assert found(templates.residue_values(links), "id", "reason") == [(1, "residue")]
     alone = profiles(spark, {"id": 1} | ok, rows[3])
     assert found(templates.residue_values(alone), "id") == []
 
