@@ -2,7 +2,8 @@
 
 Street names are bags of character bigrams weighted by inverse document frequency. Candidates come from an inverted
 index on (house number, bigram) over each bag's prefix of rarest bigrams, as long as a bag can still reach the cosine without
-them; pairs are verified by cosine, house number, street type, side and town.
+them; pairs are verified by cosine, house number, street type, side and town. A typing error changes so many bigrams of a short
+street that it falls short of the cosine, so streets of one house number also meet by the segment join of spellings.
 """
 
 from __future__ import annotations
@@ -15,11 +16,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dossier.llm.addresses import Place, join_parts, parse_place, same_town
-from dossier.llm.names import within
-from dossier.session import cut_lineage
+from dossier.llm.people import spelling_keys
+from dossier.session import cut_lineage, drop_cut
 
-#: Least cosine of two street names, and that from which no edit distance is asked for.
-COSINE, SURE = 0.15, 0.7
+#: Least cosine of two street names that are no spellings of each other.
+COSINE = 0.7
 
 PARSED = "rec string, number string, street string, kind string, side string, town string, state string, zip string"
 
@@ -55,7 +56,7 @@ SIDE = ["number", "street", "kind", "side", "town", "state", "zip"]
 
 
 def compatible(a: Place, b: Place) -> bool:
-    """House number, street type, side and town of two records can be one place (cosines are compared before)."""
+    """House number, street type, side and town of two records can be one place (streets are compared before)."""
     if a.number != b.number or (a.kind and b.kind and a.kind != b.kind) or (a.side and b.side and a.side != b.side):
         return False
     return same_town(a, b)
@@ -65,22 +66,14 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     n = len(SIDE)
     for batch in batches:
         columns = [c.to_pylist() for c in batch.columns[2:]]
-        keep = []
-        for sure, a, b in zip(columns[0], map(Place._make, zip(*columns[1 : 1 + n])), map(Place._make, zip(*columns[1 + n :]))):
-            keep.append(compatible(a, b) and (sure or within(a.street, b.street, 1 if min(len(a.street), len(b.street)) < 6 else 2)))
+        keep = [compatible(a, b) for a, b in zip(map(Place._make, zip(*columns[:n])), map(Place._make, zip(*columns[n:])))]
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def same_places(records: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(pairs (a, b) of distinct addresses at one place, members (rec, place)); a < b.
-
-    Records written alike after parsing are one distinct address, so copies never meet pairwise.
-    """
-    records = cut_lineage(records.withColumn("place", F.xxhash64(*SIDE)))
-    one = cut_lineage(records.groupBy("place").agg(*[F.first(c).alias(c) for c in SIDE]))
-    # The alphabet bounds the number of bigrams (at most 38 * 38), so their counts may be broadcast.
-    streets = one.where("street <> ''")
+def alike_streets(streets: DataFrame) -> DataFrame:
+    """(a, b), a < b: distinct addresses of one house number whose streets reach ``COSINE``."""
     grams = streets.select("place", "number", F.explode(bigrams("street")).alias("gram"))
+    # The alphabet bounds the number of bigrams (at most 38 * 38), so their counts may be broadcast.
     counts = grams.groupBy("gram").agg(F.count("*").alias("df"))
     total = F.lit(streets.count())
     weighted = grams.join(F.broadcast(counts), "gram").withColumn("w2", F.pow(F.log(1 + total / F.col("df")), 2))
@@ -90,22 +83,49 @@ def same_places(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     # What is behind the prefix weighs less than COSINE of the whole, so a bag that shares no prefix gram stays below it.
     prefix = weighted.where(F.col("behind") >= F.lit(COSINE**2) * F.col("norm2")).select("place", "number", "gram")
     x, y = prefix.alias("x"), prefix.alias("y")
-    met = x.join(y, F.expr("x.number = y.number and x.gram = y.gram and x.place < y.place")).select(F.col("x.place").alias("a"), F.col("y.place").alias("b"), F.col("x.number").alias("number")).distinct()
+    met = x.join(y, F.expr("x.number = y.number and x.gram = y.gram and x.place < y.place")).select(F.col("x.place").alias("a"), F.col("y.place").alias("b")).distinct()
     bags = weighted.groupBy("place").agg(F.collect_list(F.struct("gram", "w2")).alias("bag"), F.first("norm2").alias("norm2"))
-    side = lambda s: one.select(F.col("place").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in SIDE]).join(bags.select(F.col("place").alias(s), F.col("bag").alias(f"{s}_bag"), F.col("norm2").alias(f"{s}_norm2")), s)
-    both = met.select("a", "b").join(side("a"), "a").join(side("b"), "b")
+    side = lambda s: bags.select(F.col("place").alias(s), F.col("bag").alias(f"{s}_bag"), F.col("norm2").alias(f"{s}_norm2"))
     dot = F.aggregate(F.array_intersect("a_bag", "b_bag"), F.lit(0.0), lambda s, g: s + g["w2"])
-    near = both.withColumn("cosine", dot / F.sqrt(F.col("a_norm2") * F.col("b_norm2"))).where(F.col("cosine") >= COSINE)
-    wide = lambda df, sure: df.select("a", "b", sure.alias("sure"), *[f"a_{c}" for c in SIDE], *[f"b_{c}" for c in SIDE])
-    plain = lambda s: one.where("street = ''").select(F.col("place").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in SIDE])
-    boxes = plain("a").join(plain("b"), F.expr("a_number = b_number and a < b"))
-    return wide(near, F.col("cosine") >= SURE).unionByName(wide(boxes, F.lit(True))).mapInArrow(_verify, "a long, b long"), records.select("rec", "place")
+    return met.join(side("a"), "a").join(side("b"), "b").where(dot >= COSINE * F.sqrt(F.col("a_norm2") * F.col("b_norm2"))).select("a", "b")
+
+
+def spelt_streets(streets: DataFrame) -> DataFrame:
+    """(a, b), a < b: distinct addresses of one house number whose streets are spellings of each other, one or two edits apart."""
+    names = streets.groupBy(F.col("number").alias("scope"), F.col("street").alias("name")).agg(F.count("*").alias("n")).withColumn("double", F.lit(False))
+    near = spelling_keys(names).where("name <> key").select(F.col("scope").alias("number"), "name", "key")
+    side = lambda street, s: streets.select("number", F.col("street").alias(street), F.col("place").alias(s))
+    met = near.join(side("name", "x"), ["number", "name"]).join(side("key", "y"), ["number", "key"])
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+
+
+def same_boxes(boxes: DataFrame) -> DataFrame:
+    """(a, b), a < b: distinct boxes of one number and state; a box without a state meets those of its number in all states."""
+    x, y = boxes.alias("x"), boxes.alias("y")
+    ends = lambda met: met.select(F.least("x.place", "y.place").alias("a"), F.greatest("x.place", "y.place").alias("b"))
+    in_state = ends(x.join(y, F.expr("x.number = y.number and x.state = y.state and x.place < y.place")))
+    return in_state.unionByName(ends(boxes.where("state = ''").alias("x").join(boxes.where("state <> ''").alias("y"), F.expr("x.number = y.number"))))
+
+
+def same_places(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(pairs (a, b) of distinct addresses at one place, members (rec, place)); a < b.
+
+    Records written alike after parsing are one distinct address, named by its first record, so copies never meet pairwise.
+    """
+    records = cut_lineage(records)
+    firsts = cut_lineage(records.groupBy(*SIDE).agg(F.min("rec").alias("place")))
+    streets, boxes = firsts.where("street <> ''"), firsts.where("street = ''")
+    met = cut_lineage(alike_streets(streets).unionByName(spelt_streets(streets)).unionByName(same_boxes(boxes)).distinct())
+    side = lambda s: firsts.select(F.col("place").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in SIDE])
+    pairs = cut_lineage(met.join(side("a"), "a").join(side("b"), "b").select("a", "b", *[f"a_{c}" for c in SIDE], *[f"b_{c}" for c in SIDE]).mapInArrow(_verify, "a string, b string"))
+    members = cut_lineage(records.join(firsts, SIDE).select("rec", "place"))
+    drop_cut(met, records, firsts)
+    return pairs, members
 
 
 def address_pairs(places: DataFrame, profiles: DataFrame, candidates: DataFrame) -> DataFrame:
-    """(rec_a, rec_b), rec_a < rec_b in byte order: every pair of records at one street address or box."""
+    """(rec_a, rec_b), rec_a < rec_b in byte order: every pair of records at one street address or box, as many as there are."""
     pairs, members = same_places(address_records(places, profiles, candidates))
-    pairs = cut_lineage(pairs)
     a = members.select(F.col("rec").alias("ra"), F.col("place").alias("a"))
     b = members.select(F.col("rec").alias("rb"), F.col("place").alias("b"))
     other = pairs.join(a, "a").join(b, "b").select("ra", "rb")

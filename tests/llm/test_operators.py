@@ -257,6 +257,40 @@ def test_addresses(spark, a, b, same):
     assert got == ([("place:1", "place:2")] if same else [])
 
 
+def test_addresses_equal_brute_force(spark):
+    import math
+
+    rng = random.Random(9)
+    streets = ["homveld", "serostein", "main", "elm", "oakridge", "saintanselm"]
+    texts = set()
+    for _ in range(160):
+        w = rng.choice(streets)
+        for _ in range(rng.randrange(3)):
+            i = rng.randrange(len(w) - 1)
+            w = rng.choice([w[:i] + w[i + 1] + w[i] + w[i + 2 :], w[:i] + "x" + w[i:], w[: i + 1] + w[i + 2 :] + "q"])
+        texts.add(rng.choice([f"{rng.choice([7, 12])} {w} {rng.choice(['st', 'road'])}, Any Town, {rng.choice(['CA', 'NY'])}", f"PO Box {rng.randrange(3)}, Any Town{rng.choice([', CA', ', NY', ''])}"]))
+    texts = sorted(texts)
+    parsed = [parse_place(t) for t in texts]
+    one = {p for p in parsed if p.street}
+    grams = {p: {f"^{p.street}$"[i : i + 2] for i in range(len(p.street) + 1)} for p in one}
+    df = {g: sum(g in s for s in grams.values()) for s in grams.values() for g in s}
+    w2 = {g: math.log(1 + len(one) / n) ** 2 for g, n in df.items()}
+    norm = lambda p: sum(w2[g] for g in grams[p])
+
+    def same(a, b):
+        if not places.compatible(a, b):
+            return False
+        if not a.street or not b.street:
+            return not a.street and not b.street
+        near = within(a.street, b.street, (lambda m: 0 if m < 3 else 1 if m < 6 else 2)(min(len(a.street), len(b.street))))
+        return near or sum(w2[g] for g in grams[a] & grams[b]) >= places.COSINE * math.sqrt(norm(a) * norm(b)) - 1e-12
+
+    want = sorted((f"place:{i}", f"place:{j}") for i in range(len(texts)) for j in range(len(texts)) if f"place:{i}" < f"place:{j}" and same(parsed[i], parsed[j]))
+    frame = spark.createDataFrame(list(enumerate(texts)), "scrape_id long, formatted_address string")
+    none = spark.createDataFrame([], "id long, merged_data string, candidate_id long, location string")
+    assert found(places.address_pairs(frame, none, none), "rec_a", "rec_b") == want and len(want) > 20
+
+
 def test_parse_place_of_odd_texts():
     assert parse_place("x" * 10_000).number == "" and parse_place(", , ,").number == "" and parse_place("CA").state == "CA"
 
