@@ -71,15 +71,16 @@ def place_keys(spark, d):
     return table(spark, d, "google_discovery").select("discovery_id", values.place_fingerprint(F.col("name"), F.col("city"), F.col("state")).alias("fingerprint"))
 
 
-@query(
-    f"SELECT id, {_TITLE('upper(full_name)')} AS name, array_to_string(list_transform(string_split({_sq('upper(city)')}, ' '), lambda w: {_CAP('w')}), ' ') AS city,"
-    f" array_to_string(list_transform(string_split({_sq('upper(firm_name)')}, ' '), lambda w: CASE WHEN upper(regexp_replace(w, '[,.]+$', '')) IN ({_UPPER}) THEN upper(regexp_replace(w, '[,.]+$', '')) ELSE {_CAP(chr(114) + 'egexp_replace(w, ' + chr(39) + '[,.]+$' + chr(39) + ', ' + chr(39) * 2 + ')')} END || regexp_extract(w, '([,.]*)$', 1)), ' ') AS firm"
-    " FROM lawyer_enrichment WHERE trim(full_name) <> '' AND trim(city) <> '' AND trim(firm_name) <> ''"
-)
+_OR_BLANK = lambda x, made: f"CASE WHEN {x} IS NULL OR {_sq(x)} = '' THEN {x} ELSE {made} END"
+_CITY = lambda x: _OR_BLANK(x, f"array_to_string(list_transform(string_split({_sq(x)}, ' '), lambda w: {_CAP('w')}), ' ')")
+_STEM = "regexp_replace(w, '[,.]+$', '')"
+_FIRM_TITLE = lambda x: _OR_BLANK(x, f"array_to_string(list_transform(string_split({_sq(x)}, ' '), lambda w: CASE WHEN upper({_STEM}) IN ({_UPPER}) THEN upper({_STEM}) ELSE {_CAP(_STEM)} END || regexp_extract(w, '([,.]*)$', 1)), ' ')")
+
+
+@query(f"SELECT id, {_TITLE('upper(full_name)')} AS name, {_CITY('upper(city)')} AS city, {_FIRM_TITLE('upper(firm_name)')} AS firm FROM lawyer_enrichment")
 def title_cases(spark, d):
-    rows = table(spark, d, "lawyer_enrichment").where("trim(full_name) <> '' and trim(city) <> '' and trim(firm_name) <> ''")
     up = lambda c: F.upper(F.col(c))
-    return rows.select("id", text.title_name(up("full_name")).alias("name"), text.title_city(up("city")).alias("city"), text.title_firm(up("firm_name")).alias("firm"))
+    return table(spark, d, "lawyer_enrichment").select("id", text.title_name(up("full_name")).alias("name"), text.title_city(up("city")).alias("city"), text.title_firm(up("firm_name")).alias("firm"))
 
 
 _PARSE = rf"""
@@ -186,9 +187,9 @@ def dedupe_best_score(spark, d):
     return dedupe.dedupe_by_licence(table(spark, d, "lawyer_enrichment").select("id", "bar_number", "license_state", "completeness_score")).select("id")
 
 
-@query("SELECT bar_number, license_state, id FROM (SELECT *, row_number() OVER (PARTITION BY bar_number, license_state ORDER BY enrichment_level DESC NULLS LAST, completeness_score DESC NULLS LAST, updated_at DESC NULLS LAST, id) AS rn FROM lawyer_enrichment WHERE bar_number IS NOT NULL AND license_state IS NOT NULL) WHERE rn = 1")
+@query("SELECT bar_number, license_state, id FROM (SELECT *, row_number() OVER (PARTITION BY bar_number, license_state ORDER BY enrichment_level DESC NULLS LAST, completeness_score DESC NULLS LAST, updated_at DESC NULLS LAST, id) AS rn FROM lawyer_enrichment WHERE bar_number IS NOT NULL AND license_state IS NOT NULL) WHERE rn = 1 UNION ALL SELECT bar_number, license_state, id FROM lawyer_enrichment WHERE bar_number IS NULL OR license_state IS NULL")
 def best_profile_per_licence(spark, d):
-    rows = table(spark, d, "lawyer_enrichment").select("id", "bar_number", "license_state", "enrichment_level", "completeness_score", "updated_at").where("bar_number is not null and license_state is not null")
+    rows = table(spark, d, "lawyer_enrichment").select("id", "bar_number", "license_state", "enrichment_level", "completeness_score", "updated_at")
     order = F.struct("enrichment_level", "completeness_score", "updated_at", -F.col("id"))
     return dedupe.best_per_key(rows, ["bar_number", "license_state"], order).select("bar_number", "license_state", "id")
 
@@ -259,11 +260,13 @@ _JSON = ["phone", "email", "website_url", "law_school"]
 _INNER = "phone string, email string, website_url string, law_school string, practice_areas array<string>, address struct<line1:string, city:string, state:string, zip:string>"
 _DOC = f"""s AS (SELECT id, {', '.join(_FIELDS)}, {', '.join(f"json_extract_string(m, '$.{f}') AS {f}" for f in _JSON)}, coalesce(json_array_length(m, '$.practice_areas'), 0) AS areas,
  coalesce(json_extract_string(m, '$.address.line1'), '') AS line1, coalesce(json_extract_string(m, '$.address.city'), '') AS acity, coalesce(json_extract_string(m, '$.address.zip'), '') AS zip
- FROM (SELECT *, json(merged_data) AS m FROM lawyer_enrichment WHERE json_valid(merged_data)))"""
+ FROM (SELECT *, CASE WHEN json_valid(merged_data) THEN json(merged_data) END AS m FROM lawyer_enrichment))"""
 
 
 def _scored(spark, d) -> tuple[DataFrame, dict]:
-    rows = table(spark, d, "lawyer_enrichment").where(F.expr("try_parse_json(merged_data) is not null")).select("id", *_FIELDS, F.from_json("merged_data", _INNER).alias("m"))
+    # A null or broken document counts as an empty one.
+    document = F.when(F.try_parse_json("merged_data").isNotNull(), F.col("merged_data"))
+    rows = table(spark, d, "lawyer_enrichment").select("id", *_FIELDS, F.from_json(document, _INNER).alias("m"))
     return rows, {f: F.col(f) for f in _FIELDS} | {f: F.col(f"m.{f}") for f in _JSON}
 
 
@@ -412,11 +415,14 @@ def profile_numbers(spark, d):
     return table(spark, d, "discovery_candidate").select("candidate_id", extract.profile_number(F.col("url")).alias("profile_number"))
 
 
-@query(r"SELECT source_key, count(DISTINCT nullif(regexp_extract(url, '-(\d+)\.html', 1), '')) AS n FROM discovery_candidate GROUP BY source_key")
+@query("""SELECT candidate_id, CAST(candidate_id % 50 AS varchar) AS number, 'https://p.example/a-' || (candidate_id % 50) || '.html' AS link FROM discovery_candidate
+UNION ALL SELECT candidate_id, CAST(candidate_id AS varchar), 'https://p.example/c-' || candidate_id || '.html' FROM discovery_candidate WHERE candidate_id <> candidate_id % 50""")
 def listing_link_maps(spark, d):
-    pages = table(spark, d, "discovery_candidate").groupBy("source_key", F.to_date("found_at").alias("day")).agg(F.collect_list("url").alias("links"))
-    numbers = pages.select("source_key", F.explode(extract.listing_links(F.col("links"))).alias("number", "link"))
-    return numbers.groupBy("source_key").agg(F.count_distinct("number").alias("n"))
+    """The first link of each number on a page of three links, queries cut."""
+    n = F.col("candidate_id")
+    link = lambda kind, number, rest="": F.concat(F.lit(f"https://p.example/{kind}-"), number.cast("string"), F.lit(f".html{rest}"))
+    listed = F.array(link("a", n % 50, "?x=1"), link("b", n % 50), F.lit("https://p.example/about"), link("c", n, "#top"))
+    return table(spark, d, "discovery_candidate").select("candidate_id", F.explode(extract.listing_links(listed)).alias("number", "link"))
 
 
 @query("SELECT scrape_id, name AS term_name, formatted_phone AS phone, CAST(google_rating AS varchar) AS rating FROM google_places WHERE formatted_phone IS NOT NULL AND google_rating IS NOT NULL")

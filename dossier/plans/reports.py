@@ -109,8 +109,8 @@ REPORTS: dict[str, str] = {
     "revenue_by_region": """
         SELECT r.r_name, n.n_name, count(DISTINCT o.o_orderkey) AS orders, CAST(sum(CAST(o.o_totalprice AS decimal(18,4))) AS double) AS total
         FROM {orders} o JOIN {customer} c ON c.c_custkey = o.o_custkey JOIN {nation} n ON n.n_nationkey = c.c_nationkey JOIN {region} r ON r.r_regionkey = n.n_regionkey GROUP BY r.r_name, n.n_name""",
-    "customers_without_orders": """
-        SELECT c_custkey, c_name FROM {customer} c WHERE NOT EXISTS (SELECT 1 FROM {orders} o WHERE o.o_custkey = c.c_custkey)""",
+    "customers_without_large_orders": """
+        SELECT c_custkey, c_name FROM {customer} c WHERE NOT EXISTS (SELECT 1 FROM {orders} o WHERE o.o_custkey = c.c_custkey AND o.o_totalprice > 200000 AND o.o_orderstatus = 'O')""",
     "status_rollup": """
         SELECT coalesce(o_orderstatus, 'all') AS status, coalesce(o_orderpriority, 'all') AS priority, count(*) AS n FROM {orders} GROUP BY ROLLUP (o_orderstatus, o_orderpriority)""",
     "latest_event_per_user": """

@@ -305,3 +305,23 @@ def test_json_equality_by_kind(spark):
     pairs = [('"A "', '" a"', True), ("1", '"1"', False), ('["a","b","c","d"]', '["A","B","C","D","e"]', True), ('["a"]', '["b"]', False), ('{"a":1,"b":2}', '{"b":2,"a":1}', True), ("1", "1.0", False), (None, '"a"', False)]
     df = spark.createDataFrame(pairs, "a string, b string, same boolean")
     assert all(r[0] == r.same for r in df.select(merge.same_json(F.col("a"), F.col("b")), "same").collect())
+
+
+def test_writers_change_show_and_resume(spark, tmp_path):
+    old = spark.createDataFrame([(1, "a", 1), (2, "b", 2)], "id int, v string, n int")
+    changes = spark.createDataFrame([(2, "c"), (9, "d")], "id int, v string")
+    assert rows(writers.changed_columns(old, changes, "id", ["v"]), "id", "v", "n") == [(1, "a", 1), (2, "c", 2)]
+    with pytest.raises(ValueError):
+        writers.changed_columns(old, changes, "id", ["n"])
+    assert writers.write_or_show(old, str(tmp_path / "w"), dry_run=True).count() == 2 and not (tmp_path / "w").exists()
+    writers.write_or_show(old, str(tmp_path / "w"))
+    writers.write_or_show(old, str(tmp_path / "w"))
+    assert spark.read.parquet(str(tmp_path / "w")).count() == 4
+    folder = str(tmp_path / "c")
+    assert writers.load_checkpoint(spark, folder, "id int, v string, n int") is None
+    writers.save_checkpoint(old, folder, prefix="ab")
+    saved, state = writers.load_checkpoint(spark, folder, "id int, v string, n int")
+    assert rows(saved, "id", "v") == [(1, "a"), (2, "b")] and state == {"prefix": "ab"}
+    writers.clear_checkpoint(spark, folder)
+    assert writers.load_checkpoint(spark, folder, "id int") is None
+    assert writers.usage_lines({"calls": 3, "cost": 0.051}) == ["calls  3", "cost   0.05"]
