@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from dossier.llm.addresses import Place, parse_place, same_town
 from dossier.llm.names import last_names, likely_middle, middle_conflict, written, written_match
-from dossier.llm.people import arrow_schema, by_spelling, evidence, evidence_key, licence_number, resolve_representatives, spellings, street_close, under_evidence, with_copy, with_evidence, with_representatives
+from dossier.llm.people import arrow_schema, by_spelling, evidence, evidence_key, licence_number, resolve_representatives, spellings, street_close, under_evidence, with_copy, with_evidence, with_representatives, written_once
 from dossier.session import cut_lineage, drop_cut
 
 #: (similarity, rule weight) by kind of agreement and name level 1 (initials), 2 (typos), 3 (full).
@@ -246,7 +246,7 @@ def link_rows(people: DataFrame, found: DataFrame) -> DataFrame:
     Empty tables give an empty result; extra columns are ignored. The spellings of names and towns are looked up once, for
     the profiles and the candidates together, and which profiles mean one lawyer is found by the operator for name variants.
     """
-    finds, profiles = candidate_rows(found), with_representatives(people, "id")
+    finds, profiles = candidate_rows(found), with_representatives(written_once(people), "id")
     one, cands = profiles.where("id = rep"), finds.where("candidate_id = rep").drop("candidate_id").withColumnRenamed("rep", "cand")
     known = spellings(one, cands)
     spelt = cut_lineage(by_spelling(with_evidence(one).withColumn("across", F.expr(OF_PROFILE)), known, "rep", "adm", "licensed", "together", "across"))

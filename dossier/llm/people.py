@@ -343,6 +343,11 @@ def with_evidence(one: DataFrame) -> DataFrame:
     return one.withColumns({"licensed": F.col("lic").isNotNull(), "together": F.expr(TOGETHER)})
 
 
+def written_once(people: DataFrame) -> DataFrame:
+    """``people`` as a table, which the steps behind it read many times; a frame that ``cut_lineage`` gave is one already."""
+    return people if getattr(people, "cut_path", None) else cut_lineage(people)
+
+
 def resolve(people: DataFrame, licences: bool = True) -> DataFrame:
     """(id, lawyer) for each of ``persons``: lawyer is the smallest id of the rows that mean the same one.
 
@@ -350,7 +355,7 @@ def resolve(people: DataFrame, licences: bool = True) -> DataFrame:
     """
     if not licences:
         people = with_copy(people.withColumn("lic", F.lit(None).cast("string")), COMPARED)
-    rows = with_representatives(people, "id")
+    rows = with_representatives(written_once(people), "id")
     one = rows.where("id = rep")
     found = resolve_representatives(one, by_spelling(with_evidence(one), spellings(one), "rep", "adm", "licensed", "together"))
     return rows.select("id", "rep").join(found, "rep", "left").select("id", F.coalesce("lawyer", "rep").alias("lawyer"))

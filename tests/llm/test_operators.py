@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from dossier.llm import canonical, golden, graph, linkage, mixing, packing, people, places, subjects, templates, tokens, topn
 from dossier.llm.addresses import parse_place
 from dossier.llm.names import last_match, name_match, readings, within
+from dossier.session import cut_lineage
 
 PROFILE = (
     "id long, full_name string, first_name string, last_name string, bar_number string, license_state string, firm_name string, city string, state string, admission_date date,"
@@ -113,7 +114,7 @@ def test_spelling_keys_find_what_brute_force_finds(spark, scope):
 
 def test_swapped_short_last_names_meet(spark):
     rows = profiles(spark, {"id": 1, "full_name": "Robert Ralro", "city": "Any Town", "state": "CA"}, {"id": 2, "full_name": "Robert Rlaro", "city": "Any Town", "state": "CA"})
-    who = people.persons(rows, spark.createDataFrame([], PARSED))
+    who = cut_lineage(people.persons(rows, spark.createDataFrame([], PARSED)))
     assert found(people.linked_pairs(who, people.resolve(who)), "id_a", "id_b") == [(1, 2)]
 
 
@@ -121,7 +122,7 @@ def test_swapped_short_last_names_meet(spark):
 def test_short_last_names_and_given_names_as_last_names_meet(spark, a, b):
     doc = '{"phone": "212 555 0100", "address": {"line1": "12 Main St", "city": "Any Town", "state": "CA"}}'
     rows = profiles(spark, {"id": 1, "full_name": a, "merged_data": doc}, {"id": 2, "full_name": b, "merged_data": doc}, {"id": 3, "full_name": "Amy Lo", "merged_data": doc})
-    who = people.persons(rows, spark.createDataFrame([], PARSED))
+    who = cut_lineage(people.persons(rows, spark.createDataFrame([], PARSED)))
     assert found(people.linked_pairs(who, people.resolve(who)), "id_a", "id_b") == [(1, 2)]
     cands = spark.createDataFrame([(1, b, "12 Main St, Any Town, CA", None)], "candidate_id long, name string, location string, bar_number string")
     assert found(linkage.link_rows(who, cands), "id", "candidate_id") == [(1, 1), (2, 1)]
@@ -130,7 +131,7 @@ def test_short_last_names_and_given_names_as_last_names_meet(spark, a, b):
 def test_double_names_meet_in_one_word(spark):
     doc = '{"phone": "212 555 0100"}'
     rows = profiles(spark, *[{"id": i, "full_name": n, "merged_data": doc} for i, n in enumerate(["Ana Homveld Serostein", "Ana Homveldseorstein", "Ana Homveld-Serostein", "Ana Serostein", "Eva Homveldserostein"])])
-    who = people.persons(rows, spark.createDataFrame([], PARSED))
+    who = cut_lineage(people.persons(rows, spark.createDataFrame([], PARSED)))
     assert {(0, 1), (0, 2), (0, 3), (1, 2)} <= set(found(people.linked_pairs(who, people.resolve(who)), "id_a", "id_b")) <= {(a, b) for a in range(4) for b in range(4)}
 
 
@@ -173,16 +174,16 @@ def test_variants_are_linked_and_relatives_are_not(spark):
         {"id": 7, "full_name": None}, {"id": 8, "full_name": ""}, {"id": None, "full_name": "X Y"},
     )
     parsed = spark.createDataFrame([(1, 4, None, None)], PARSED)
-    people_rows = people.persons(rows, parsed)
+    people_rows = cut_lineage(people.persons(rows, parsed))
     got = found(people.linked_pairs(people_rows, people.resolve(people_rows)), "id_a", "id_b")
     assert (1, 3) in got and not any({4, 6} & set(p) for p in got) and (1, 5) not in got
-    none = people.persons(rows.limit(0), parsed)
+    none = cut_lineage(people.persons(rows.limit(0), parsed))
     assert people.linked_pairs(none, people.resolve(none)).count() == 0
 
 
 def test_given_names_with_another_first_letter_meet(spark):
     rows = profiles(spark, {"id": 1, "full_name": "Robert Homveld", "city": "Any Town", "state": "CA"}, {"id": 2, "full_name": "Eobert Homveld", "city": "Any Town", "state": "CA"}, {"id": 3, "full_name": "Walter Homveld", "city": "Any Town", "state": "CA"})
-    who = people.persons(rows, spark.createDataFrame([], PARSED))
+    who = cut_lineage(people.persons(rows, spark.createDataFrame([], PARSED)))
     assert found(people.linked_pairs(who, people.resolve(who)), "id_a", "id_b") == [(1, 2)]
     cands = spark.createDataFrame([(1, "Walyer Homveld", "Any Town, CA", None), (2, "Ealter Homveld", "Any Town, CA", None)], "candidate_id long, name string, location string, bar_number string")
     assert found(linkage.link_rows(who, cands), "id", "candidate_id") == [(3, 1), (3, 2)]
@@ -224,7 +225,7 @@ def test_solver_keeps_exclusivity_and_prefers_the_better_link(spark):
 def test_linkage(spark):
     rows = profiles(spark, {"id": 1, "full_name": "Ann Doe", "license_state": "CA", "bar_number": "7", "city": "Any Town", "state": "CA"}, {"id": 2, "full_name": None, "license_state": "CA", "bar_number": "7"}, {"id": 3, "full_name": "Bob Roe", "city": "Any Town", "state": "CA"})
     cands = spark.createDataFrame([(1, "Doe, A.", "Any Town, CA", None), (2, "X", None, " 7 "), (3, "Bob Roe", "Amy Town, CA", None), (4, "Bob Roe", "Elsewhere, CA", None), (5, None, None, None), (6, "Bob Roe", "Amy Town, CA", None)], "candidate_id long, name string, location string, bar_number string")
-    who = people.persons(rows, spark.createDataFrame([], PARSED))
+    who = cut_lineage(people.persons(rows, spark.createDataFrame([], PARSED)))
     got = found(linkage.link_rows(who, cands), "id", "candidate_id")
     assert got == [(1, 1), (1, 2), (2, 2), (3, 3), (3, 6)]
     assert linkage.link_rows(who, cands.limit(0)).count() == 0
