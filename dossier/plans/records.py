@@ -210,18 +210,20 @@ _WORDS = lambda x: f"regexp_extract_all(lower({x}), '[a-z0-9]+')"
 
 
 @query(rf"""
-WITH p AS (SELECT id, lower(trim(first_name)) AS f, lower(trim(last_name)) AS l, city, state FROM lawyer_enrichment WHERE regexp_full_match(first_name, '[A-Za-z]{{3,}}') AND regexp_full_match(last_name, '[A-Za-z]{{3,}}') AND trim(city) <> '' AND trim(state) <> '' AND NOT contains(city, '.')),
+WITH p AS (SELECT id, lower(trim(first_name)) AS f, lower(trim(last_name)) AS l, city, state FROM lawyer_enrichment WHERE regexp_full_match(first_name, '[A-Za-z]{{3,}}') AND regexp_full_match(last_name, '[A-Za-z]{{3,}}') AND trim(city) <> '' AND regexp_full_match(trim(state), '[A-Za-z]{{2}}') AND NOT contains(city, '.')),
 g AS (SELECT scrape_id, list_filter({_WORDS('name')}, lambda w: w NOT IN ({_IN([*names.FIRM_WORDS, *names.MATCH_PREFIXES, *names.SUFFIXES])})) AS own, formatted_address AS a FROM google_places WHERE formatted_address IS NOT NULL AND NOT contains(name, ',') AND name NOT LIKE '%&%' AND NOT list_contains({_WORDS('name')}, 'and')),
 w AS (SELECT scrape_id, unnest(list_distinct(own)) AS l, own, a FROM g),
 m AS (SELECT id, scrape_id, list_contains(own, f) AS whole, len(list_filter(own, lambda w: w NOT IN (f, p.l, f[1:1]))) AS foreign_words, regexp_matches(lower(a), '\b' || regexp_replace(lower(trim(city)), '([^a-z0-9 ])', '\\\1', 'g') || '\b') AS in_city, regexp_matches(lower(a), '\b' || lower(trim(state)) || '\b') AS in_state FROM p JOIN w ON p.l = w.l)
-SELECT id, scrape_id, round(CASE WHEN whole THEN 0.45 ELSE 0.3 END + CASE WHEN in_city THEN 0.1 ELSE 0.0 END + CASE WHEN in_state THEN 0.1 ELSE 0.0 END, 2) AS confidence FROM m WHERE whole OR foreign_words = 0""")
+SELECT id, scrape_id, round(CASE WHEN whole THEN 0.45 ELSE 0.3 END + CASE WHEN in_city THEN 0.1 ELSE 0.0 END + CASE WHEN in_state THEN 0.1 ELSE 0.0 END, 2) AS confidence FROM m WHERE in_state AND (whole OR foreign_words = 0)""")
 def place_confidences(spark, d):
-    """Profiles (with plain names) and places whose names share the last name, by the rules for places; titles aside, no street or firm here."""
-    plain = "first_name rlike '^[A-Za-z]{3,}$' and last_name rlike '^[A-Za-z]{3,}$' and trim(city) <> '' and trim(state) <> '' and not contains(city, '.')"
+    """Profiles (with plain names) and places of one state whose names share the last name, by the rules for places; no street or firm here."""
+    plain = "first_name rlike '^[A-Za-z]{3,}$' and last_name rlike '^[A-Za-z]{3,}$' and trim(city) <> '' and trim(state) rlike '^[A-Za-z]{2}$' and not contains(city, '.')"
     none = F.lit(None).cast("string")
-    own = table(spark, d, "lawyer_enrichment").where(plain).select("id", F.concat_ws(" ", "first_name", "last_name").alias("full_name"), "first_name", "last_name", none.alias("firm_name"), none.alias("line1"), "city", F.col("state").alias("state_code"), F.lit("").alias("state_name"), F.lower(F.trim("last_name")).alias("k"))
+    own = table(spark, d, "lawyer_enrichment").where(plain).select("id", F.concat_ws(" ", "first_name", "last_name").alias("full_name"), "first_name", "last_name", none.alias("firm_name"), none.alias("line1"), "city", F.col("state").alias("state_code"), F.lit("").alias("state_name"), F.concat_ws("|", F.lower(F.trim("last_name")), F.lower(F.trim("state"))).alias("k"))
     found = table(spark, d, "google_places").where("formatted_address is not null and not contains(name, ',') and name not like '%&%'").where(~F.array_contains(names.word_tokens(F.col("name")), "and"))
-    found = found.select("scrape_id", F.col("name").alias("place_name"), "formatted_address", F.explode(F.array_distinct(names.word_tokens(F.col("name")))).alias("k"))
+    codes = F.array_distinct(F.filter(names.word_tokens(F.col("formatted_address")), lambda w: F.length(w) == 2))
+    keys = F.flatten(F.transform(F.array_distinct(names.word_tokens(F.col("name"))), lambda w: F.transform(codes, lambda c: F.concat_ws("|", w, c))))
+    found = found.select("scrape_id", F.col("name").alias("place_name"), "formatted_address", F.explode(keys).alias("k"))
     return match.place_confidence(own.join(found, "k")).where("confidence > 0").select("id", "scrape_id", "confidence")
 
 
