@@ -33,6 +33,7 @@ def place_fingerprint(name: Column, city: Column, state: Column) -> Column:
 
 def directory_fingerprint(number: Column, name: Column, city: Column, state: Column) -> Column:
     """SHA-256 of a directory's own number, or without one of name, town and state by their ``match_key``."""
+    # The prefix is a fixed value: digests must be the known ones.
     return F.sha2(F.coalesce(F.concat(F.lit("avvo:"), F.nullif(number, F.lit(""))), F.concat_ws("|", match_key(name), match_key(city), match_key(state))), 256)
 
 
