@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
 from difflib import SequenceMatcher
+from functools import lru_cache, reduce
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,11 +48,14 @@ def _with_names(targets: DataFrame) -> DataFrame:
 def _phrase_matches(locations: DataFrame, phrases: DataFrame) -> DataFrame:
     """(location, phrase) of ``locations(location)`` and ``phrases(phrase)``, distinct values, where ``contains_phrase`` holds.
 
-    They meet by the first word of the phrase.
+    They meet by the first three words of the phrase, or by all of a shorter one, so that a common first word brings nothing together.
     """
-    asked = phrases.select("phrase", F.get(word_tokens(F.col("phrase")), F.lit(0)).alias("word")).where("word is not null")
-    said = locations.select("location", F.explode(F.array_distinct(word_tokens(F.col("location")))).alias("word"))
-    return said.join(asked, "word").where(contains_phrase(F.col("location"), F.col("phrase"))).select("location", "phrase")
+    run = lambda words, i, n: F.concat(n.cast("string"), F.lit(" "), F.array_join(F.slice(words, i, n), " "))
+    asked = phrases.withColumn("_w", word_tokens(F.col("phrase"))).where("size(_w) > 0").select("phrase", run(F.col("_w"), F.lit(1), F.least(F.size("_w"), F.lit(3))).alias("run"))
+    said = locations.withColumn("_w", word_tokens(F.col("location"))).where("size(_w) > 0")
+    runs = F.flatten(F.transform(F.sequence(F.lit(1), F.size("_w")), lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(3), F.size("_w") - i + 1)), lambda n: run(F.col("_w"), i, n))))
+    said = said.select("location", F.explode(F.array_distinct(runs)).alias("run"))
+    return said.join(asked, "run").where(contains_phrase(F.col("location"), F.col("phrase"))).select("location", "phrase")
 
 
 def possible_pairs(targets: DataFrame, found: DataFrame, target: str, candidate: str) -> DataFrame:
@@ -130,6 +137,185 @@ def best_candidate(scored: DataFrame, target: str, candidate: str, cut: float) -
     return scored.where(F.col("confidence") >= cut).groupBy(F.col(target).alias("_t")).agg(F.max_by(row, F.struct("confidence", -F.col(candidate))).alias("row")).select("row.*")
 
 
+# --- the best target of each candidate, without scoring all pairs -----------------------------------------------------
+#: Rows of a bucket from which letters are counted, by numpy, before texts are compared.
+MANY = 32
+_LETTERS = {c: i for i, c in enumerate(" abcdefghijklmnopqrstuvwxyz0123456789")}
+
+
+@lru_cache(maxsize=100_000)
+def _letter_bits(text: str) -> tuple[int, int]:
+    """A bit for each letter and how often it came before, up to four times, and the number of letters beyond."""
+    bits, seen = 0, {}
+    for c in text:
+        n = seen[c] = seen.get(c, -1) + 1
+        if n < 4:
+            bits |= 1 << 4 * _LETTERS[c] + n
+    return bits, len(text) - bits.bit_count()
+
+
+@lru_cache(maxsize=200_000)
+def _alike(whole: str, short: str, name: str, ends: str) -> float:
+    """The spelling similarity of ``score_candidates`` where it is 0.75 or more; what cannot reach that is given as less."""
+    if not whole or not name:
+        return 0.0
+    if short and short == ends:
+        return 1.0
+    best = 0.0
+    for a, b in ((whole, name), (short, ends)):
+        (bits_a, more_a), (bits_b, more_b) = _letter_bits(a), _letter_bits(b)
+        # The letters in common bound the ratio from above.
+        if a and 2 * ((bits_a & bits_b).bit_count() + min(more_a, more_b)) >= 0.75 * (len(a) + len(b)):
+            best = max(best, SequenceMatcher(None, a, b).ratio())
+    return best
+
+
+def _counts(texts: list[str]) -> np.ndarray:
+    out = np.zeros((len(texts), len(_LETTERS)), np.int16)
+    for row, text in zip(out, texts):
+        for c in text:
+            row[_LETTERS[c]] += 1
+    return out
+
+
+class _Bucket:
+    """Targets that share a key, by id: what a candidate under the key can get from them."""
+
+    def __init__(self, key: str) -> None:
+        self.kind = key[0]
+        self.rows: list[tuple] = []
+        self.by_state: dict[str, list[int]] = {}
+        self.letters: tuple | None = None
+        self.asked: tuple = ()
+
+    def add(self, ref: int, text: str, states: list[str]) -> None:
+        first, last, whole, sur = text.split("|")
+        for state in set(states):
+            self.by_state.setdefault(state, []).append(len(self.rows))
+        self.rows.append((ref, first, {last, *sur.split()}, set(whole.split()), whole, f"{first} {last}" if first and last else "", states))
+
+    def names(self, row: tuple, words: list[str]) -> int:
+        """Tenths for last name and given name or initial."""
+        _, first, lasts, whole, *_ = row
+        given = 2 * (first in words or words[0] in whole) or int(words[0] == first[:1]) if first else 0
+        return 3 * any(w in lasts for w in words) + given
+
+    def alike(self, row: tuple, name: str, ends: str) -> float:
+        return _alike(row[4], row[5], name, ends)
+
+    def first_alike(self, among: Sequence[int], name: str, ends: str) -> tuple | None:
+        """The first of the rows whose spelling is similar to 0.8."""
+        if len(among) > MANY:
+            if self.letters is None:
+                self.letters = [(_counts(texts), np.array([len(t) for t in texts])) for texts in ([r[4] for r in self.rows], [r[5] for r in self.rows])]
+            among = np.asarray(among)
+            near = np.zeros(len(among), bool)
+            for (counts, sizes), text in zip(self.letters, (name, ends)):
+                near |= 2 * np.minimum(counts[among], _counts([text])).sum(axis=1) >= 0.8 * (sizes[among] + len(text)) - 1e-6
+            among = among[near]
+        return next((self.rows[i] for i in among if self.alike(self.rows[i], name, ends) >= 0.8), None)
+
+    def best(self, name: str, at: list[str]) -> tuple[int, int] | None:
+        """(tenths, target) of the best pair, of 6 tenths or more; the smallest target of equal ones."""
+        if self.asked[:2] == (name, at):
+            return self.asked[2]
+        words, found = name.split(), []
+        ends = f"{words[0]} {words[-1]}"
+        if self.kind == "t":  # last name and town: each pair
+            top = (5, 0)
+            for row in self.rows:
+                n = self.names(row, words)
+                most = n + 4 + any(s in at for s in row[6])
+                if n >= 3 and most >= 6 and most > top[0]:
+                    s = self.alike(row, name, ends)
+                    if (n > 3 or s >= 0.75) and most - 2 * (s < 0.8) > top[0]:
+                        top = (most - 2 * (s < 0.8), row[0])
+                        if top[0] == 10:
+                            break
+            found = [top]
+        else:
+            town = 2 * (self.kind == "w")
+            for state, among in [(1, self.by_state[s]) for s in at if s in self.by_state] + [(int(self.kind == "s"), range(len(self.rows)))]:
+                if row := self.first_alike(among, name, ends):
+                    found.append((self.names(row, words) + town + state + 2, row[0]))
+                elif self.kind == "g" and state:  # last and given name and state do without the spelling
+                    found.append((self.names(self.rows[among[0]], words) + 1, self.rows[among[0]][0]))
+        got = max((f for f in found if f[0] >= 6), key=lambda f: (f[0], -f[1]), default=None)
+        self.asked = (name, at, got)
+        return got
+
+
+def _best_in_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(candidate, points, target) from rows of both sides that come sorted by key, the targets of a key (side 0) first."""
+    key, bucket = None, None
+    for batch in batches:
+        keys, sides, refs = batch.column("k").to_pylist(), batch.column("side").to_pylist(), batch.column("ref").to_pylist()
+        texts, places = batch.column("text"), batch.column("places")
+        out: list[tuple] = []
+        for i, k in enumerate(keys):
+            if k != key:
+                key, bucket = k, None
+            if not sides[i]:
+                bucket = bucket or _Bucket(k)
+                bucket.add(refs[i], texts[i].as_py(), places[i].as_py())
+            elif bucket and (got := bucket.best(texts[i].as_py(), places[i].as_py())):
+                out.append((refs[i], *got))
+        yield pa.record_batch([pa.array([o[j] for o in out], pa.int64()) for j in range(3)], names=["rep", "points", "target"])
+
+
+def best_targets(targets: DataFrame, found: DataFrame, target: str, candidate: str) -> DataFrame:
+    """(candidate, target): of all pairs with a confidence (``score_candidates``) of 0.6 or more the best of each candidate (ties:
+    smallest target). Candidates and targets have the columns that ``score_candidates`` asks of them, and whole numbers for ids.
+
+    No pair is made. Equal names and places of either side count once; targets and candidates are sorted by what they can share, and for each
+    candidate the targets under a key are looked through by id up to the first that is as good as the key allows. The keys are last name and town;
+    last and given name or initial, with the states looked up within; and, for candidates that have no more than these can give, last
+    name and state, and given name and town. An equal licence is a join of its own.
+    """
+    words = lambda c: F.filter(c, lambda w: w != "")
+    text = lambda c: F.array_join(c, " ")
+    low = lambda c: F.coalesce(F.lower(F.trim(c)), F.lit(""))
+    lines = lambda kind, xs, ys: F.flatten(F.transform(F.array_distinct(words(xs)), lambda x: F.transform(F.array_distinct(words(ys)), lambda y: F.concat_ws("|", F.lit(kind), x, y))))
+    one = lambda c: F.array(c)
+    none = F.array().cast("array<string>")
+    own = _with_names(targets.where(F.col(target).isNotNull())).select(target, low("city").alias("town"), F.array_distinct(words(F.array(low("state_code"), low("state_name")))).alias("places"), F.concat_ws("|", "_first", "_last", text("_all"), text("_sur")).alias("text"))
+    own = cut_lineage(own.groupBy("text", "town", "places").agg(F.min(target).alias("ref")))
+    seen = found.where(F.col(candidate).isNotNull()).select(candidate, text(name_tokens(F.col("name"))).alias("text"), F.coalesce("location", F.lit("")).alias("location"))
+    names = cut_lineage(seen.where("text <> ''").groupBy("text", "location").agg(F.min(candidate).alias("rep"), F.collect_list(candidate).alias("all")))
+    places = lambda c: targets.select(low(c).alias("phrase")).where("phrase <> ''").distinct()
+    phrases = places("city").union(places("state_code")).union(places("state_name")).distinct()
+    at = _phrase_matches(names.select("location").distinct(), phrases).groupBy("location").agg(F.array_sort(F.collect_set("phrase")).alias("places"))
+    theirs = cut_lineage(names.join(at, "location", "left").select(F.col("rep").alias("ref"), "text", F.coalesce("places", none).alias("places")))
+
+    part = lambda i: F.split_part("text", F.lit("|"), F.lit(i))
+    last, said = F.split(F.concat_ws(" ", part(2), part(4)), " "), F.split("text", " ")
+    head = F.get(said, F.lit(0))
+    firsts = [("f", one(part(1))), ("h", F.when(part(1) != "", F.split(part(3), " ")).otherwise(none)), ("i", one(F.left(part(1), F.lit(1))))]
+    heads = [("f", said), ("h", one(head)), ("i", F.when(F.length(head) == 1, one(head)).otherwise(none))]
+    given = lambda kind, x, ys: F.concat(*[lines(f"{kind}{k}", x, y) for k, y in ys])
+    here, town = F.col("places"), one(F.col("town"))
+
+    def under(rows: DataFrame, side: int, keys: Column, kept: Column) -> DataFrame:
+        under_ = rows.select(F.explode(keys).alias("k"), F.lit(side).alias("side"), "ref", "text", kept.alias("places"))
+        # Targets that do not differ under the key count once.
+        return under_ if side else under_.groupBy("k", "side", "text", "places").agg(F.min("ref").alias("ref")).select("k", "side", "ref", "text", "places")
+
+    def searched(*sides: DataFrame) -> DataFrame:
+        rows = reduce(DataFrame.unionByName, sides).repartition("k").sortWithinPartitions("k", "side", F.when(F.col("side") == 0, F.col("ref")), "text", "places")
+        return rows.mapInArrow(_best_in_buckets, "rep long, points long, target long")
+
+    best = lambda rows, by: rows.groupBy(by).agg(F.max_by(F.struct("points", "target"), F.struct("points", -F.col("target"))).alias("b")).select(by, "b.points", "b.target")
+    near = cut_lineage(best(searched(under(own, 0, lines("t", last, town), here), under(own, 0, given("g", last, firsts), here), under(theirs, 1, lines("t", said, here), here), under(theirs, 1, given("g", said, heads), here)), "rep"))
+    rest = theirs.join(near.select(F.col("rep").alias("ref"), "points"), "ref", "left").where("points is null or points <= 7").withColumn("poor", F.expr("points is null or points <= 6"))
+    rest = cut_lineage(rest.drop("points"))
+    far = searched(under(own, 0, lines("s", last, here), none), under(own, 0, given("w", town, firsts), here), under(rest.where("poor"), 1, lines("s", said, here), none), under(rest, 1, given("w", here, heads), here))
+    by_name = names.select("rep", F.explode("all").alias(candidate)).join(best(near.unionByName(far), "rep"), "rep").select(candidate, "points", "target")
+    bar = lambda c: F.lower(F.trim(c)).alias("bar")
+    licensed = targets.select(target, bar("target_bar")).where("bar <> '' and bar not in ('n/a', 'none')").groupBy("bar").agg(F.min(target).alias("target"))
+    by_licence = found.select(candidate, bar("bar_number")).join(licensed, "bar").select(candidate, F.lit(10).cast("long").alias("points"), "target")
+    return best(by_name.unionByName(by_licence), candidate).select(candidate, F.col("target").alias(target))
+
+
 # --- places ----------------------------------------------------------------------------------------------------------
 def place_confidence(pairs: DataFrame) -> DataFrame:
     """``pairs`` (place_name, formatted_address; full_name, first_name, last_name, firm_name, line1, city, state_code, state_name) with

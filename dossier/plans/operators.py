@@ -402,10 +402,10 @@ def address_similarities(spark, d):
 
 @query()
 def candidate_confidences(spark, d):
-    """The best candidate of all profiles for each find. Only pairs that can reach the cut are scored (``match.possible_pairs``)."""
+    """The best candidate of all profiles for each find, looked up without making the pairs (``match.best_targets``); only it is scored."""
     own = table(spark, d, "lawyer_enrichment").select("id", "full_name", "first_name", "last_name", "city", F.lower("state").alias("state_code"), F.lit("").alias("state_name"), F.col("bar_number").alias("target_bar"))
     found = table(spark, d, "discovery_candidate").select("candidate_id", "name", "location", "bar_number")
-    pairs = match.possible_pairs(own, found, "id", "candidate_id").join(own, "id").join(found, "candidate_id")
+    pairs = match.best_targets(own, found, "id", "candidate_id").join(own, "id").join(found, "candidate_id")
     return match.best_candidate(match.score_candidates(pairs), "candidate_id", "id", 0.6).select("candidate_id", "id", "confidence", "match_signals")
 
 

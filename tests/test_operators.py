@@ -147,6 +147,38 @@ def test_possible_pairs_are_all_that_reach_the_cut(spark):
     assert sorted(best) == sorted(want)
 
 
+def test_best_targets_are_those_of_all_pairs_scored(spark, monkeypatch):
+    """Few names, many places and all kinds of agreement; no pair may be joined, and one is scored for each find."""
+    schema = "id long, full_name string, first_name string, last_name string, city string, state_code string, state_name string, target_bar string"
+    chance, pick = random.Random(5), lambda xs: chance.choice(xs)
+    firsts, lasts, towns, states = ["Ann", "Anna", "A", "Johnathan", "Jonathan", ""], ["Doe", "Roe", "De Roe", "Smithers", "Smithersen", "Li", ""], ["Any Town", "St. Mary's", "New Any Town", "", None, "West New Any Town"], ["ca", "ny", "", None]
+    typed = lambda f, x: pick([f"{f} {x}", f"{f} B. {x}", f"{x}, {f}", f"{f} {x} Jr.", f"Dr. {f} {x}"])
+    own = []
+    for i in range(150):
+        f, x = pick(firsts), pick(lasts)
+        own.append((i, pick([typed(f, x), typed(f, x), None]), pick([f, None]), pick([x, None]), pick(towns), pick(states), pick(["", "New York"]), pick([None, None, "A1", "n/a", " B2 "])))
+    finds = [(i, pick([typed(pick(firsts), pick(lasts)), "", None]), pick([f"{pick(towns)}, {pick(['CA', 'NY', 'New York'])}", "1 Main St, West New Any Town", "", None]), pick([None, None, None, "a1", "N/A", "b2"])) for i in range(200)]
+    own, found = spark.createDataFrame(own, schema), spark.createDataFrame(finds, "candidate_id long, name string, location string, bar_number string")
+    want = match.best_candidate(match.score_candidates(own.crossJoin(found)), "candidate_id", "id", 0.6).select("candidate_id", "id").collect()
+    monkeypatch.setattr(match, "MANY", 3)
+    assert sorted(match.best_targets(own, found, "id", "candidate_id").collect()) == sorted(want) and len(want) > 100
+    kinds = {r for _, r in match.score_candidates(own.crossJoin(found)).where("confidence >= 0.6").select("candidate_id", "confidence").distinct().collect()}
+    assert {0.6, 0.7, 0.8, 0.9, 1.0} <= kinds
+
+
+def test_candidates_are_found_without_their_pairs(spark, tmp_path, monkeypatch):
+    """Names that all share a last name and a state: the pairs would be 4,000,000."""
+    n = 2_000
+    spelt = lambda c: F.concat(F.translate(F.lpad(F.hex(c), 6, "0"), "0123456789ABCDEF", "ghjklmnpqrstvwxz"), F.lit(" Doe"))
+    spark.range(n).select("id", spelt(F.col("id")).alias("full_name"), F.lit(None).cast("string").alias("first_name"), F.lit("Doe").alias("last_name"), F.lit("Any Town").alias("city"), F.lit("CA").alias("state"), F.lit(None).cast("string").alias("bar_number")).write.parquet(str(tmp_path / "lawyer_enrichment.parquet"))
+    spark.range(n).select(F.col("id").alias("candidate_id"), spelt(F.col("id") * 7919).alias("name"), F.lit("Elsewhere, CA").alias("location"), F.lit(None).cast("string").alias("bar_number")).write.parquet(str(tmp_path / "discovery_candidate.parquet"))
+    scored = []
+    score = match.score_candidates
+    monkeypatch.setattr(match, "score_candidates", lambda pairs: scored.append(pairs.count()) or score(pairs))
+    best = operators.candidate_confidences(spark, str(tmp_path))
+    assert best.count() == scored[0] <= n
+
+
 def test_sequence_ratio_keeps_the_argument_order(spark):
     pairs = [("ann doe", "doe ann"), ("doe ann", "ann doe"), ("", None)]
     got = [r[0] for r in spark.createDataFrame(pairs, "a string, b string").select(match.sequence_ratio("a", "b")).collect()]
