@@ -191,7 +191,8 @@ def spelling_keys(names: DataFrame) -> DataFrame:
     most = F.greatest(allowed, 2 * allowed - F.ceil(apart / 2))
     close = F.when(apart <= 2 * allowed, F.levenshtein("a", "b") <= most).otherwise(False)
     met = asked.join(index, "k").where("of = scope and (double or key_n > n or key_n = n and key > name)").where(close)
-    met = met.select("scope", "name", "double", "key", "a", "b").distinct().withColumn("over", F.levenshtein("a", "b") > allowed)
+    # Pairs that meet by several segments go once, behind this, when they are narrow.
+    met = met.select("scope", "name", "double", "key", "a", "b").withColumn("over", F.levenshtein("a", "b") > allowed)
     near = met.mapInArrow(_same_form, "scope string, name string, double boolean, key string")
     return near.unionByName(names.where("not double").select("scope", "name", "double", F.col("name").alias("key"))).distinct()
 

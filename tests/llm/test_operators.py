@@ -1,6 +1,7 @@
 """The training-data operators on small tables: nulls, empty and long texts, ties, repeated rows, empty tables, clashing extra columns."""
 
 import random
+import re
 from difflib import SequenceMatcher
 
 import numpy as np
@@ -415,3 +416,11 @@ def test_subjects_are_learned(spark):
 
 def test_readings_are_stable():
     assert readings("Doe, Ann") == readings("Doe,  Ann ") and SequenceMatcher(None, "a", "a").ratio() == 1.0
+
+
+def test_pairs_of_spellings_are_shuffled_once(spark):
+    """The compared forms, which are wide, stay where they met; only (scope, name, double, key) are made distinct."""
+    names = spark.createDataFrame([("", "abcdefgh", False, 3), ("", "abcdefgi", False, 1), ("", "xbcdefgh", False, 1)], "scope string, name string, double boolean, n long")
+    known = people.spelling_keys(names)
+    assert not [x for x in re.findall(r"hashpartitioning\(([^)]*)\)", known._jdf.queryExecution().executedPlan().toString()) if re.search(r"\ba#", x)]
+    assert sorted((r.name, r.key) for r in known.collect()) == [("abcdefgh", "abcdefgh"), ("abcdefgi", "abcdefgh"), ("abcdefgi", "abcdefgi"), ("abcdefgi", "xbcdefgh"), ("xbcdefgh", "abcdefgh"), ("xbcdefgh", "xbcdefgh")]
