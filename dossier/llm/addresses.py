@@ -19,13 +19,18 @@ ORDINALS = {"first": "1st", "second": "2nd", "third": "3rd", "fourth": "4th", "f
 
 _TYPE = {form: formal for formal, forms in STREET_TYPES.items() for form in [formal, *forms.split()]}
 _STATE = {code.lower(): code for code in STATES} | {name.lower(): code for code, name in STATES.items()}
-_STATE_END = re.compile(r"(?:^|[,\s])\s*(" + "|".join(sorted(map(re.escape, _STATE), key=len, reverse=True)) + r")\.?\s*$")
+#: Last word of a state -> the states that end in it, the longest first.
+_STATE_BY_END = {end: sorted((name for name in _STATE if name.split()[-1] == end), key=len, reverse=True) for end in {name.split()[-1] for name in _STATE}}
 _COUNTRY = re.compile(r"[,\s]*\b(?:usa|u\.s\.a\.?|u\.s\.|united states(?: of america)?)\s*$")
 _ZIP = re.compile(r"(?:^|[,\s])\s*(\d{5})(?:-?\d{4})?\s*$")
 _BOX = re.compile(r"\b(?:p\.?\s*o\.?\s*|post\s+office\s+|postal\s+)?(?:box|b0x)\s*(?:no\.?\s*|#\s*)?(\d+)\b|\bp\.?\s*o\.?\s*b\.?\s+(\d+)\b")
+_COUNTRY_ENDS = ("usa", "u.s.a", "u.s.a.", "u.s.", "united states", "america")
+_UNIT_WORDS = ("#", "suite", "ste", "unit", "room", "rm", "apt", "apartment", "floor", "bldg", "building", "office", "ofc")
 _UNIT = re.compile(r"(?:\b(?:suite|ste|unit|room|rm|apt|apartment|floor|bldg|building|office|ofc)\b\.?\s*(?:#\s*|no\.?\s*)?(?:\d+[a-z]?|[a-z]\d*)\b|#\s*[a-z0-9-]+)")
 _AREA = re.compile(r"^greater\s+(.+?)(?:,\s*[a-z]{2})?\s+area\b")
 _NUMBER = re.compile(r"^(\d+[a-z]?)\s+(.+)$")
+_GREATER, _TOWN_OF = re.compile(r"^(?:greater\s+)(.*?)(?:\s+area)?$"), re.compile(r"^(?:the )?(?:city|town|village) of ")
+_STATE_FIRST, _ORDINAL, _STOPS, _OTHERS, _OTHER = re.compile(r"^([a-z]{2})\s*-\s*(.+)$"), re.compile(r"\d+(st|nd|rd|th)?"), re.compile(r"[\s.]+"), re.compile(r"[^a-z0-9]+"), re.compile(r"[^a-z0-9]")
 
 
 class Place(NamedTuple):
@@ -43,10 +48,10 @@ class Place(NamedTuple):
 NOWHERE = Place("", "", "", "", "", "", "")
 
 
+@lru_cache(maxsize=50_000)
 def town_key(text: str) -> str:
-    text = re.sub(r"^(?:greater\s+)(.*?)(?:\s+area)?$", r"\1", text.strip(" ,.-"))
-    text = re.sub(r"^(?:the )?(?:city|town|village) of ", "", text)
-    words = [w for w in re.split(r"[^a-z0-9]+", text) if w]
+    text = _TOWN_OF.sub("", _GREATER.sub(r"\1", text.strip(" ,.-")))
+    words = [w for w in _OTHERS.split(text) if w]
     if words and words[0] == "s":
         words[0] = "saint"
     return "".join(TOWN_WORDS.get(w, w) for w in words)
@@ -55,7 +60,7 @@ def town_key(text: str) -> str:
 @lru_cache(maxsize=50_000)
 def _word(word: str) -> str:
     """A word of a street without look-alike digits, numbers written in figures."""
-    if re.fullmatch(r"\d+(st|nd|rd|th)?", word):
+    if _ORDINAL.fullmatch(word):
         return word
     word = word.translate(LOOKALIKE)
     if word in ORDINALS or len(word) < 5 or word in _TYPE:
@@ -86,32 +91,44 @@ def _street(words: list[str], whole: bool) -> tuple[str, str, str, list[str]]:
     return "".join(core), kind, side, rest
 
 
+def _state_end(s: str) -> tuple[str, str] | None:
+    """(the text before it, the state) where ``s``, which has neither a blank nor a comma at its end, ends in one; the longest name counts."""
+    s = s.removesuffix(".")
+    for name in _STATE_BY_END.get(s[max(s.rfind(" "), s.rfind(",")) + 1 :], ()):
+        before = s[: -len(name)]
+        if s.endswith(name) and (not before or before[-1] in ", "):
+            return before.strip(" ,"), _STATE[name]
+    return None
+
+
 @lru_cache(maxsize=50_000)
 def parse_place(text: str | None) -> Place:
     """Take a written address apart. Suite, unit and room go; null, blank or a mere town gives a Place without a number."""
     if not text or not text.strip():
         return NOWHERE
-    s = _COUNTRY.sub("", plain(text)).strip(" ,")
-    s = _AREA.sub(r"\1", s)
+    # Most addresses lack most of these parts, so the patterns only run where the letters that they need are there.
+    s = plain(text)
+    s = (_COUNTRY.sub("", s) if s.endswith(_COUNTRY_ENDS) else s).strip(" ,")
+    s = _AREA.sub(r"\1", s) if s.startswith("greater") else s
     zip_, state = "", ""
-    if m := _ZIP.search(s):
+    if s[-1:].isdecimal() and (m := _ZIP.search(s)):
         zip_, s = m.group(1), s[: m.start()].strip(" ,")
-    while m := _STATE_END.search(s):
-        if state and _STATE[m.group(1)] != state or not s[: m.start()].strip(" ,"):
+    while found := _state_end(s):
+        if state and found[1] != state or not found[0]:
             break
-        state, s = _STATE[m.group(1)], s[: m.start()].strip(" ,")
-    if not state and (m := re.match(r"^([a-z]{2})\s*-\s*(.+)$", s)) and m.group(1) in _STATE:
+        s, state = found
+    if not state and (m := _STATE_FIRST.match(s)) and m.group(1) in _STATE:
         state, s = _STATE[m.group(1)], m.group(2)
     if not state and s in _STATE:
         return Place("", "", "", "", "", _STATE[s], zip_)
-    if m := _BOX.search(s):
+    if ("box" in s or "b0x" in s or "b " in s or "b. " in s) and (m := _BOX.search(s)):
         rest = _UNIT.sub(",", s[m.end() :])
         return Place("box" + (m.group(1) or m.group(2)).lstrip("0"), "", "", "", town_key(rest), state, zip_)
-    s = _UNIT.sub(" , ", s)
-    parts = [p for p in (re.sub(r"\s+", " ", p).strip(" .-") for p in s.split(",")) if p]
+    s = _UNIT.sub(" , ", s) if any(w in s for w in _UNIT_WORDS) else s
+    parts = [p for p in (" ".join(p.split()).strip(" .-") for p in s.split(",")) if p]
     for i, part in enumerate(parts):
         if m := _NUMBER.match(part):
-            words = [_word(w) for w in (re.sub(r"[^a-z0-9]", "", w) for w in re.split(r"[\s.]+", m.group(2))) if w]
+            words = [_word(w) for w in (w if w.isascii() and w.isalnum() else _OTHER.sub("", w) for w in _STOPS.split(m.group(2))) if w]
             if not words:
                 continue
             street, kind, side, rest = _street(words, i + 1 < len(parts) or not state)

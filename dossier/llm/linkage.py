@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dossier.llm.addresses import Place, parse_place, same_town
@@ -104,15 +104,15 @@ def possible_links(rows: DataFrame, cands: DataFrame, rows_spelt: DataFrame, can
     """(lawyer, cand, s, w, bar): links with any similarity, from rows that share a licence number, or a spelling of the last
     name and one of the town, or a street number and zip area (the state where one side names no more).
 
-    ``rows(rep, lawyer, bar, ...)`` and ``cands(cand, bar, ...)`` are representatives, the others are they ``by_spelling``. Two licence
+    ``rows(rep, lawyer, a_licensed, bar, ...)`` (a_licensed: any row of the lawyer has a licence number) and ``cands(cand, bar, ...)`` are representatives, the others are they ``by_spelling``. Two licence
     numbers decide alone, so a lawyer with one and a candidate with one meet by it and not by name.
     """
     left, right = under_evidence(rows_spelt, "across", "rep", "licensed").alias("l"), under_evidence(cands_spelt, "across", "cand", "licensed").alias("r")
     pairs = left.join(right, F.expr("l.k = r.k and not (l.licensed and r.licensed)")).select("rep", "cand").distinct()
-    of_lawyer = rows.groupBy("lawyer").agg(F.max(F.col("bar").isNotNull()).alias("a_licensed"))
-    a = rows.join(of_lawyer, "lawyer").select("rep", "lawyer", "a_licensed", *[F.col(c).alias(f"a_{c}") for c in PROFILE_SIDE])
+    a = rows.select("rep", "lawyer", "a_licensed", *[F.col(c).alias(f"a_{c}") for c in PROFILE_SIDE])
     b = cands.select("cand", "bar", *[F.col(c).alias(f"b_{c}") for c in CANDIDATE_SIDE])
-    pairs = pairs.join(a, "rep").join(b, "cand").where("(a_state = b_state or a_state = '' or b_state = '') and not (a_licensed and bar is not null)")
+    # Candidates first: their columns are fewer, and what is shuffled again then lies sorted by them, which compresses.
+    pairs = pairs.join(b, "cand").join(a, "rep").where("(a_state = b_state or a_state = '' or b_state = '') and not (a_licensed and bar is not null)")
     by_name = pairs.select("lawyer", "cand", "bar", *[f"a_{c}" for c in PROFILE_SIDE], *[f"b_{c}" for c in CANDIDATE_SIDE]).mapInArrow(_similar, "lawyer long, cand long, bar string, s double, w double")
     by_name = by_name.groupBy("lawyer", "cand", "bar").agg(F.max("s").alias("s"), F.max_by("w", "s").alias("w"))
     licences = rows.where("bar is not null").select("lawyer", "bar").distinct()
@@ -251,10 +251,12 @@ def link_rows(people: DataFrame, found: DataFrame) -> DataFrame:
     known = spellings(one, cands)
     spelt = cut_lineage(by_spelling(with_evidence(one).withColumn("across", F.expr(OF_PROFILE)), known, "rep", "adm", "licensed", "together", "across"))
     same = resolve_representatives(one, spelt)
-    lawyer = cut_lineage(one.select("rep").join(same, "rep", "left").select("rep", F.coalesce("lawyer", "rep").alias("lawyer")))
+    # What is known of a lawyer is gathered before the wide columns are there.
+    whose = one.select("rep", F.col("bar").isNotNull().alias("has")).join(same, "rep", "left").select("rep", F.coalesce("lawyer", "rep").alias("lawyer"), "has")
+    lawyer = cut_lineage(whose.select("rep", "lawyer", F.max("has").over(Window.partitionBy("lawyer")).alias("a_licensed")))
     cands_spelt = by_spelling(cands.withColumns({"licensed": F.col("bar").isNotNull(), "across": F.expr(OF_CANDIDATE)}), known, "cand", "licensed", "across")
     links = cut_lineage(solve(possible_links(one.join(lawyer, "rep"), cands, spelt, cands_spelt)).where(F.col("confidence") > ACCEPT))
     drop_cut(spelt, known)
     matched = links.join(finds.select(F.col("rep").alias("cand"), "candidate_id", "bar"), "cand")
-    members = profiles.select("id", "rep", F.col("full_name").isNotNull().alias("named")).join(lawyer, "rep")
+    members = profiles.select("id", "rep", F.col("full_name").isNotNull().alias("named")).join(lawyer.select("rep", "lawyer"), "rep")
     return matched.join(members, "lawyer").where("named or bar is not null").select("id", "candidate_id", "confidence")

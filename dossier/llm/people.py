@@ -46,6 +46,10 @@ def licence_number(bar: Column) -> Column:
 #: Rows of one town and last name from which they meet by admission date as well, where they have one.
 HOT = 200
 
+#: Bits of the numbers by which rows meet. What meets is verified, so that two things of one number only cost a look: with the 1.3 billion
+#: keys of 30 GB these are less than a million pairs. The bits left out are a fifth of what the keys take in a shuffle.
+KEY = (1 << 40) - 1
+
 #: What two rows of one lawyer are compared by, in the order of ``same_person``: adm is a day number, email, phone, school and firm are
 #: 64-bit hashes that only confirm pairs which met by name, read is the typed name in all its readings.
 COMPARED = ["read", "lic", "adm", "email", "phone", "school", "firm", "middle", "number", "street", "town", "state", "zip"]
@@ -96,8 +100,8 @@ def persons(profiles: DataFrame, parsed: DataFrame) -> DataFrame:
     flat = profiles.where("id is not null").select("id", "full_name", "bar_number", "license_state", "state", "city", F.unix_date("admission_date").alias("adm"), m.alias("m"))
     bar = licence_number(F.col("bar_number"))
     digits = F.regexp_replace(real(F.col("m.phone")), "[^0-9]", "")
-    flat = flat.join(latest_middle_names(parsed), "id", "left").select(
-        "id", F.when(F.trim("full_name") != "", F.col("full_name")).alias("full_name"), "license_state", "state", "city", "adm", "middle",
+    flat = flat.select(
+        "id", F.when(F.trim("full_name") != "", F.col("full_name")).alias("full_name"), "license_state", "state", "city", "adm",
         F.concat_ws("|", F.when(bar.isNotNull(), F.upper(F.trim("license_state"))), bar).alias("lic_text"), bar.alias("bar"),
         F.lower(real(F.col("m.email"))).alias("email"),
         F.when(F.length(digits) >= 7, F.right(digits, F.lit(10))).alias("phone"),
@@ -105,7 +109,8 @@ def persons(profiles: DataFrame, parsed: DataFrame) -> DataFrame:
         F.col("m.address.line1").alias("line1"), F.col("m.address.line2").alias("line2"), F.col("m.address.city").alias("a_city"), F.col("m.address.state").alias("a_state"), F.col("m.address.zip").alias("a_zip"),
     )
     flat = flat.withColumn("lic", F.when(F.col("lic_text").contains("|"), F.col("lic_text"))).drop("lic_text")
-    flat = flat.withColumns({c: F.when(F.col(c).isNotNull(), F.xxhash64(c)) for c in HASHED})
+    # Hashed before the join, which shuffles the rows.
+    flat = flat.withColumns({c: F.when(F.col(c).isNotNull(), F.xxhash64(c)) for c in HASHED}).join(latest_middle_names(parsed), "id", "left")
     return with_copy(flat.mapInArrow(_persons, PERSON), COMPARED)
 
 
@@ -156,7 +161,7 @@ def _pieces(of) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]
             rows = []
             for scope, name, double, n in zip(*[c.to_pylist() for c in batch.columns]):
                 for form in {name} if scope else {name, bare(name)}:
-                    digests = [xxhash.xxh64_intdigest(f"{scope}|{length}|{i}|{piece}") - (1 << 63) for length, i, piece in of(form)]
+                    digests = [xxhash.xxh64_intdigest(f"{scope}|{length}|{i}|{piece}") & KEY for length, i, piece in of(form)]
                     rows.append((scope, name, double, form, n, letter_bits(form), digests))
             yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * len(_PIECES), _PIECES)], schema=_PIECES)
 
@@ -181,20 +186,24 @@ def spelling_keys(names: DataFrame) -> DataFrame:
     names = names.select("scope", "name", "double", "n").where("name <> ''")
     long_ = names.where(F.length("name") > 2)
     # Numbers stand for the segments; the distance is checked anyway, and before the pairs are shuffled again.
-    index = long_.where("not double").mapInArrow(_pieces(index_pieces), PIECES).select(F.col("scope").alias("of"), F.col("name").alias("key"), F.col("form").alias("b"), F.col("n").alias("key_n"), F.col("letters").alias("letters_b"), F.explode("pieces").alias("k"))
-    asked = long_.mapInArrow(_pieces(probe_pieces), PIECES).select("scope", "name", "double", F.col("form").alias("a"), "n", F.col("letters").alias("letters_a"), F.explode("pieces").alias("k"))
-    size = F.least(F.length("a"), F.length("b"))
+    # A form goes along only where it is not the name itself.
+    other = F.when(F.col("form") != F.col("name"), F.col("form"))
+    index = long_.where("not double").mapInArrow(_pieces(index_pieces), PIECES).select(F.col("scope").alias("of"), F.col("name").alias("key"), other.alias("other_b"), F.col("n").alias("key_n"), F.col("letters").alias("letters_b"), F.explode("pieces").alias("k"))
+    asked = long_.mapInArrow(_pieces(probe_pieces), PIECES).select("scope", "name", "double", other.alias("other_a"), "n", F.col("letters").alias("letters_a"), F.explode("pieces").alias("k"))
+    a, b = F.coalesce("other_a", "name"), F.coalesce("other_b", "key")
+    size = F.least(F.length(a), F.length(b))
     allowed = F.when(size < 3, 0).when(size < 6, 1).otherwise(2)
     apart = F.bit_count(F.col("letters_a").bitwiseXOR(F.col("letters_b")))
     # A swap is two plain edits and leaves the letters as they are, so each edit over ``allowed`` must be one of a swap. One condition, so the
     # distance is taken once a pair, and only where the letters are near enough.
     most = F.greatest(allowed, 2 * allowed - F.ceil(apart / 2))
-    close = F.when(apart <= 2 * allowed, F.levenshtein("a", "b") <= most).otherwise(False)
+    close = F.when(apart <= 2 * allowed, F.levenshtein(a, b) <= most).otherwise(False)
     met = asked.join(index, "k").where("of = scope and (double or key_n > n or key_n = n and key > name)").where(close)
     # Pairs that meet by several segments go once, behind this, when they are narrow.
-    met = met.select("scope", "name", "double", "key", "a", "b").withColumn("over", F.levenshtein("a", "b") > allowed)
+    met = met.select("scope", "name", "double", "key", a.alias("a"), b.alias("b"), (F.levenshtein(a, b) > allowed).alias("over"))
     near = met.mapInArrow(_same_form, "scope string, name string, double boolean, key string")
-    return near.unionByName(names.where("not double").select("scope", "name", "double", F.col("name").alias("key"))).distinct()
+    # By name, so that the spellings of one lie together in what is written of it.
+    return near.unionByName(names.where("not double").select("scope", "name", "double", F.col("name").alias("key"))).repartition("scope", "name", "double").distinct()
 
 
 def _looked_up() -> Column:
@@ -219,10 +228,11 @@ def by_spelling(rows: DataFrame, known: DataFrame, *keep: str) -> DataFrame:
     """(keep, towns, key): each of ``rows(lasts, doubles, state, town)`` once for each spelling of a last name of its own, with the spellings
     of its town (null without one); spellings as numbers."""
     # There are few spellings a town.
-    towns = known.where("scope <> ''").groupBy("scope", "name").agg(F.collect_set("key").alias("key")).select(F.col("scope").alias("state"), F.col("name").alias("town"), F.transform("key", lambda t: F.xxhash64(F.lit("t"), "scope", t)).alias("towns"))
-    named = rows.select(*keep, "state", "town", F.explode(_looked_up()).alias("e")).select(*keep, "state", "town", "e.name", "e.double")
-    keyed = named.join(known.where("scope = ''").select("name", "double", F.xxhash64("key").alias("key")), ["name", "double"])
-    return keyed.join(towns, ["state", "town"], "left").select(*keep, "towns", "key")
+    towns = known.where("scope <> ''").groupBy("scope", "name").agg(F.collect_set("key").alias("key")).select(F.col("scope").alias("state"), F.col("name").alias("town"), F.transform("key", lambda t: number(F.lit("t"), "scope", t)).alias("towns"))
+    names = known.where("scope = ''").groupBy("name", "double").agg(F.collect_set(number("key")).alias("keys"))
+    # Towns first and spellings as lists, so that rows are only shuffled once each and once a last name, never once a spelling.
+    named = rows.join(towns, ["state", "town"], "left").select(*keep, "towns", F.explode(_looked_up()).alias("e")).select(*keep, "towns", "e.name", "e.double")
+    return named.join(names, ["name", "double"]).select(*keep, "towns", F.explode("keys").alias("key"))
 
 
 def under_evidence(spelt: DataFrame, evidence: str, *keep: str) -> DataFrame:
@@ -231,13 +241,18 @@ def under_evidence(spelt: DataFrame, evidence: str, *keep: str) -> DataFrame:
     ``evidence`` is an array of numbers, to which the spellings of the row's town are added.
     """
     every = F.concat(evidence, F.coalesce("towns", F.array().cast("array<bigint>")))
-    return spelt.select(*keep, "key", F.explode(every).alias("e")).select(*keep, F.xxhash64("e", "key").alias("k"))
+    return spelt.select(*keep, "key", F.explode(every).alias("e")).select(*keep, number("e", "key").alias("k"))
+
+
+def number(*columns: Column | str) -> Column:
+    """A number of ``KEY`` bits for the columns together."""
+    return F.xxhash64(*columns).bitwiseAND(F.lit(KEY))
 
 
 def evidence_key(kind: str, *columns: str, only: str = "true") -> str:
     """SQL of a number for the columns together, null where one of them is null or empty or ``only`` does not hold."""
     full = " and ".join(f"coalesce(cast({c} as string), '') <> ''" for c in columns)
-    return f"if({full} and ({only}), xxhash64('{kind}', {', '.join(columns)}), null)"
+    return f"if({full} and ({only}), xxhash64('{kind}', {', '.join(columns)}) & {KEY}, null)"
 
 
 def evidence(*keys: str) -> str:
@@ -301,9 +316,8 @@ def with_representatives(rows: DataFrame, ident: str) -> DataFrame:
 
 def hot_keys(rows: DataFrame) -> DataFrame:
     """(k, hot): the keys of towns and last names, as ``keyed_by_name`` makes them, that more than ``HOT`` of the rows have as typed."""
-    own = rows.where("state <> '' and town <> ''").select("state", "town", F.explode("lasts").alias("name"))
-    many = own.groupBy("state", "town", "name").agg(F.count("*").alias("n")).where(F.col("n") > HOT)
-    return many.select(F.xxhash64(F.xxhash64(F.lit("t"), "state", "town"), F.xxhash64("name")).alias("k"), F.lit(True).alias("hot"))
+    own = rows.where("state <> '' and town <> ''").select("state", "town", F.explode("lasts").alias("name")).select(number(number(F.lit("t"), "state", "town"), number("name")).alias("k"))
+    return own.groupBy("k").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("k", F.lit(True).alias("hot"))
 
 
 def met_pairs(keyed: DataFrame, hot: DataFrame) -> DataFrame:
@@ -312,8 +326,8 @@ def met_pairs(keyed: DataFrame, hot: DataFrame) -> DataFrame:
     Rows with two licences or two admission dates are two lawyers, whatever else they share. Under the keys of ``hot(k, hot)``, those with
     a date meet those with the same date only, and those without one meet all.
     """
-    dated = F.array(F.struct(F.xxhash64("k", "adm").alias("k"), F.lit(0).alias("role")), F.struct(F.xxhash64("k", F.lit("*")).alias("k"), F.lit(1).alias("role")))
-    undated = F.array(F.struct(F.xxhash64("k", F.lit("*")).alias("k"), F.lit(2).alias("role")))
+    dated = F.array(F.struct(number("k", "adm").alias("k"), F.lit(0).alias("role")), F.struct(number("k", F.lit("*")).alias("k"), F.lit(1).alias("role")))
+    undated = F.array(F.struct(number("k", F.lit("*")).alias("k"), F.lit(2).alias("role")))
     cold = F.array(F.struct(F.col("k"), F.lit(0).alias("role")))
     # Without hot keys both sides of the join are one exchange.
     spread = keyed.withColumn("role", F.lit(0)) if hot.isEmpty() else keyed.join(hot, "k", "left").select("rep", "adm", "lic", F.explode(F.when(F.col("hot").isNull(), cold).when(F.col("adm").isNull(), undated).otherwise(dated)).alias("e")).select("rep", "adm", "lic", "e.k", "e.role")

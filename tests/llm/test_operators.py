@@ -424,3 +424,37 @@ def test_pairs_of_spellings_are_shuffled_once(spark):
     known = people.spelling_keys(names)
     assert not [x for x in re.findall(r"hashpartitioning\(([^)]*)\)", known._jdf.queryExecution().executedPlan().toString()) if re.search(r"\ba#", x)]
     assert sorted((r.name, r.key) for r in known.collect()) == [("abcdefgh", "abcdefgh"), ("abcdefgi", "abcdefgh"), ("abcdefgi", "abcdefgi"), ("abcdefgi", "xbcdefgh"), ("xbcdefgh", "abcdefgh"), ("xbcdefgh", "xbcdefgh")]
+
+
+def _exchanges(df):
+    return re.findall(r"hashpartitioning\(([^)]*)\)", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_rows_are_not_shuffled_once_a_spelling(spark):
+    """Towns are looked up before the last names and spellings go as lists; keys have ``KEY`` bits."""
+    rows = spark.createDataFrame([(1, "CA", "anytown", ["doe"], [], [7]), (2, "", "", ["doe", "roe"], [], [8])], "rep long, state string, town string, lasts array<string>, doubles array<string>, together array<long>")
+    known = spark.createDataFrame([("", "doe", False, "doe"), ("", "doe", False, "roe"), ("", "roe", False, "roe"), ("CA", "anytown", False, "anytown")], "scope string, name string, double boolean, key string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        spelt = people.by_spelling(rows, known, "rep", "together")
+        assert _exchanges(spelt)[0].startswith("name#")
+        keys = people.under_evidence(spelt, "together", "rep").collect()
+        assert len(keys) == 2 * 2 + 3 and all(0 <= r.k < 1 << 40 for r in keys)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_wide_rows_are_not_shuffled_by_lawyer(spark, monkeypatch):
+    """Whether a lawyer has a licence number is known before the rows are joined; one without keeps links by name, one with does not."""
+    rows = profiles(spark, {"id": 1, "full_name": "Ann Doe", "license_state": "CA", "bar_number": "7", "city": "Any Town", "state": "CA"}, {"id": 2, "full_name": "Ann Doe", "city": "Any Town", "state": "CA"}, {"id": 3, "full_name": "Bob Roe", "city": "Any Town", "state": "CA"})
+    cands = spark.createDataFrame([(1, "Ann Doe", "Any Town, CA", "8"), (2, "Bob Roe", "Any Town, CA", "9"), (3, "Ann Doe", "Any Town, CA", None)], "candidate_id long, name string, location string, bar_number string")
+    who = cut_lineage(people.persons(rows, spark.createDataFrame([], PARSED)))
+    plans, solve, before = [], linkage.solve, spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    monkeypatch.setattr(linkage, "solve", lambda links: (plans.append(_exchanges(links)), solve(links))[1])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert found(linkage.link_rows(who, cands), "id", "candidate_id") == [(1, 3), (2, 3), (3, 2)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plans and not [x for x in plans[0] if re.fullmatch(r"lawyer#\d+L?, \d+", x)]
